@@ -81,7 +81,7 @@ def _free_stretches(requests: DataFrame, worked: DataFrame, window_end: date) ->
     ``free_from`` is the first free day, ``free_until`` the next worked day (null: none).
     A day before all dates opens the calendar, also for staff who never worked.
     """
-    opening = requests.select("staff_id").distinct().withColumn("_day", F.lit(date(1, 1, 1)))
+    opening = requests.select("staff_id").distinct().withColumn("_day", F.lit(date(1600, 1, 1)))
     days = opening.unionByName(
         worked.where(F.col("shift_date") <= F.lit(window_end)).select(
             "staff_id", F.col("shift_date").alias("_day")
