@@ -36,13 +36,12 @@ def shift_start(day: Column, shift_type: Column) -> Column:
     hour = F.when(shift_type == "Day", F.lit(rules.SHIFT_START_HOUR["Day"])).otherwise(
         F.lit(rules.SHIFT_START_HOUR["Night"])
     )
-    return day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour)
+    return F.timestamp_add("HOUR", hour.cast("long"), day.cast("timestamp_ntz"))
 
 
 def shift_end(start: Column, hours: Column) -> Column:
-    """End of a shift; seconds keep part hours exact."""
-    seconds = (hours.cast("decimal(10,2)") * 3600).cast("decimal(18,6)")
-    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    """End of a shift, to the second, so that part hours count."""
+    return F.timestamp_add("SECOND", F.round(hours * 3600).cast("long"), start)
 
 
 def hours_between(start: Column, end: Column) -> Column:

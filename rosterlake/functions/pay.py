@@ -31,21 +31,25 @@ def salary_band(rate: Column) -> Column:
 
 def overtime_hours(duration: Column) -> Column:
     """Hours beyond the standard shift, never negative, to 2 decimals."""
-    extra = duration.cast("decimal(10,2)") - rules.STANDARD_SHIFT_HOURS
-    return F.bround(F.greatest(F.lit(0).cast("decimal(10,2)"), extra), 2).cast("double")
+    extra = duration.cast("double") - F.lit(float(rules.STANDARD_SHIFT_HOURS))
+    return F.bround(F.greatest(F.lit(0.0), extra), 2)
 
 
 def overtime_multiplier(overtime: Column) -> Column:
     """One rate for all overtime hours of the shift: the tier of the total."""
-    limits = [(limit, decimal_lit(rate)) for limit, rate in rules.OVERTIME_TIERS.items()]
-    tiers = first_limit(overtime, limits, decimal_lit(rules.TOP_OVERTIME_MULTIPLIER), included=True)
-    return tiers.cast("double")
+    limits = [(float(limit), F.lit(float(rate))) for limit, rate in rules.OVERTIME_TIERS.items()]
+    return first_limit(
+        overtime, limits, F.lit(float(rules.TOP_OVERTIME_MULTIPLIER)), included=True
+    )
 
 
 def overtime_pay(overtime: Column, rate: Column) -> Column:
-    """Overtime hours x hourly rate x multiplier, half-even to 2 decimals."""
-    known_rate = F.coalesce(
-        rate.cast("decimal(10,2)"), F.lit(rules.DEFAULT_HOURLY_RATE).cast("decimal(10,2)")
-    )
-    multiplier = overtime_multiplier(overtime).cast("decimal(3,1)")
-    return F.bround(overtime.cast("decimal(10,2)") * known_rate * multiplier, 2).cast("double")
+    """Overtime hours x hourly rate x multiplier, half-even to 2 decimals.
+
+    The factors are whole numbers of hundredths, cents and tenths, so the product is exact
+    and ties are true ties.
+    """
+    cents = F.round(F.coalesce(rate, F.lit(float(rules.DEFAULT_HOURLY_RATE))) * 100).cast("long")
+    hundredths = F.round(overtime * 100).cast("long")
+    tenths = F.round(overtime_multiplier(overtime) * 10).cast("long")
+    return F.bround(cents * hundredths * tenths, -3) / F.lit(100_000.0)

@@ -62,13 +62,8 @@ def day_case_counts(assignments: DataFrame) -> DataFrame:
 
 def with_case_counts(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
     """Every shift gets the counts of its whole staff-day; 0 if there are none."""
-    zero = F.lit(0).cast("long")
-    return attach(shifts, day_cases, DAY, "timesheet_id").withColumns(
-        {
-            "critical_cases": F.coalesce("critical_cases", zero),
-            "emergency_cases": F.coalesce("emergency_cases", zero),
-        }
-    )
+    attached = attach(shifts, day_cases, DAY, "timesheet_id")
+    return attached.fillna(0, ["critical_cases", "emergency_cases"])
 
 
 def case_mix(assignments: DataFrame) -> DataFrame:

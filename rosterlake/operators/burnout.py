@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.functions import scoring
@@ -22,31 +22,42 @@ def with_risk_label(shifts: DataFrame, score: str = "burnout_score") -> DataFram
     return shifts.withColumn("burnout_risk_label", scoring.risk_label(F.col(score)))
 
 
-def with_chronic_probability(shifts: DataFrame) -> DataFrame:
-    """Susceptibility of the person, load of the shift, and the probability they give."""
-    person = scoring.susceptibility(
+def with_susceptibility(shifts: DataFrame) -> DataFrame:
+    hundredths = scoring.susceptibility_hundredths(
         F.col("role"), F.col("home_department"), F.col("experience_level")
     )
-    return shifts.withColumns(
-        {"susceptibility": person, "acute_load": scoring.acute_load()}
-    ).withColumn(
-        "chronic_prob",
-        scoring.chronic_probability(F.col("susceptibility"), F.col("acute_load")),
+    return shifts.withColumn("susceptibility", hundredths / F.lit(100.0))
+
+
+def with_acute_load(shifts: DataFrame) -> DataFrame:
+    return shifts.withColumn(
+        "acute_load", scoring.acute_load_ten_thousandths() / F.lit(10_000.0)
     )
 
 
+def _chronic_millionths() -> Column:
+    return scoring.chronic_millionths(
+        scoring.susceptibility_hundredths(
+            F.col("role"), F.col("home_department"), F.col("experience_level")
+        ),
+        scoring.acute_load_ten_thousandths(),
+    )
+
+
+def with_chronic_probability(shifts: DataFrame) -> DataFrame:
+    return shifts.withColumn("chronic_prob", _chronic_millionths() / F.lit(1_000_000.0))
+
+
 def with_chronic_uplift(shifts: DataFrame) -> DataFrame:
     """Final score and label: the acute score plus the uplift that was drawn."""
-    boosted = shifts.withColumn(
-        "chronic_boost", scoring.chronic_boost(F.col("timesheet_id"), F.col("chronic_prob"))
-    )
+    boost = scoring.chronic_boost(F.col("timesheet_id"), _chronic_millionths())
     final = scoring.clip_score(F.col("acute_score") + F.col("chronic_boost"))
-    return boosted.withColumn("burnout_score", final).transform(with_risk_label)
+    return (
+        shifts.withColumn("chronic_boost", boost)
+        .withColumn("burnout_score", final)
+        .transform(with_risk_label)
+    )
 
 
 def with_burnout(shifts: DataFrame) -> DataFrame:
-    return (
-        shifts.transform(with_acute_score)
-        .transform(with_chronic_probability)
-        .transform(with_chronic_uplift)
-    )
+    return shifts.transform(with_acute_score).transform(with_chronic_uplift)

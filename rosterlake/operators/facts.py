@@ -53,9 +53,10 @@ def weekly_burnout(shifts: DataFrame) -> DataFrame:
         _staff_weeks(shifts)
         .groupBy(*STAFF_WEEK)
         .agg(
-            F.bround(F.sum(F.col("overtime_hours").cast("decimal(12,2)")), 2)
-            .cast("double")
-            .alias("total_overtime_hours"),
+            # whole hundredths add up to the same total in any order
+            (total(F.round(F.col("overtime_hours") * 100).cast("long")) / F.lit(100.0)).alias(
+                "total_overtime_hours"
+            ),
             F.bround(F.avg("burnout_score"), 2).alias("avg_burnout_score"),
             F.max("burnout_score").alias("max_burnout_score"),
             total(flag(F.col("shift_type") == "Night")).alias("night_shifts_count"),

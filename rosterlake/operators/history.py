@@ -11,6 +11,9 @@ Shifts without a staff id or date belong to nobody's history; their flags are 0.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +34,10 @@ def _with_block(shifts: DataFrame) -> DataFrame:
     return numbered.withColumn("_block", F.shiftright("_no", BLOCK_BITS))
 
 
+def _not_null(*names: str) -> Column:
+    return reduce(and_, [F.col(name).isNotNull() for name in names])
+
+
 # --- consecutive days ------------------------------------------------------
 
 
@@ -63,18 +70,21 @@ def staff_streaks(shifts: DataFrame) -> DataFrame:
     )
 
 
-def consecutive_day_flags(days: DataFrame) -> DataFrame:
-    """1 for every day of a streak above the limit, its first days included."""
-    over_limit = flag(F.col("streak_length") > rules.STREAK_LIMIT_DAYS)
-    return streak_days(days).select(*DAY, over_limit.alias("consecutive_days_flag"))
+def _over_limit() -> Column:
+    return flag(F.col("streak_length") > rules.STREAK_LIMIT_DAYS)
 
 
-def with_consecutive_days(shifts: DataFrame) -> DataFrame:
-    flags = consecutive_day_flags(distinct_staff_days(shifts))
-    attached = attach(shifts, flags, DAY, "timesheet_id")
-    return attached.withColumn(
-        "consecutive_days_flag", F.coalesce("consecutive_days_flag", F.lit(0).cast("long"))
-    )
+def with_consecutive_days(shifts: DataFrame, day_cases: DataFrame | None = None) -> DataFrame:
+    """1 for every day of a streak above the limit, its first days included.
+
+    ``day_cases`` adds the day's case counts in the same join.
+    """
+    days = streak_days(distinct_staff_days(shifts))
+    days = days.select(*DAY, _over_limit().alias("consecutive_days_flag"))
+    if day_cases is not None:
+        days = days.join(day_cases, DAY, "left")
+    attached = attach(shifts, days, DAY, "timesheet_id")
+    return attached.fillna(0, [name for name in days.columns if name not in DAY])
 
 
 # --- the shift before ------------------------------------------------------
@@ -86,7 +96,7 @@ def _first_of_spans(shifts: DataFrame) -> DataFrame:
     In the order of start, end and id only this first shift has its predecessor in another
     span; for all others of the span it is a shift of the same span.
     """
-    known = _with_block(shifts).where(F.col("staff_id").isNotNull() & F.col("shift_start").isNotNull())
+    known = _with_block(shifts).where(_not_null("staff_id", "shift_start"))
     spans = known.groupBy("staff_id", "shift_start", "shift_end").agg(
         F.min("_no").alias("_no"),
         F.min_by("shift_date", "_no").alias("shift_date"),
@@ -148,18 +158,23 @@ _LAST = F.col("_no") * 2 + flag(F.col("shift_type") == "Night")
 
 
 def _blocks(shifts: DataFrame) -> DataFrame:
-    """One row per (staff, day, block): its last shift, and the last one before it that day."""
-    known = _with_block(shifts).dropna(subset=[*DAY, "_no"])
-    blocks = known.groupBy(*DAY, "_block").agg(F.max(_LAST).alias("_last"))
-    in_day = Window.partitionBy(*DAY).orderBy("_block")
-    return blocks.withColumn("_before", F.lag("_last").over(in_day))
+    """One row per (staff, day, block) with its last shift."""
+    known = _with_block(shifts).where(_not_null(*DAY))
+    return known.groupBy(*DAY, "_block").agg(F.max(_LAST).alias("_last"))
 
 
 def _days(blocks: DataFrame) -> DataFrame:
     """One row per (staff, day) with the last shift of the worked day before."""
     by_staff = Window.partitionBy("staff_id").orderBy("shift_date")
     days = blocks.groupBy(*DAY).agg(F.max("_last").alias("_last"))
-    return days.select(*DAY, F.lag("_last").over(by_staff).alias("_day_before"))
+    return days.withColumn("_day_before", F.lag("_last").over(by_staff)).drop("_last")
+
+
+def _carry(blocks: DataFrame, days: DataFrame) -> DataFrame:
+    """Each block with the last shift before it on its day, and the columns of its day."""
+    in_day = Window.partitionBy(*DAY).orderBy("_block")
+    before = blocks.withColumn("_before", F.lag("_last").over(in_day)).drop("_last")
+    return before.join(days, DAY)
 
 
 def _flip_flag(shifts_with_carry: DataFrame) -> Column:
@@ -176,10 +191,10 @@ def _flip_flag(shifts_with_carry: DataFrame) -> Column:
 
 def with_night_to_day_flip(shifts: DataFrame) -> DataFrame:
     blocks = _blocks(shifts)
-    carry = blocks.join(_days(blocks), DAY)
+    carry = _carry(blocks, _days(blocks))
     joined = _with_block(shifts).join(carry, [*DAY, "_block"], "left")
     return joined.withColumn("night_to_day_flip_flag", _flip_flag(joined)).drop(
-        "_no", "_block", "_last", "_before", "_day_before"
+        "_no", "_block", "_before", "_day_before"
     )
 
 
@@ -199,20 +214,15 @@ def with_history(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
         .groupBy(*DAY, "_block")
         .agg(F.collect_list("_no").alias("_followers"))
     )
-    days = (
-        _days(blocks)
-        .join(consecutive_day_flags(blocks.select(*DAY).distinct()), DAY)
-        .join(day_cases, DAY, "left")
-    )
-    carry = blocks.join(days, DAY).join(followers, [*DAY, "_block"], "left")
+    days = streak_days(_days(blocks)).withColumn("consecutive_days_flag", _over_limit())
+    days = days.drop("streak", "streak_length").join(day_cases, DAY, "left")
+    carry = _carry(blocks, days).join(followers, [*DAY, "_block"], "left")
     joined = _with_block(shifts).join(carry, [*DAY, "_block"], "left")
-    zero = F.lit(0).cast("long")
-    return joined.withColumns(
+    flagged = joined.withColumns(
         {
             "night_to_day_flip_flag": _flip_flag(joined),
             "back_to_back_12h_flag": flag(F.array_contains("_followers", F.col("_no"))),
-            "consecutive_days_flag": F.coalesce("consecutive_days_flag", zero),
-            "critical_cases": F.coalesce("critical_cases", zero),
-            "emergency_cases": F.coalesce("emergency_cases", zero),
         }
-    ).drop("_no", "_block", "_last", "_before", "_day_before", "_followers")
+    )
+    counts = ["consecutive_days_flag", "critical_cases", "emergency_cases"]
+    return flagged.fillna(0, counts).drop("_no", "_block", "_before", "_day_before", "_followers")

@@ -420,9 +420,15 @@ def assignments_per_shift(b: Base) -> DataFrame:
 # --- burnout -----------------------------------------------------------------
 
 
+def _with_drivers(b: Base) -> DataFrame:
+    """Shifts with the five drivers of the acute score."""
+    counts = asg.day_case_counts(b.assignments)
+    return history.with_consecutive_days(b.shifts, counts)
+
+
 @query
 def burnout_score(b: Base) -> DataFrame:
-    return b.scored.select(
+    return burnout.with_acute_score(_with_drivers(b)).select(
         ID, "overtime_hours", "critical_cases", "night_flag", "consecutive_days_flag",
         "emergency_cases", "acute_score",
     )
@@ -430,33 +436,37 @@ def burnout_score(b: Base) -> DataFrame:
 
 @query
 def burnout_components(b: Base) -> DataFrame:
-    scored = burnout.with_burnout_components(b.scored)
+    scored = burnout.with_burnout_components(_with_drivers(b))
     return scored.select(ID, *[name for name in scored.columns if name.startswith("score_")])
 
 
 @query
 def burnout_risk_label(b: Base) -> DataFrame:
-    return burnout.with_risk_label(b.scored, "acute_score").select(
+    scored = burnout.with_acute_score(_with_drivers(b))
+    return burnout.with_risk_label(scored, "acute_score").select(
         ID, "acute_score", "burnout_risk_label"
     )
 
 
 @query
 def burnout_susceptibility(b: Base) -> DataFrame:
-    return b.scored.select(
-        ID, "role", "home_department", "experience_level",
-        F.col("susceptibility").cast("double").alias("susceptibility"),
+    return burnout.with_susceptibility(b.shifts).select(
+        ID, "role", "home_department", "experience_level", "susceptibility"
     )
 
 
 @query
 def acute_load(b: Base) -> DataFrame:
-    return b.scored.select(ID, F.col("acute_load").cast("double").alias("acute_load"))
+    return burnout.with_acute_load(history.with_consecutive_days(b.shifts)).select(
+        ID, "acute_load"
+    )
 
 
 @query
 def chronic_prob(b: Base) -> DataFrame:
-    return b.scored.select(ID, F.col("chronic_prob").cast("double").alias("chronic_prob"))
+    return burnout.with_chronic_probability(history.with_consecutive_days(b.shifts)).select(
+        ID, "chronic_prob"
+    )
 
 
 @query

@@ -140,7 +140,7 @@ def assignments(worked: DataFrame) -> DataFrame:
 def leave_requests(spark: SparkSession, folder: str, staff: DataFrame) -> DataFrame:
     """Leaves of eligible staff as requested: start and duration, not yet moved."""
     orders = sales_table(spark, folder, "orders")
-    people = sales_table(spark, folder, "supplier").agg(F.count("*")).scalar()
+    people = sales_table(spark, folder, "supplier").count()
     requested = orders.select(
         F.col("o_orderkey").alias("leave_id"),
         (F.col("o_custkey") % people).alias("staff_id"),
