@@ -152,15 +152,16 @@ def with_back_to_back(shifts: DataFrame) -> DataFrame:
 
 # --- night to day ----------------------------------------------------------
 
-# The last shift of a block as one whole number, so that finding it is a plain maximum:
-# running number x 2, plus 1 if it is a night shift.
-_LAST = F.col("_no") * 2 + flag(F.col("shift_type") == "Night")
+
+def _numbered_night() -> Column:
+    """Running number x 2, plus 1 for a night shift: the last shift is a plain maximum."""
+    return F.col("_no") * 2 + flag(F.col("shift_type") == "Night")
 
 
 def _blocks(shifts: DataFrame) -> DataFrame:
     """One row per (staff, day, block) with its last shift."""
     known = _with_block(shifts).where(_not_null(*DAY))
-    return known.groupBy(*DAY, "_block").agg(F.max(_LAST).alias("_last"))
+    return known.groupBy(*DAY, "_block").agg(F.max(_numbered_night()).alias("_last"))
 
 
 def _days(blocks: DataFrame) -> DataFrame:

@@ -136,10 +136,14 @@ def qa_inactive_with_shifts(staff: DataFrame, shifts: DataFrame, leaves: DataFra
     return counts.withColumn("violations", broken)
 
 
-def require_staff(staff: DataFrame) -> None:
-    """Stop a run that has nobody to schedule or to grant leave to."""
+def require_active(staff: DataFrame) -> None:
+    """Stop a run that has nobody to schedule."""
     if active_staff(staff).isEmpty():
         raise ValueError("no Active staff: there are no shifts to derive")
+
+
+def require_leave_eligible(staff: DataFrame) -> None:
+    """Stop a run that has nobody to grant leave to."""
     if leave_eligible_staff(staff).isEmpty():
         raise ValueError("no leave-eligible staff: there are no leaves to derive")
 

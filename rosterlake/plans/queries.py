@@ -66,6 +66,19 @@ class Base:
         """Shifts of Active staff with the columns of the shift itself."""
         return workforce.active_shifts(self.all_shifts, self.staff, sample.SURGE_YEARS)
 
+    def stored(self) -> Base:
+        """The same tables with the Active shifts written to the shared folder and read back.
+
+        For queries that pass over the shifts several times: cleaning and staff lookup run
+        once, and each pass reads only the columns it needs.
+        """
+        path = f"{shared_folder(self.spark)}/shifts"
+        tables.write_parquet(self.shifts, path)
+        base = Base(self.spark, self.folder)
+        base.staff = self.staff
+        base.shifts = base.plain = tables.read_table(self.spark, path)
+        return base
+
     @cached_property
     def assignments(self) -> DataFrame:
         return sample.assignments(self.shifts)
@@ -160,6 +173,7 @@ def silver_staff_master(b: Base) -> DataFrame:
 
 @query
 def silver_staff_timesheet(b: Base) -> DataFrame:
+    b = b.stored()
     rows = _delivered_twice(
         b.timesheet, "timesheet_id", "break_minutes", F.col("break_minutes") + 100
     )
@@ -371,6 +385,7 @@ def night_to_day_flip(b: Base) -> DataFrame:
 
 @query
 def timesheet_enriched(b: Base) -> DataFrame:
+    b = b.stored()
     return b.timesheet
 
 
@@ -403,6 +418,7 @@ def emergency_cases(b: Base) -> DataFrame:
 
 @query
 def shift_case_counts(b: Base) -> DataFrame:
+    b = b.stored()
     counts = asg.day_case_counts(b.assignments)
     return asg.with_case_counts(b.plain.select(*SHIFT), counts)
 
@@ -428,6 +444,7 @@ def _with_drivers(b: Base) -> DataFrame:
 
 @query
 def burnout_score(b: Base) -> DataFrame:
+    b = b.stored()
     return burnout.with_acute_score(_with_drivers(b)).select(
         ID, "overtime_hours", "critical_cases", "night_flag", "consecutive_days_flag",
         "emergency_cases", "acute_score",
@@ -436,12 +453,14 @@ def burnout_score(b: Base) -> DataFrame:
 
 @query
 def burnout_components(b: Base) -> DataFrame:
+    b = b.stored()
     scored = burnout.with_burnout_components(_with_drivers(b))
     return scored.select(ID, *[name for name in scored.columns if name.startswith("score_")])
 
 
 @query
 def burnout_risk_label(b: Base) -> DataFrame:
+    b = b.stored()
     scored = burnout.with_acute_score(_with_drivers(b))
     return burnout.with_risk_label(scored, "acute_score").select(
         ID, "acute_score", "burnout_risk_label"
@@ -471,6 +490,7 @@ def chronic_prob(b: Base) -> DataFrame:
 
 @query
 def chronic_uplift(b: Base) -> DataFrame:
+    b = b.stored()
     return b.scored.select(
         ID, "acute_score", "chronic_boost", "burnout_score", "burnout_risk_label"
     )
@@ -557,16 +577,19 @@ def iso_year_week(b: Base) -> DataFrame:
 
 @query
 def fact_burnout(b: Base) -> DataFrame:
+    b = b.stored()
     return facts.fact_burnout(b.timesheet, b.staff, b.plain)
 
 
 @query
 def worst_risk(b: Base) -> DataFrame:
+    b = b.stored()
     return facts.worst_risk(b.timesheet)
 
 
 @query
 def fact_overtime(b: Base) -> DataFrame:
+    b = b.stored()
     return facts.fact_overtime(b.timesheet, shf.with_overtime(b.plain).where("overtime_hours > 0"))
 
 
@@ -580,6 +603,7 @@ def fact_leave(b: Base) -> DataFrame:
 
 @query
 def qa_table_summary(b: Base) -> DataFrame:
+    b = b.stored()
     return quality.qa_table_summary(
         {
             "staff_master": b.staff,

@@ -15,7 +15,7 @@ from rosterlake.operators.dims import dim_staff
 from rosterlake.operators.facts import fact_burnout, fact_leave, fact_overtime
 from rosterlake.operators.history import with_history
 from rosterlake.operators.leave import resolve_leave_conflicts, with_leave_days, worked_days
-from rosterlake.operators.quality import require_staff
+from rosterlake.operators.quality import require_active, require_leave_eligible
 from rosterlake.operators.shifts import with_shift_columns
 from rosterlake.operators.staff import backfill_female_night, with_staff_attributes
 from rosterlake.session import LakeLayout
@@ -75,7 +75,8 @@ def build_gold(
         for name in ("staff_master", "staff_timesheet", "leave_records")
     }
     staff, timesheet = silver["staff_master"], silver["staff_timesheet"]
-    require_staff(staff)
+    require_active(staff)
+    require_leave_eligible(staff)
     years = range(first_day.year, last_day.year + 1)
     gold = {
         "dim_date": dim_date(calendar_bounds(spark, first_day, last_day), years),

@@ -6,13 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-STAFF_MASTER = T.StructType.fromDDL(
+_TYPES = {
+    "string": T.StringType(),
+    "long": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _columns(text: str) -> T.StructType:
+    """A schema from 'name type, name type'; needs no session, so it may run on import."""
+    pairs = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+STAFF_MASTER = _columns(
     "staff_id string, staff_name string, gender string, role string, experience_level string, "
     "department string, hire_date date, employment_type string, shift_preference string, "
     "status string, base_location string, per_hour_rate double, salary_band string, "
     "night_shift_female_flag long"
 )
-STAFF_TIMESHEET = T.StructType.fromDDL(
+STAFF_TIMESHEET = _columns(
     "timesheet_id string, staff_id string, shift_date date, shift_start timestamp_ntz, "
     "shift_end timestamp_ntz, shift_type string, shift_duration_hours long, "
     "overtime_hours double, break_minutes long, department_override string, "
@@ -21,12 +38,12 @@ STAFF_TIMESHEET = T.StructType.fromDDL(
     "night_to_day_flip_flag long, female_night_flag long, overtime_multiplier double, "
     "overtime_pay double"
 )
-PATIENT_ASSIGNMENT = T.StructType.fromDDL(
+PATIENT_ASSIGNMENT = _columns(
     "assignment_id string, staff_id string, patient_id string, assignment_date date, "
     "severity_level long, department string, case_type string, "
     "assignment_duration_minutes long, critical_flag long, surge_emergency_flag long"
 )
-LEAVE_RECORDS = T.StructType.fromDDL(
+LEAVE_RECORDS = _columns(
     "leave_id string, staff_id string, leave_start date, leave_end date, leave_type string, "
     "leave_days_count long, approval_status string, emergency_leave_flag boolean"
 )
@@ -36,7 +53,7 @@ TABLES = {
     "patient_assignment": PATIENT_ASSIGNMENT,
     "leave_records": LEAVE_RECORDS,
 }
-DIM_DATE = T.StructType.fromDDL(
+DIM_DATE = _columns(
     "date_key long, full_date date, day_of_week string, day_num int, week_number long, "
     "month_num int, month_name string, quarter int, year int, is_weekend long, "
     "is_surge_period long"

@@ -1,0 +1,342 @@
+"""Literal rows at the edges of the rules."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from rosterlake.functions import calendar, ids, pay, scoring
+from rosterlake.operators import (
+    assignments,
+    burnout,
+    cleaning,
+    dims,
+    facts,
+    history,
+    leave,
+    quality,
+    shifts,
+    staff,
+)
+
+
+def column(spark, values, kind, expression):
+    """The values of an expression over column ``x``, in the order of the values."""
+    rows = [(i, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, f"i int, x {kind}")
+    return [r[0] for r in df.orderBy("i").select(expression(F.col("x"))).collect()]
+
+
+def test_risk_label(spark):
+    found = column(spark, [0, 30, 31, 55, 56, 75, 76, 100, None], "long", scoring.risk_label)
+    assert found == ["Low", "Low", "Medium", "Medium", "High", "High", "Critical", "Critical", None]
+
+
+def test_score_is_cut_and_truncated(spark):
+    assert column(spark, [-3.0, 30.9, 99.99, 130.0], "double", scoring.clip_score) == [0, 30, 99, 100]
+
+
+def test_score_of_all_drivers(spark):
+    df = spark.createDataFrame(
+        [(4.5, 3, 1, 1, 2), (0.0, 0, 0, 0, 0), (4.0, 40, 1, 1, 0)],
+        "overtime_hours double, critical_cases long, night_flag long, "
+        "consecutive_days_flag long, emergency_cases long",
+    )
+    scored = burnout.with_burnout_components(burnout.with_acute_score(df))
+    assert [r.acute_score for r in scored.collect()] == [33, 0, 100]
+    first = scored.first()
+    assert (first.score_overtime_hours, first.score_critical_cases, first.score_night_flag) == (9, 9, 5)
+    assert (first.score_consecutive_days_flag, first.score_emergency_cases) == (4, 6)
+
+
+def test_salary_band(spark):
+    # no limit is a whole number of cents: 192.30 x 2,080 stays below 400,000, 192.31 does not
+    rates = [192.30, 192.31, 336.53, 336.54, 528.84, 528.85, 769.23, 769.24]
+    assert column(spark, rates, "double", pay.salary_band) == [
+        "Band A", "Band B", "Band B", "Band C", "Band C", "Band D", "Band D", "Band E",
+    ]
+
+
+def test_overtime(spark):
+    assert column(spark, [6.0, 8.0, 8.01, 12.0, 14.25], "double", pay.overtime_hours) == [
+        0.0, 0.0, 0.01, 4.0, 6.25,
+    ]
+    hours = [0.0, 0.01, 2.0, 2.01, 4.0, 4.01]
+    assert column(spark, hours, "double", pay.overtime_multiplier) == [0.0, 1.5, 1.5, 2.0, 2.0, 2.5]
+
+
+@pytest.mark.parametrize(
+    "hours,rate,expected",
+    [
+        (0.0, 500.0, 0.0),
+        (2.0, None, 900.0),
+        (4.0, 100.0, 800.0),
+        (5.0, 100.0, 1250.0),
+        (1.0, 100.01, 150.02),  # 150.015: half goes to the even cent
+        (1.0, 100.03, 150.04),  # 150.045
+        (5.0, 0.01, 0.12),  # 0.125
+    ],
+)
+def test_overtime_pay(spark, hours, rate, expected):
+    df = spark.createDataFrame([(hours, rate)], "h double, r double")
+    assert df.select(pay.overtime_pay(F.col("h"), F.col("r"))).first()[0] == expected
+
+
+def test_hourly_rate(spark):
+    df = spark.createDataFrame(
+        [("Nurse", "Senior"), ("Surgeon", "Experienced"), ("Admin", "Trainee"), ("Cook", "Junior")],
+        "role string, experience_level string",
+    )
+    found = [r.per_hour_rate for r in staff.with_hourly_rate(df).collect()]
+    assert found == [490.0, 2160.0, 250.0, None]
+
+
+def test_surge_flag(spark):
+    edges = [((1, 15), (1, 25)), ((3, 1), (3, 10)), ((5, 5), (5, 15)), ((7, 20), (7, 30)), ((9, 10), (9, 20))]
+    days, expected = [], []
+    for first, last in edges:
+        start, end = date(2024, *first), date(2024, *last)
+        days += [start - timedelta(1), start, end, end + timedelta(1)]
+        expected += [0, 1, 1, 0]
+    days += [date(2023, 1, 20), date(2027, 1, 20), None]
+    expected += [0, 0, 0]
+    years = [2024, 2025, 2026]
+    assert column(spark, days, "date", lambda d: calendar.surge_flag(d, years)) == expected
+
+
+def test_surge_windows_and_flag_agree(spark):
+    years = spark.createDataFrame([(2024,), (2025,)], "year int")
+    windows = [tuple(r) for r in shifts.surge_windows(years).collect()]
+    assert len(windows) == 10
+    in_windows = sum((end - start).days + 1 for start, end in windows)
+    calendar_days = dims.dim_date(
+        dims.calendar_bounds(spark, date(2023, 1, 1), date(2026, 12, 31)), [2024, 2025]
+    )
+    assert calendar_days.where("is_surge_period = 1").count() == in_windows
+
+
+def test_year_week(spark):
+    days = [date(2024, 12, 30), date(2025, 1, 1), date(2027, 1, 3), date(2024, 1, 1)]
+    assert column(spark, days, "date", calendar.iso_year_week) == [
+        "2025-W01", "2025-W01", "2026-W53", "2024-W01",
+    ]
+
+
+def test_dim_date(spark):
+    bounds = dims.calendar_bounds(spark, date(2024, 1, 1), date(2026, 12, 31))
+    days = dims.dim_date(bounds, range(2024, 2027))
+    assert days.count() == 1096
+    row = days.where("full_date = DATE'2024-03-09'").first()
+    assert row.asDict() == {
+        "date_key": 20240309, "full_date": date(2024, 3, 9), "day_of_week": "Saturday",
+        "day_num": 5, "week_number": 10, "month_num": 3, "month_name": "March", "quarter": 1,
+        "year": 2024, "is_weekend": 1, "is_surge_period": 1,
+    }
+
+
+def test_shift_interval_crosses_midnight(spark):
+    df = spark.createDataFrame(
+        [(date(2024, 2, 29), "Night", 12.0), (date(2024, 12, 31), "Day", 8.5)],
+        "shift_date date, shift_type string, shift_duration_hours double",
+    )
+    found = [(r.shift_start, r.shift_end) for r in shifts.with_shift_interval(df).collect()]
+    assert found == [
+        (datetime(2024, 2, 29, 19), datetime(2024, 3, 1, 7)),
+        (datetime(2024, 12, 31, 7), datetime(2024, 12, 31, 15, 30)),
+    ]
+
+
+def test_ids(spark):
+    assert column(spark, [5, 123456789], "long", lambda n: ids.format_id("BF_", n)) == [
+        "BF_00000005", "BF_123456789",
+    ]
+    df = spark.createDataFrame([("TS_00000042",), ("none",)], "x string")
+    assert [r[0] for r in df.select(ids.id_number(df, "x")).collect()] == [42, None]
+
+
+def test_employment_type(spark):
+    df = spark.createDataFrame([("Part-time/Female",)], "employment_type string")
+    row = staff.split_employment_type(df).first()
+    assert (row.employment_base, row.employment_gender) == ("Part-time", "Female")
+
+
+def test_leave_eligible_keeps_missing_status(spark):
+    df = spark.createDataFrame([("Active",), ("Inactive",), ("On Leave",), (None,)], "status string")
+    assert {r.status for r in staff.leave_eligible_staff(df).collect()} == {"Active", "On Leave", None}
+    assert [r.status for r in staff.active_staff(df).collect()] == ["Active"]
+
+
+def test_lookup_defaults(spark):
+    people = spark.createDataFrame(
+        [(1, "Male", "ICU", "Active", 400.0, "Nurse", "Senior")],
+        "staff_id long, gender string, department string, status string, per_hour_rate double, "
+        "role string, experience_level string",
+    )
+    worked = spark.createDataFrame([(10, 1), (11, 2), (12, None)], "timesheet_id long, staff_id long")
+    found = {r.timesheet_id: r for r in staff.with_staff_attributes(worked, people).collect()}
+    assert found[10].gender == "Male" and found[10].home_department == "ICU"
+    assert found[11].gender == "" and found[11].per_hour_rate is None
+    assert found[12].gender == "" and len(found) == 3
+
+
+def test_dedup_keeps_one_row_per_key_also_for_null(spark):
+    df = spark.createDataFrame(
+        [(1, "b"), (1, "a"), (None, "d"), (None, "c"), (2, "e")], "k long, v string"
+    )
+    first = {(r.k, r.v) for r in cleaning.dedup_by_key(df, ["k"], ["v"]).collect()}
+    assert first == {(1, "a"), (None, "c"), (2, "e")}
+    assert cleaning.dedup_by_key(df, ["k"]).count() == 3
+
+
+SHIFT = (
+    "timesheet_id long, staff_id long, shift_date date, shift_start timestamp_ntz, "
+    "shift_end timestamp_ntz, shift_duration_hours long, shift_type string"
+)
+
+
+def shift(number, person, start, hours, kind="Day", day=None):
+    end = start + timedelta(hours=hours)
+    return (number, person, day or start.date(), start, end, hours, kind)
+
+
+def test_back_to_back(spark):
+    at = datetime(2024, 5, 1, 7)
+
+    def following(person, gap):
+        first = shift(person * 10, person, at, 12)
+        return [first, shift(person * 10 + 1, person, first[4] + gap, 12)]
+
+    rows = (
+        following(1, timedelta(hours=-1))
+        + following(2, timedelta(0))
+        + following(3, timedelta(hours=24))
+        + following(4, timedelta(hours=24, seconds=1))
+        + [shift(50, 5, at, 11), shift(51, 5, at + timedelta(hours=20), 12)]
+        + [shift(60, 6, at, 12), shift(61, 6, at, 12), shift(62, 6, at + timedelta(hours=24), 12)]
+        + [shift(70, None, at, 12), shift(71, None, at + timedelta(hours=20), 12)]
+    )
+    df = spark.createDataFrame(rows, SHIFT)
+    found = history.with_back_to_back(df).where("back_to_back_12h_flag = 1").collect()
+    assert {r.timesheet_id for r in found} == {21, 31, 62}
+    gaps = {r.timesheet_id: r.gap_hours for r in history.with_gap_hours(df).collect()}
+    assert (gaps[11], gaps[21], gaps[31]) == (-1.0, 0.0, 24.0)
+    assert gaps[41] == pytest.approx(24 + 1 / 3600)
+    assert (gaps[10], gaps[61], gaps[62], gaps[71]) == (None, -12.0, 12.0, None)
+
+
+def test_night_to_day(spark):
+    rows = [
+        shift(1, 1, datetime(2024, 1, 1, 19), 8, "Night"),
+        shift(2, 1, datetime(2024, 2, 1, 7), 8, "Day"),  # a month later still counts
+        shift(4, 2, datetime(2024, 1, 1, 7), 8, "Day"),  # same day: the id decides
+        shift(3, 2, datetime(2024, 1, 1, 19), 8, "Night"),
+        shift(5, 3, datetime(2024, 1, 1, 7), 8, "Day"),
+        shift(6, 3, datetime(2024, 1, 1, 19), 8, "Night"),
+        shift(7, None, datetime(2024, 1, 1, 19), 8, "Night"),
+        shift(8, None, datetime(2024, 1, 2, 7), 8, "Day"),
+    ]
+    flagged = history.with_night_to_day_flip(spark.createDataFrame(rows, SHIFT))
+    assert {r.timesheet_id for r in flagged.where("night_to_day_flip_flag = 1").collect()} == {2, 4}
+
+
+def test_consecutive_days(spark):
+    rows, number = [], 0
+
+    def days(person, first, count):
+        nonlocal number
+        for k in range(count):
+            number += 1
+            rows.append((number, person, first + timedelta(k)))
+
+    days(1, date(2024, 1, 1), 4)
+    days(2, date(2023, 12, 30), 5)  # across the year's end
+    days(3, date(2024, 2, 27), 5)  # across 29 February
+    days(3, date(2024, 2, 28), 1)  # two shifts on one day
+    days(4, date(2024, 1, 1), 3)
+    days(4, date(2024, 1, 5), 4)  # a free day in between
+    days(None, date(2024, 1, 1), 6)
+    df = spark.createDataFrame(rows, "timesheet_id long, staff_id long, shift_date date")
+    flagged = history.with_consecutive_days(df)
+    assert flagged.count() == len(rows)
+    counts = {r.staff_id: r["sum"] for r in flagged.groupBy("staff_id").agg(
+        F.sum("consecutive_days_flag").alias("sum")).collect()}
+    assert counts == {1: 0, 2: 5, 3: 6, 4: 0, None: 0}
+    lengths = {(r.staff_id, r.streak_length) for r in history.staff_streaks(df).collect()}
+    assert lengths == {(1, 4), (2, 5), (3, 5), (4, 3), (4, 4)}
+
+
+def test_expand(spark):
+    df = spark.createDataFrame(
+        [(1, 3), (2, 1), (3, 0), (4, None)], "timesheet_id long, assignment_count long"
+    ).withColumn("shift_date", F.lit(date(2024, 1, 1))).withColumn("department_override", F.lit("ER"))
+    rows = assignments.expand_assignments(df).collect()
+    assert sorted((r.timesheet_id, r.assignment_no) for r in rows) == [(1, 1), (1, 2), (1, 3), (2, 1)]
+    assert {r.department for r in rows} == {"ER"}
+
+
+def test_leave_flags(spark):
+    df = spark.createDataFrame(
+        [(i, e, d) for i, (e, d) in enumerate((e, d) for e in (True, False) for d in (0, 9, 10))],
+        "leave_id long, emergency_leave_flag boolean, leave_days_count long",
+    )
+    found = {r.leave_id: (r.leave_fact_id, r.burnout_leave_flag) for r in facts.fact_leave(df).collect()}
+    assert [found[i][1] for i in range(6)] == [1, 1, 1, 0, 0, 1]
+    assert [found[i][0] for i in range(6)] == [f"LF_{i + 1:08d}" for i in range(6)]
+
+
+def test_leave_window(spark):
+    df = spark.createDataFrame(
+        [(date(2024, 1, 1), 3), (date(2024, 1, 30), 5), (date(2024, 1, 31), 1)],
+        "leave_start date, duration_days long",
+    )
+    ended = leave.with_leave_days(leave.with_leave_window(df, date(2024, 1, 31)))
+    assert [(r.leave_end, r.leave_days_count) for r in ended.collect()] == [
+        (date(2024, 1, 4), 3), (date(2024, 1, 31), 1), (date(2024, 1, 31), 0),
+    ]
+
+
+def test_worst_risk_ignores_unknown_labels(spark):
+    rows = [(1, "Low"), (1, "High"), (1, "odd"), (2, "odd"), (None, "Low")]
+    df = spark.createDataFrame(rows, "staff_id long, burnout_risk_label string").withColumn(
+        "shift_date", F.lit(date(2024, 1, 1))
+    )
+    found = {r.staff_id: r.worst_burnout_risk for r in facts.worst_risk(df).collect()}
+    assert found == {1: "High", 2: None}
+
+
+def test_dimensions(spark):
+    departments = {r.department_name: r for r in dims.dim_department(spark).collect()}
+    assert len(departments) == 8
+    assert departments["ICU"].dept_id == "DEPT_01" and departments["ICU"].is_critical_dept == 1
+    assert departments["Pathology"].risk_category == "Low"
+    kinds = {r.shift_type_name: r for r in dims.dim_shift_type(spark).collect()}
+    assert (kinds["Night"].shift_start_hr, kinds["Night"].burnout_weight) == (19, 1.5)
+
+
+def test_require(spark):
+    people = spark.createDataFrame([("Inactive",)], "status string")
+    with pytest.raises(ValueError, match="Active"):
+        quality.require_active(people)
+    with pytest.raises(ValueError, match="eligible"):
+        quality.require_leave_eligible(people)
+    quality.require_leave_eligible(spark.createDataFrame([(None,)], "status string"))
+    checks = spark.createDataFrame([("a", 0), ("b", 2)], "check_name string, violations long")
+    with pytest.raises(ValueError, match="b"):
+        quality.require_clean(checks)
+    quality.require_clean(checks.where("violations = 0"))
+
+
+def test_backfill_is_idempotent(spark):
+    people = spark.createDataFrame(
+        [(1, 0), (2, 1), (3, 0)], "staff_id long, night_shift_female_flag long"
+    )
+    worked = spark.createDataFrame(
+        [(1, 1), (1, 1), (2, 0)], "staff_id long, female_night_flag long"
+    )
+    once = staff.backfill_female_night(people, worked)
+    twice = staff.backfill_female_night(once, worked)
+    expected = {(1, 1), (2, 0), (3, 0)}
+    assert {tuple(r) for r in once.collect()} == expected
+    assert {tuple(r) for r in twice.collect()} == expected
