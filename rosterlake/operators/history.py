@@ -26,6 +26,7 @@ from rosterlake.operators.joins import attach
 
 DAY = ["staff_id", "shift_date"]
 BLOCK_BITS = 16
+_WORKING = ["_no", "_block", "_night_before", "_before", "_day_before", "_followers"]
 
 
 def _with_block(shifts: DataFrame) -> DataFrame:
@@ -178,13 +179,19 @@ def _carry(blocks: DataFrame, days: DataFrame) -> DataFrame:
     return before.join(days, DAY)
 
 
-def _flip_flag(shifts_with_carry: DataFrame) -> Column:
-    """Day after Night, in the order of date and id; the gap does not matter."""
+def _with_night_before(shifts: DataFrame) -> DataFrame:
+    """Shifts with block and, inside the block, whether the shift before was at night.
+
+    The window comes before the join with the carry: the join then finds its rows sorted.
+    """
     in_block = Window.partitionBy(*DAY, "_block").orderBy("_no")
-    night_before = F.coalesce(
-        F.lag(flag(F.col("shift_type") == "Night")).over(in_block),
-        F.coalesce("_before", "_day_before") % 2,
-    )
+    night_before = F.lag(flag(F.col("shift_type") == "Night")).over(in_block)
+    return _with_block(shifts).withColumn("_night_before", night_before)
+
+
+def _flip_flag() -> Column:
+    """Day after Night, in the order of date and id; the gap does not matter."""
+    night_before = F.coalesce("_night_before", F.coalesce("_before", "_day_before") % 2)
     return flag(
         F.col("staff_id").isNotNull() & (F.col("shift_type") == "Day") & (night_before == 1)
     )
@@ -193,10 +200,8 @@ def _flip_flag(shifts_with_carry: DataFrame) -> Column:
 def with_night_to_day_flip(shifts: DataFrame) -> DataFrame:
     blocks = _blocks(shifts)
     carry = _carry(blocks, _days(blocks))
-    joined = _with_block(shifts).join(carry, [*DAY, "_block"], "left")
-    return joined.withColumn("night_to_day_flip_flag", _flip_flag(joined)).drop(
-        "_no", "_block", "_before", "_day_before"
-    )
+    joined = _with_night_before(shifts).join(carry, [*DAY, "_block"], "left")
+    return joined.withColumn("night_to_day_flip_flag", _flip_flag()).drop(*_WORKING)
 
 
 # --- all at once -----------------------------------------------------------
@@ -218,12 +223,12 @@ def with_history(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
     days = streak_days(_days(blocks)).withColumn("consecutive_days_flag", _over_limit())
     days = days.drop("streak", "streak_length").join(day_cases, DAY, "left")
     carry = _carry(blocks, days).join(followers, [*DAY, "_block"], "left")
-    joined = _with_block(shifts).join(carry, [*DAY, "_block"], "left")
+    joined = _with_night_before(shifts).join(carry, [*DAY, "_block"], "left")
     flagged = joined.withColumns(
         {
-            "night_to_day_flip_flag": _flip_flag(joined),
+            "night_to_day_flip_flag": _flip_flag(),
             "back_to_back_12h_flag": flag(F.array_contains("_followers", F.col("_no"))),
         }
     )
     counts = ["consecutive_days_flag", "critical_cases", "emergency_cases"]
-    return flagged.fillna(0, counts).drop("_no", "_block", "_before", "_day_before", "_followers")
+    return flagged.fillna(0, counts).drop(*_WORKING)

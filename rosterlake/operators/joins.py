@@ -15,9 +15,11 @@ SPREAD = 65_536
 
 
 def fits_broadcast(table: DataFrame, rows: int | None = None) -> bool:
-    """True if the table has at most ``rows`` rows; reads no more than one row beyond."""
-    rows = BROADCAST_ROWS if rows is None else rows
-    return table.limit(rows + 1).count() <= rows
+    """True if the table has at most ``rows`` rows.
+
+    Of a parquet table the count reads the file footers only, one number per task.
+    """
+    return table.count() <= (BROADCAST_ROWS if rows is None else rows)
 
 
 def spread(row_id: str) -> Column:

@@ -227,9 +227,8 @@ def silver_stamp(b: Base) -> DataFrame:
 
 @query
 def dedup_staff_attrs(b: Base) -> DataFrame:
-    """The staff attributes of the shifts' rows, one row per staff member."""
     return cleaning.dedup_staff_attrs(
-        b.staff.join(b.plain.select("staff_id"), "staff_id"),
+        _delivered_twice(b.staff, "staff_id", "salary_band", F.lit("~unknown")),
         ["role", "salary_band", "gender", "department"],
     )
 
