@@ -114,17 +114,21 @@ def fact_overtime(shifts: DataFrame, overtime_ids: DataFrame | None = None) -> D
     ).drop("_shift_no")
 
 
-def fact_leave(leaves: DataFrame) -> DataFrame:
-    """The leave records with a flag for emergency or long leave, numbered by leave id."""
+def fact_leave(leaves: DataFrame, leave_ids: DataFrame | None = None) -> DataFrame:
+    """The leave records with a flag for emergency or long leave, numbered by leave id.
+
+    ``leave_ids`` may give the ids of the leaves in a cheaper way, for numbering.
+    """
     pressing = F.col("emergency_leave_flag") | (
         F.col("leave_days_count") >= rules.LONG_LEAVE_DAYS
     )
     flagged = leaves.withColumn("burnout_leave_flag", flag(pressing))
+    ids = leaves if leave_ids is None else leave_ids
     return with_surrogate_key(
         flagged.withColumn("_leave_no", id_number(leaves, "leave_id")),
         "leave_fact_id",
         "LF_",
         by="_leave_no",
         then=["leave_id"],
-        keys=leaves.select(id_number(leaves, "leave_id").alias("_leave_no")),
+        keys=ids.select(id_number(ids, "leave_id").alias("_leave_no")),
     ).drop("_leave_no")

@@ -594,7 +594,7 @@ def fact_overtime(b: Base) -> DataFrame:
 
 @query
 def fact_leave(b: Base) -> DataFrame:
-    return facts.fact_leave(b.leaves)
+    return facts.fact_leave(b.leaves, b.requests)
 
 
 # --- quality -----------------------------------------------------------------

@@ -88,10 +88,14 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     return sales_table(spark, folder, "lineitem")
 
 
+def with_timesheet_id(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("timesheet_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+
+
 def raw_shifts(lines: DataFrame) -> DataFrame:
     part = F.col("l_partkey")
     return lines.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("timesheet_id"),
+        "timesheet_id",
         F.col("l_suppkey").alias("staff_id"),
         F.col("l_shipdate").cast("date").alias("shift_date"),
         F.when(F.col("l_linestatus") == "F", "Night").otherwise("Day").alias("shift_type"),
@@ -106,8 +110,13 @@ def raw_shifts(lines: DataFrame) -> DataFrame:
 
 
 def shifts(spark: SparkSession, folder: str) -> DataFrame:
-    """Shifts, one per key, of all staff."""
-    return raw_shifts(dedup_by_key(raw_lines(spark, folder), LINE_KEY, line_order()))
+    """Shifts, one per id, of all staff.
+
+    The id is one number made of the line's key. Spark compares it by its sort prefix, so
+    the columns of the order count for copies only.
+    """
+    lines = with_timesheet_id(raw_lines(spark, folder))
+    return raw_shifts(dedup_by_key(lines, ["timesheet_id"], line_order()))
 
 
 def assignments(worked: DataFrame) -> DataFrame:
