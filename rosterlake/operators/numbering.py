@@ -11,6 +11,8 @@ from rosterlake.functions.ids import format_id
 
 # A group of groups covers 2^20 groups.
 GROUP_BITS = 20
+# the smallest long
+BEFORE_ALL = -(2**63)
 
 
 def number_rows(
@@ -34,10 +36,11 @@ def number_rows(
     """
 
     def blocks(frame: DataFrame) -> DataFrame:
+        value = F.coalesce(F.col(by), F.lit(BEFORE_ALL))  # rows without a number come first
         return frame.withColumns(
             {
-                "_block": F.shiftright(F.col(by), bits),
-                "_group": F.shiftright(F.col(by), bits + GROUP_BITS),
+                "_block": F.shiftright(value, bits),
+                "_group": F.shiftright(value, bits + GROUP_BITS),
             }
         )
 

@@ -201,10 +201,11 @@ def test_large_staff_table_takes_the_other_way(spark, monkeypatch):
 def test_numbers_are_gapless_and_do_not_depend_on_partitions(spark, monkeypatch, parts, bits):
     monkeypatch.setattr(numbering, "GROUP_BITS", 3)
     rng = random.Random(3)
-    rows = [(rng.randrange(600), rng.choice("abc"), n) for n in range(900)]
+    rows = [(rng.choice([None, rng.randrange(600)]), rng.choice("abc"), n) for n in range(900)]
     df = spark.createDataFrame(rows, "a long, b string, c long").repartition(parts)
     found = numbering.number_rows(df, "a", ["b", "c"], bits=bits).collect()
-    expected = {row: n for n, row in enumerate(sorted(rows), 1)}
+    in_order = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1], r[2]))
+    expected = {row: n for n, row in enumerate(in_order, 1)}
     assert {(r.a, r.b, r.c): r.row_no for r in found} == expected
 
 
