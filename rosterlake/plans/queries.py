@@ -417,7 +417,6 @@ def emergency_cases(b: Base) -> DataFrame:
 
 @query
 def shift_case_counts(b: Base) -> DataFrame:
-    b = b.stored()
     counts = asg.day_case_counts(b.assignments)
     return asg.with_case_counts(b.plain.select(*SHIFT), counts)
 
@@ -443,7 +442,6 @@ def _with_drivers(b: Base) -> DataFrame:
 
 @query
 def burnout_score(b: Base) -> DataFrame:
-    b = b.stored()
     return burnout.with_acute_score(_with_drivers(b)).select(
         ID, "overtime_hours", "critical_cases", "night_flag", "consecutive_days_flag",
         "emergency_cases", "acute_score",
@@ -452,14 +450,12 @@ def burnout_score(b: Base) -> DataFrame:
 
 @query
 def burnout_components(b: Base) -> DataFrame:
-    b = b.stored()
     scored = burnout.with_burnout_components(_with_drivers(b))
     return scored.select(ID, *[name for name in scored.columns if name.startswith("score_")])
 
 
 @query
 def burnout_risk_label(b: Base) -> DataFrame:
-    b = b.stored()
     scored = burnout.with_acute_score(_with_drivers(b))
     return burnout.with_risk_label(scored, "acute_score").select(
         ID, "acute_score", "burnout_risk_label"
