@@ -10,11 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import language_mix, packing, quality_vote, secret_scan
+from rosterlake.llm import language_mix, packing, parity_join, quality_vote, secret_scan
 from rosterlake.llm.scratch import store
 
 # A document in which no language has half of the words has no language of its own.
 LEAST_SHARE = 0.5
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
 
 
 def keep_one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,6 +35,17 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return judged.where(F.col(f"`{name}`.kept")).drop(name)
 
 
+def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (shingles of five words, similarity 0.8):
+    the one with the smallest id. Texts without a word are in no group and stay. Rows that share
+    an id are one document, of which one row stays; rows without an id cannot be told apart and
+    all stay."""
+    linked = parity_join.link_texts(docs, k=SHINGLE_WORDS, num=SIMILAR_PERCENT)
+    firsts = linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark; ``n_chars`` follows the text."""
     columns = list(docs.columns)
@@ -49,6 +62,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("language", keep_one_language),
     ("quality", keep_good_quality),
+    ("near_duplicates", keep_one_of_group),
     ("secrets", redact_secrets),
     ("packing", pack_sequences),
 ]

@@ -163,7 +163,11 @@ class Templates:
             best = self._best(words, template)
             if best is not None:
                 found.append({"license": name} | best)
-        return sorted(found, key=lambda f: (-f["coverage"], f["begin"] - f["end"], f["license"]))
+
+        def rank(f: dict) -> tuple:
+            return -f["coverage"], -len(self.words[f["license"]]), f["begin"], f["license"]
+
+        return sorted(found, key=rank)
 
     def _best(self, words: list[str], template: list[str]) -> dict | None:
         """The best alignment: with the whole text, or, where words repeat, with the stretches
@@ -200,7 +204,7 @@ def scan_licenses(
     texts: Mapping[str, str] = NOTICES, least: float = LEAST_COVERAGE
 ) -> Callable:
     """A function from a text column to an array of (license, coverage, begin, end), the license
-    covered best first; of equally covered ones the longer stretch, then the name decides.
+    covered best first; of equally covered ones the one with more words, then the earlier one.
 
     ``texts``: license texts by name, the same few for all documents. Null, empty and other texts
     without a license give an empty array. Texts are read whole; ``begin`` and ``end`` count

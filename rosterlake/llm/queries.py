@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import host_reputation, language_mix, packing, pair_tree_bpe, quality_vote
-from rosterlake.llm import secret_scan, token_count
+from rosterlake.llm import host_reputation, language_mix, license_scan, packing, pair_tree_bpe
+from rosterlake.llm import parity_join, quality_vote, secret_scan, token_count, vector_grid_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,19 @@ def op5_token_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op6_license_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """The license covered best, and how many are covered; null and 0 where there is none."""
+    docs = _table(spark, folder, "documents")
+    found = docs.select("doc_id", license_scan.scan_licenses()("text").alias("found"))
+    return found.select("doc_id", F.get("found", F.lit(0)).alias("best"), F.size("found").alias("n_licenses")).select(
+        "doc_id", "best.*", "n_licenses"
+    )
+
+
+def op7_grid_order_join(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_grid_join.link_vectors(_table(spark, folder, "embeddings"))
+
+
 def op8_pair_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     digests = pair_tree_bpe.round_trip(public_tokenizers.path("word_bpe_49k.json"))
@@ -73,6 +86,10 @@ def op9_secret_structure(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "found.*")
 
 
+def op10_parity_sketch_join(spark: SparkSession, folder: str) -> DataFrame:
+    return parity_join.link_texts(_table(spark, folder, "documents"), k=4, num=85)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -81,7 +98,10 @@ QUERIES: dict[str, Query] = {
         op3_quality_votes,
         op4_host_reputation,
         op5_token_lookup,
+        op6_license_alignment,
+        op7_grid_order_join,
         op8_pair_tree_bpe,
         op9_secret_structure,
+        op10_parity_sketch_join,
     )
 }
