@@ -21,8 +21,9 @@ TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "g
 BLOCK_ABOVE = 0.5
 # Standard deviations below the mean: some 95 percent of the posterior lie above the bound.
 DEVIATIONS = 1.645
-# Limits of the correlation within a level, so that priors weigh from 1 to 999 pages.
-LEAST_CORRELATION, MOST_CORRELATION = 0.001, 0.5
+# Limits of the correlation within a level, so that a prior weighs from 3 to 999 pages and
+# a single bad page condemns no host.
+LEAST_CORRELATION, MOST_CORRELATION = 0.001, 0.25
 
 
 @dataclass(frozen=True)

@@ -179,10 +179,12 @@ class Templates:
         counts = Counter(w for w in words if w in inside)
         rarest = min((w for w in counts), key=lambda w: (counts[w], w))
         first = template.index(rarest)
+        after = len(template) - first
         for place, word in enumerate(words):
-            if word == rarest:
-                begin = max(0, place - 2 * first - 8)
-                end = min(len(words), place + 2 * (len(template) - first) + 8)
+            if word != rarest:
+                continue
+            for slack in (0, len(template) // 2 + 8):  # as it stands, and with changes around
+                begin, end = max(0, place - first - slack), min(len(words), place + after + slack)
                 other = self._covered(words, begin, end, template)
                 if other is not None and (best is None or other["coverage"] > best["coverage"]):
                     best = other

@@ -1,5 +1,158 @@
-"""DuckDB SQL for the queries that SQL can express over whole tables."""
+"""DuckDB SQL for the queries that SQL can express over whole tables.
+
+Languages, packing, votes, tokens, alignments and decoded secrets are iterative or need a
+tokenizer; their queries are held against plain versions in the tests.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+HOST_REPUTATION = r"""
+with seen as (
+  select page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+  from pages
+),
+counted as (
+  select s.host, count(*) as n, sum(case when l.quality = 0 then 1 else 0 end) as bad
+  from seen s join labels l on l.doc_id = s.page_id
+  where l.quality is not null
+  group by s.host
+),
+named as (
+  select *, regexp_replace(host, ':\d*$', '') as name from counted
+),
+split as (
+  select *, string_split(name, '.') as part,
+         regexp_matches(name, '^(\d+(\.\d+){3}|\[.*\])$') as number
+  from named
+),
+leveled as (
+  select *, array_to_string(part[-2:], '.') in
+    ('ac.uk', 'co.jp', 'co.nz', 'co.uk', 'com.au', 'com.br', 'gov.uk', 'org.uk') as two
+  from split
+),
+hosts as (
+  select host, n, bad,
+         case when number then name when two then array_to_string(part[-3:], '.')
+              else array_to_string(part[-2:], '.') end as domain,
+         case when number then name when two then array_to_string(part[-2:], '.')
+              else part[-1] end as suffix
+  from leveled
+),
+domains as (select suffix, domain, sum(n) as n, sum(bad) as bad from hosts group by all),
+suffixes as (select suffix, sum(n) as n, sum(bad) as bad from domains group by all),
+moments as (
+  select 'host' as level, sum(n) n, sum(bad) b, sum(bad * bad / n) q, sum(n * n) z, count(*) g from hosts
+  union all
+  select 'domain', sum(n), sum(bad), sum(bad * bad / n), sum(n * n), count(*) from domains
+  union all
+  select 'suffix', sum(n), sum(bad), sum(bad * bad / n), sum(n * n), count(*) from suffixes
+),
+spread as (
+  select level, b / n as rate, (b / n) * (1 - b / n) as v, n, b, q, z, g - 1 as free from moments
+),
+weight as (
+  select level, rate,
+         1.0 / least(0.25, greatest(0.001,
+           case when v * (n - z / n - free) > 0
+                then (q - b * b / n - v * free) / (v * (n - z / n - free)) else 0.001 end)) - 1 as w
+  from spread
+),
+above as (
+  select suffix, (rate * w + bad) / (n + w) as mean from suffixes, weight where level = 'suffix'
+),
+middle as (
+  select d.suffix, d.domain, (a.mean * w + d.bad) / (d.n + w) as mean
+  from domains d join above a using (suffix), weight where level = 'domain'
+),
+posterior as (
+  select h.host, h.n, w, (m.mean * w + h.bad) / (h.n + w) as mean
+  from hosts h join middle m using (suffix, domain), weight where level = 'host'
+),
+bounded as (
+  select host, mean, mean - 1.645 * sqrt(mean * (1 - mean) / (n + w + 1)) as bound from posterior
+),
+ruled as (
+  select *, case
+    when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/en/1')
+      then 'example.org/en/1'
+    when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/es/')
+      then 'example.org/es/'
+    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/de/') then 'com/de/'
+    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/fr/') then 'com/fr/'
+    when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/') then 'org/'
+  end as rule
+  from seen
+)
+select r.page_id, r.host, r.path, r.rule,
+       case when r.rule in ('org/', 'com/fr/') then 'allow' when r.rule is not null then 'block'
+            when b.bound > 0.5 then 'block' else 'allow' end as verdict
+from ruled r left join bounded b using (host)
+"""
+
+GRID_ORDER_JOIN = """
+with recursive sound as (
+  select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, x -> x <> 0)) > 0
+),
+links as (
+  select a.vec_id as a, b.vec_id as b
+  from sound a join sound b on a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reached as (
+  select vec_id as a, vec_id as b from embeddings
+  union
+  select r.a, l.b from reached r join links l on l.a = r.b
+),
+least as (select a, min(b) as component_id from reached group by a),
+counts as (select a, count(*) as n from links group by a)
+select l.a as vec_id, coalesce(c.n, 0) as n_links, l.component_id, l.a = l.component_id as kept
+from least l left join counts c using (a)
+"""
+
+PARITY_SKETCH_JOIN = r"""
+with recursive words as (
+  select doc_id,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+sets as (
+  select doc_id, case
+    when len(w) = 0 then []
+    when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')))
+  end as s
+  from words
+),
+items as (select doc_id, unnest(s) as g from sets),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from items a join items b on a.g = b.g and a.doc_id <> b.doc_id
+  group by all
+),
+links as (
+  select a, b from shared
+  join sets x on x.doc_id = a join sets y on y.doc_id = b
+  where 100 * c >= 85 * (len(x.s) + len(y.s) - c)
+),
+reached as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select r.a, l.b from reached r join links l on l.a = r.b
+)
+select s.doc_id, len(s.s)::bigint as n_shingles, min(r.b) as component_id
+from sets s join reached r on r.a = s.doc_id
+group by s.doc_id, len(s.s)
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_host_reputation": HOST_REPUTATION,
+    "op7_grid_order_join": GRID_ORDER_JOIN,
+    "op10_parity_sketch_join": PARITY_SKETCH_JOIN,
+}

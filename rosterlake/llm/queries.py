@@ -51,7 +51,8 @@ def op4_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     """A page is bad if the label of the same number says so."""
     labels = _table(spark, folder, "labels")
     outcomes = labels.select("doc_id", (F.col("quality") == 0).alias("bad"))
-    return host_reputation.judge_urls(_table(spark, folder, "pages"), outcomes)
+    judged = host_reputation.judge_urls(_table(spark, folder, "pages"), outcomes)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_token_lookup(spark: SparkSession, folder: str) -> DataFrame:
