@@ -12,18 +12,19 @@ from rosterlake import rules
 from rosterlake.functions.choices import flag
 
 
-def surge_flag(day: Column, years) -> Column:
-    """1 if the day lies in a surge period of one of the years.
+def surge_flag(day: Column, years=None) -> Column:
+    """1 if the day lies in a surge period: of any year, or of the listed ones.
 
-    No period crosses a year's end, so month and day decide within the listed years.
-    It is one row expression: there is no range join and nothing to broadcast.
+    No period crosses a year's end, so month and day decide. It is one row expression: there is
+    no range join and nothing to broadcast.
     """
     month_day = F.month(day) * 100 + F.dayofmonth(day)
     periods = [
         month_day.between(first[0] * 100 + first[1], last[0] * 100 + last[1])
         for first, last in rules.SURGE_PERIODS
     ]
-    return flag(F.year(day).isin(list(years)) & reduce(or_, periods))
+    in_period = reduce(or_, periods)
+    return flag(in_period if years is None else F.year(day).isin(list(years)) & in_period)
 
 
 def iso_year_week(day: Column) -> Column:

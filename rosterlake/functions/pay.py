@@ -10,7 +10,7 @@ from rosterlake.functions.choices import decimal_lit, first_limit, lookup
 
 
 def hourly_rate(role: Column, experience: Column, noise: Column | None = None) -> Column:
-    """Base rate of the role x multiplier of the experience x noise, to 2 decimals.
+    """Base rate of the role x multiplier of the experience x noise, rounded once to 2 decimals.
 
     An unknown role gives null and is counted by the argument checks; an unknown
     experience counts as 1.0.
@@ -19,7 +19,7 @@ def hourly_rate(role: Column, experience: Column, noise: Column | None = None) -
     multiplier = lookup(
         experience, rules.EXPERIENCE_MULTIPLIER, decimal_lit(rules.UNKNOWN_EXPERIENCE_MULTIPLIER)
     )
-    noise = decimal_lit("1.0") if noise is None else noise.cast("decimal(6,4)")
+    noise = decimal_lit("1.0") if noise is None else noise.cast("decimal(18,12)")
     return F.bround(base * multiplier * noise, 2).cast("decimal(10,2)")
 
 

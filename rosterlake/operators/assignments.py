@@ -27,7 +27,7 @@ def expand_assignments(shifts: DataFrame, count_column: str = "assignment_count"
     )
 
 
-def with_surge_emergency_flag(assignments: DataFrame, years) -> DataFrame:
+def with_surge_emergency_flag(assignments: DataFrame, years=None) -> DataFrame:
     in_surge = surge_flag(F.col("assignment_date"), years) == 1
     both = in_surge & (F.col("case_type") == "Emergency")
     return assignments.withColumn("surge_emergency_flag", flag(both))
@@ -62,7 +62,7 @@ def day_case_counts(assignments: DataFrame) -> DataFrame:
 
 def with_case_counts(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
     """Every shift gets the counts of its whole staff-day; 0 if there are none."""
-    attached = attach(shifts, day_cases, DAY, "timesheet_id")
+    attached = attach(shifts, day_cases, DAY)
     return attached.fillna(0, ["critical_cases", "emergency_cases"])
 
 

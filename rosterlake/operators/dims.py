@@ -17,7 +17,7 @@ STAFF_COLUMNS = [
 ]
 
 
-def dim_date(bounds: DataFrame, years) -> DataFrame:
+def dim_date(bounds: DataFrame, years=None) -> DataFrame:
     """One row per day from ``first_day`` to ``last_day`` of the one-row table ``bounds``."""
     days = bounds.select(F.explode(F.sequence("first_day", "last_day")).alias("full_date"))
     day = F.col("full_date")
@@ -68,10 +68,12 @@ def dim_shift_type(spark: SparkSession) -> DataFrame:
     )
 
 
-def in_use(dimension: DataFrame, name: str, facts: DataFrame, column: str) -> DataFrame:
-    """The rows of a dimension that occur in the facts."""
-    used = facts.select(F.col(column).alias(name)).distinct()
-    return dimension.join(used, name, "left_semi")
+def with_fact_count(
+    dimension: DataFrame, name: str, facts: DataFrame, column: str, count: str
+) -> DataFrame:
+    """All rows of a dimension, with the facts of each counted; 0 where there is none."""
+    counts = facts.groupBy(F.col(column).alias(name)).agg(F.count("*").alias(count))
+    return dimension.join(counts, name, "left").fillna(0, [count])
 
 
 def dim_staff(staff: DataFrame) -> DataFrame:

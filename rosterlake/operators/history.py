@@ -84,7 +84,7 @@ def with_consecutive_days(shifts: DataFrame, day_cases: DataFrame | None = None)
     days = days.select(*DAY, _over_limit().alias("consecutive_days_flag"))
     if day_cases is not None:
         days = days.join(day_cases, DAY, "left")
-    attached = attach(shifts, days, DAY, "timesheet_id")
+    attached = attach(shifts, days, DAY)
     return attached.fillna(0, [name for name in days.columns if name not in DAY])
 
 

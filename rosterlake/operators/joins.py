@@ -1,64 +1,25 @@
-"""Left joins of facts to one-row-per-key tables that stay even when a key is hot."""
+"""Joins of facts to tables with one row per key.
+
+They are plain left and semi joins: the facts are shuffled once by the key. A key with very many
+facts makes a large shuffle partition, which adaptive execution splits into several tasks, each
+with a copy of the key's one row (``spark.sql.adaptive.skewJoin``, on by default; the thresholds
+are the session's). Whether a table is small enough to be sent to every task is left to Spark's
+own byte limit, at planning and again at run time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# Rows a table may have to be sent to every executor: some 50 MB of narrow rows.
-BROADCAST_ROWS = 500_000
-# Shares a hot key is split into. A key with a third of 10^12 rows leaves 5 million
-# rows to a task, and no key gets more than this number of copies of its table row.
-SPREAD = 65_536
-
-
-def fits_broadcast(table: DataFrame, rows: int | None = None) -> bool:
-    """True if the table has at most ``rows`` rows.
-
-    Of a parquet table the count reads the file footers only, one number per task.
-    """
-    return table.count() <= (BROADCAST_ROWS if rows is None else rows)
-
-
-def spread(row_id: str) -> Column:
-    return F.pmod(F.xxhash64(row_id), F.lit(SPREAD))
-
-
-def attach(
-    facts: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    row_id: str,
-    share: Column | None = None,
-) -> DataFrame:
-    """Left join of ``facts`` to ``table``, which holds one row per ``on``.
-
-    The facts of one key are split into shares by their id. The (key, share) pairs that
-    occur are reduced before any shuffle, take up the table's columns, and only then meet
-    the facts: a key with most of the rows is worked on by many tasks, whatever its size.
-    Facts without a key keep null columns.
-    """
-    on = list(on)
-    split = facts.withColumn("_share", spread(row_id) if share is None else share)
-    pairs = split.select(*on, "_share").dropna().distinct()
-    carried = pairs.join(table, on, "inner")
-    return split.join(carried, [*on, "_share"], "left").drop("_share")
+from pyspark.sql import DataFrame
 
 
-def attach_dimension(
-    facts: DataFrame, dimension: DataFrame, on: Sequence[str], row_id: str
-) -> DataFrame:
-    """As ``attach``, but a dimension checked to be small is broadcast instead."""
-    if fits_broadcast(dimension):
-        return facts.join(F.broadcast(dimension), list(on), "left")
-    return attach(facts, dimension, on, row_id)
+def attach(facts: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join of ``facts`` to ``table``, which holds one row per ``on``. Facts without a key
+    keep null columns."""
+    return facts.join(table, list(on), "left")
 
 
-def keep_matching(
-    facts: DataFrame, dimension: DataFrame, on: Sequence[str], row_id: str
-) -> DataFrame:
-    """The facts whose key occurs in the dimension, which holds one row per key."""
-    marked = dimension.select(*on).withColumn("_known", F.lit(True))
-    return attach_dimension(facts, marked, on, row_id).where("_known").drop("_known")
+def keep_matching(facts: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The facts whose key occurs in the dimension."""
+    return facts.join(dimension.select(*on), list(on), "left_semi")

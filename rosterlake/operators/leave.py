@@ -64,7 +64,7 @@ def with_conflict_flag(leaves: DataFrame, worked: DataFrame) -> DataFrame:
         .where("_worked IS NULL")
         .select("staff_id", F.col("_day").alias("leave_start"), "_next_worked")
     )
-    joined = attach(leaves, next_worked, ["staff_id", "leave_start"], "leave_id")
+    joined = attach(leaves, next_worked, ["staff_id", "leave_start"])
     return joined.withColumn(
         "conflict_flag", flag(F.col("_next_worked") <= F.col("leave_end"))
     ).drop("_next_worked")
@@ -151,7 +151,7 @@ def resolve_leave_conflicts(leaves: DataFrame, worked: DataFrame, window_end: da
     the window's end; adds ``moved_days``. Leaves do not avoid each other."""
     requests = leaves.select(*REQUEST).dropna().distinct()
     moves = leave_moves(requests, worked, window_end)
-    attached = attach(leaves, moves, REQUEST, "leave_id").withColumn(
+    attached = attach(leaves, moves, REQUEST).withColumn(
         "moved_days", F.coalesce("moved_days", F.lit(0)).cast("long")
     )
     moved_start = F.least(

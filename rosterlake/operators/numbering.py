@@ -32,7 +32,8 @@ def number_rows(
     a repeated task finds the same numbers. Choose ``bits`` so that a block's rows fit a task:
     16 for unique ids.
 
-    ``keys``, if given, holds the same ``by`` values as ``df`` in a cheaper way, for counting.
+    ``keys``, if given, holds the same ``by`` values as ``df`` in a cheaper way, for counting. A
+    block of rows that ``keys`` does not know stops the job; no row is left out.
     """
 
     def blocks(frame: DataFrame) -> DataFrame:
@@ -66,12 +67,13 @@ def number_rows(
             (F.coalesce("_blocks", F.lit(0)) + F.coalesce("_groups", F.lit(0))).alias("_before"),
         )
     )
+    unknown = F.raise_error(F.lit("rows to be numbered are missing in keys")).cast("long")
     in_block = Window.partitionBy("_group", "_block").orderBy(by, *then)
     return (
         blocks(df)
         .withColumn("_place", F.row_number().over(in_block))
-        .join(rows_before, ["_group", "_block"])
-        .withColumn(name, F.col("_place") + F.col("_before"))
+        .join(rows_before, ["_group", "_block"], "left")
+        .withColumn(name, F.col("_place") + F.coalesce("_before", unknown))
         .drop("_group", "_block", "_place", "_before")
     )
 

@@ -41,7 +41,7 @@ def with_overtime(shifts: DataFrame) -> DataFrame:
     return shifts.withColumn("overtime_hours", overtime_hours(F.col("shift_duration_hours")))
 
 
-def with_surge_flag(shifts: DataFrame, years) -> DataFrame:
+def with_surge_flag(shifts: DataFrame, years=None) -> DataFrame:
     return shifts.withColumn("surge_period_flag", surge_flag(F.col("shift_date"), years))
 
 
@@ -71,7 +71,7 @@ def with_overtime_pay(shifts: DataFrame) -> DataFrame:
     )
 
 
-def with_shift_columns(shifts: DataFrame, years) -> DataFrame:
+def with_shift_columns(shifts: DataFrame, years=None) -> DataFrame:
     """All of the above on shifts that carry the staff lookup."""
     return (
         shifts.transform(with_shift_interval)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.functions.choices import flag
 from rosterlake.functions.pay import hourly_rate, salary_band
-from rosterlake.operators.joins import attach_dimension
+from rosterlake.operators.joins import attach
 
 LOOKUP_COLUMNS = {
     "gender": "gender",
@@ -54,7 +54,7 @@ def with_staff_attributes(shifts: DataFrame, staff: DataFrame) -> DataFrame:
     attributes = staff.select(
         "staff_id", *[F.col(source).alias(name) for source, name in LOOKUP_COLUMNS.items()]
     )
-    joined = attach_dimension(shifts, attributes, ["staff_id"], "timesheet_id")
+    joined = attach(shifts, attributes, ["staff_id"])
     return joined.withColumn("gender", F.coalesce("gender", F.lit("")))
 
 

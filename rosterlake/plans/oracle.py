@@ -16,13 +16,12 @@ with staff as (
     (['ICU','ER','General Ward','Pediatrics','Oncology','Cardiology','Radiology',
       'Pathology'])[s_nationkey % 8 + 1] as department,
     date '2015-01-01' + cast(s_suppkey * 37 % 3650 as integer) as hire_date,
-    (['Full-time','Contract','Part-time'])[s_suppkey % 3 + 1] || '/'
+    (['permanent','temporary','hourly'])[s_suppkey % 3 + 1] || '/'
       || case when s_suppkey % 9 < 5 then 'Female' else 'Male' end as employment_type,
-    (['Day','Night','Any'])[s_suppkey % 3 + 1] as shift_preference,
+    (['early','late','none'])[s_suppkey % 3 + 1] as shift_preference,
     case when s_suppkey % 20 = 19 then 'Inactive' when s_suppkey % 20 = 9 then 'On Leave'
       else 'Active' end as status,
-    (['Central Hospital','North Clinic','East Annex','West Medical Center'])[s_suppkey % 4 + 1]
-      as base_location,
+    'site ' || s_nationkey as base_location,
     cast((([350,800,250,1200,900,600,400,300])[s_suppkey % 8 + 1])
       * (([1.0,1.4,1.8])[s_suppkey % 3 + 1]) as decimal(10,2))
       + cast(s_suppkey * 37 % 100 as decimal(10,2)) * 0.01 as rate
@@ -53,7 +52,7 @@ with staff as (
       as assignment_count,
     l_partkey as case_seed
   from lines
-), years as (select unnest(range(1995, 2002)) as y
+), years as (select distinct cast(year(l_shipdate) as integer) as y from lineitem
 ), surge as (
   select make_date(y, m1, d1) as first_day, make_date(y, m2, d2) as last_day
   from years, (values (1,15,1,25),(3,1,3,10),(5,5,5,15),(7,20,7,30),(9,10,9,20))
@@ -226,12 +225,20 @@ with staff as (
 )
 """
 
+# every table of the given folder
+TABLES = (
+    "benchmark conversations customer documents embeddings events labels lineitem nation orders "
+    "pages part region supplier"
+).split()
+
 ORACLE = {
     # sources and sinks
     "bronze_read": "select * from lineitem",
     "parquet_write": """select h.* from all_shifts h
         join staff s on h.staff_id = s.staff_id and s.status = 'Active'""",
-    "bronze_land": "select * from lineitem",
+    "bronze_land": " union all ".join(
+        f"select '{name}' as table_name, count(*) as row_count from {name}" for name in TABLES
+    ),
     "silver_write": "select * from orders",
     "silver_staff_master": """select * replace (printf('STF_%07d', staff_id) as staff_id)
         from staff_master""",
@@ -244,6 +251,7 @@ ORACLE = {
         printf('STF_%07d', staff_id) as staff_id) from leaves""",
     # cleaning
     "dedup_by_key": "select * from lines",
+    "silver_stamp": "select *, true as stamped_by_this_run from lines",
     "dedup_staff_attrs": """select staff_id, role, salary_band, gender, department
         from staff_master""",
     "distinct_staff_days": "select * from days",
@@ -251,11 +259,12 @@ ORACLE = {
     "staff_hourly_rate": """select staff_id, role, experience_level,
         cast(round_even((([350,800,250,1200,900,600,400,300])[staff_id % 8 + 1])
           * (([1.0,1.4,1.8])[staff_id % 3 + 1])
-          * cast(90 + staff_id % 21 as decimal(6,2)) * 0.01, 2) as double) as per_hour_rate
+          * cast(cast(900000 + staff_id * 7919 % 200001 as decimal(10,0)) * 0.000001
+            as decimal(18,12)), 2) as double) as per_hour_rate
         from staff""",
     "salary_band": "select staff_id, per_hour_rate, salary_band from staff_master",
     "employment_type_split": """select staff_id, employment_type,
-        (['Full-time','Contract','Part-time'])[staff_id % 3 + 1] as employment_base,
+        (['permanent','temporary','hourly'])[staff_id % 3 + 1] as employment_base,
         gender as employment_gender from staff""",
     "surrogate_key": """select printf('TS_%08d', row_number() over (order by timesheet_id))
         as timesheet_key, timesheet_id, staff_id, shift_date from shifts""",
@@ -380,19 +389,21 @@ ORACLE = {
         from (select cast(unnest(generate_series(make_date(year(min(l_shipdate)), 1, 1),
           make_date(year(max(l_shipdate)), 12, 31), interval 1 day)) as date) as d
           from lineitem)""",
-    "dim_department": """select * from (values
+    "dim_department": """select d.*, coalesce(shift_count, 0) as shift_count from (values
         ('DEPT_01', 'ICU', 'Very High', cast(1 as bigint)), ('DEPT_02', 'ER', 'Very High', 1),
         ('DEPT_03', 'General Ward', 'Medium', 0), ('DEPT_04', 'Pediatrics', 'Medium', 0),
         ('DEPT_05', 'Oncology', 'High', 1), ('DEPT_06', 'Cardiology', 'High', 1),
         ('DEPT_07', 'Radiology', 'Low', 0), ('DEPT_08', 'Pathology', 'Low', 0))
         as d(dept_id, department_name, risk_category, is_critical_dept)
-        where department_name in (select department_override from shifts)""",
-    "dim_shift_type": """select * from (values
+        left join (select department_override, count(*) as shift_count from shifts group by 1) s
+        on s.department_override = d.department_name""",
+    "dim_shift_type": """select t.*, coalesce(shift_count, 0) as shift_count from (values
         (cast(1 as bigint), 'Day', cast(7 as bigint), cast(1.0 as double),
           'Standard Daytime Shift (07:0019:00)'),
         (2, 'Night', 19, 1.5, 'Night / On-call Shift   (19:0007:00)'))
         as t(shift_type_id, shift_type_name, shift_start_hr, burnout_weight, description)
-        where shift_type_name in (select shift_type from shifts)""",
+        left join (select shift_type, count(*) as shift_count from shifts group by 1) s
+        on s.shift_type = t.shift_type_name""",
     "dim_staff": """select staff_id, staff_name, gender, role, experience_level, department,
         hire_date, employment_type, shift_preference, status, base_location, per_hour_rate,
         salary_band, night_shift_female_flag from staff_master""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,12 +59,12 @@ class Base:
     @cached_property
     def plain(self) -> DataFrame:
         """Shifts of Active staff as they come in, without derived columns."""
-        return keep_matching(self.all_shifts, stf.active_staff(self.staff), ["staff_id"], ID)
+        return keep_matching(self.all_shifts, stf.active_staff(self.staff), ["staff_id"])
 
     @cached_property
     def shifts(self) -> DataFrame:
         """Shifts of Active staff with the columns of the shift itself."""
-        return workforce.active_shifts(self.all_shifts, self.staff, sample.SURGE_YEARS)
+        return workforce.active_shifts(self.all_shifts, self.staff)
 
     def stored(self) -> Base:
         """The same tables with the Active shifts written to the shared folder and read back.
@@ -137,10 +137,16 @@ def parquet_write(b: Base) -> DataFrame:
 
 @query
 def bronze_land(b: Base) -> DataFrame:
-    """Land the three sales tables and read the largest one back."""
+    """Land every table of the folder and count the rows that bronze then holds."""
     layout = LakeLayout(shared_folder(b.spark))
-    lake.land_bronze(b.spark, b.folder, layout, ["supplier", "orders", "lineitem"])
-    return lake.read_bronze(b.spark, layout, "lineitem")
+    landed = lake.land_bronze(b.spark, b.folder, layout)
+    counts = [
+        lake.read_bronze(b.spark, layout, name)
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "row_count")
+        for name in landed
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query
@@ -222,7 +228,10 @@ def dedup_by_key(b: Base) -> DataFrame:
 
 @query
 def silver_stamp(b: Base) -> DataFrame:
-    return cleaning.silver_stamp(dedup_by_key(b))
+    """The stamp differs from run to run, so the query says whether it is this run's, and one."""
+    stamped = cleaning.silver_stamp(dedup_by_key(b))
+    is_now = F.col("silver_processed_at") == F.current_timestamp()
+    return stamped.withColumn("stamped_by_this_run", is_now).drop("silver_processed_at")
 
 
 @query
@@ -243,9 +252,8 @@ def distinct_staff_days(b: Base) -> DataFrame:
 
 @query
 def staff_hourly_rate(b: Base) -> DataFrame:
-    noise = (F.lit(90) + F.col("staff_id") % 21).cast("decimal(4,0)") * F.lit("0.01").cast(
-        "decimal(3,2)"
-    )
+    millionths = F.lit(900_000) + F.col("staff_id") * 7919 % 200_001
+    noise = millionths.cast("decimal(10,0)") * F.lit("0.000001").cast("decimal(7,6)")
     return stf.with_hourly_rate(b.staff, noise).select(
         "staff_id", "role", "experience_level", "per_hour_rate"
     )
@@ -304,7 +312,7 @@ def surge_windows(b: Base) -> DataFrame:
 
 @query
 def surge_flag(b: Base) -> DataFrame:
-    return shf.with_surge_flag(b.plain, sample.SURGE_YEARS).select(*SHIFT, "surge_period_flag")
+    return shf.with_surge_flag(b.plain).select(*SHIFT, "surge_period_flag")
 
 
 @query
@@ -543,21 +551,23 @@ def dim_date(b: Base) -> DataFrame:
         F.trunc(F.min("l_shipdate"), "year").alias("first_day"),
         F.last_day(F.add_months(F.trunc(F.max("l_shipdate"), "year"), 11)).alias("last_day"),
     )
-    return dims.dim_date(bounds, sample.SURGE_YEARS)
+    return dims.dim_date(bounds)
 
 
 @query
 def dim_department(b: Base) -> DataFrame:
-    """The departments in which shifts were worked."""
-    return dims.in_use(
-        dims.dim_department(b.spark), "department_name", b.shifts, "department_override"
+    """All departments, with the shifts worked in each."""
+    return dims.with_fact_count(
+        dims.dim_department(b.spark), "department_name", b.shifts, "department_override", "shift_count"
     )
 
 
 @query
 def dim_shift_type(b: Base) -> DataFrame:
-    """The shift types that were worked."""
-    return dims.in_use(dims.dim_shift_type(b.spark), "shift_type_name", b.plain, "shift_type")
+    """All shift types, with the shifts of each."""
+    return dims.with_fact_count(
+        dims.dim_shift_type(b.spark), "shift_type_name", b.plain, "shift_type", "shift_count"
+    )
 
 
 @query

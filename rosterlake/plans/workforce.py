@@ -34,7 +34,9 @@ LEAVE_COLUMNS = [
 ]
 
 
-def active_shifts(shifts: DataFrame, staff: DataFrame, years: Sequence[int]) -> DataFrame:
+def active_shifts(
+    shifts: DataFrame, staff: DataFrame, years: Sequence[int] | None = None
+) -> DataFrame:
     """Shifts of Active staff with the staff lookup and all columns of the shift itself."""
     looked_up = with_staff_attributes(shifts, staff).where(F.col("staff_status") == "Active")
     return with_shift_columns(looked_up, years)

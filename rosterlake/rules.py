@@ -31,8 +31,8 @@ STANDARD_SHIFT_HOURS = 8
 SURGE_SHIFT_HOURS = (10, 12)
 NORMAL_SHIFT_HOURS = (8, 12)
 # overtime hours up to and including -> pay multiplier
-OVERTIME_TIERS = {0: "0.0", 2: "1.5", 4: "2.0"}
-TOP_OVERTIME_MULTIPLIER = "2.5"
+OVERTIME_TIERS = {0: 0.0, 2: 1.5, 4: 2.0}
+TOP_OVERTIME_MULTIPLIER = 2.5
 # a run of more days than this counts as consecutive working
 STREAK_LIMIT_DAYS = 4
 LONG_SHIFT_HOURS = 12
@@ -50,17 +50,17 @@ SURGE_PERIODS = [
 CASE_TYPES = ["Emergency", "Routine", "Surgery", "Consultation", "Follow-up"]
 # expected shares in the order of CASE_TYPES
 CASE_SHARES = {
-    "ICU": ["0.45", "0.20", "0.20", "0.10", "0.05"],
-    "ER": ["0.55", "0.20", "0.10", "0.10", "0.05"],
-    "General Ward": ["0.10", "0.55", "0.10", "0.15", "0.10"],
-    "Pediatrics": ["0.18", "0.45", "0.07", "0.20", "0.10"],
-    "Oncology": ["0.12", "0.35", "0.10", "0.18", "0.25"],
-    "Cardiology": ["0.25", "0.35", "0.18", "0.12", "0.10"],
-    "Radiology": ["0.05", "0.30", "0.10", "0.40", "0.15"],
-    "Pathology": ["0.03", "0.32", "0.05", "0.45", "0.15"],
+    "ICU": [0.45, 0.20, 0.20, 0.10, 0.05],
+    "ER": [0.55, 0.20, 0.10, 0.10, 0.05],
+    "General Ward": [0.10, 0.55, 0.10, 0.15, 0.10],
+    "Pediatrics": [0.18, 0.45, 0.07, 0.20, 0.10],
+    "Oncology": [0.12, 0.35, 0.10, 0.18, 0.25],
+    "Cardiology": [0.25, 0.35, 0.18, 0.12, 0.10],
+    "Radiology": [0.05, 0.30, 0.10, 0.40, 0.15],
+    "Pathology": [0.03, 0.32, 0.05, 0.45, 0.15],
 }
-DEFAULT_CASE_SHARES = ["0.20", "0.40", "0.12", "0.18", "0.10"]
-ASSIGNMENTS_PER_SHIFT = {1: "0.65", 2: "0.25", 3: "0.10"}
+DEFAULT_CASE_SHARES = [0.20, 0.40, 0.12, 0.18, 0.10]
+ASSIGNMENTS_PER_SHIFT = {1: 0.65, 2: 0.25, 3: 0.10}
 
 # --- fixed values: burnout -----------------------------------------------
 SCORE_WEIGHTS = {

@@ -78,8 +78,9 @@ def _conformed(df: DataFrame, field: T.StructField) -> Column:
     if isinstance(wanted, T.TimestampNTZType) and isinstance(found, T.LongType):
         return _from_nanoseconds(field.name)
     numbers = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
+    cut = isinstance(found, T.DecimalType) and found.scale > 0 and isinstance(wanted, numbers)
     fractions = (T.FloatType, T.DoubleType)
-    if isinstance(wanted, numbers) and isinstance(found, numbers):
+    if isinstance(wanted, numbers) and isinstance(found, numbers) and not cut:
         return column.cast(wanted).alias(field.name)
     if isinstance(wanted, fractions) and isinstance(found, numbers + fractions):
         return column.cast(wanted).alias(field.name)

@@ -22,13 +22,12 @@ from rosterlake.operators.joins import keep_matching
 from rosterlake.operators.staff import join_employment_type, leave_eligible_staff
 from rosterlake.sources.tables import read_table
 
-SURGE_YEARS = range(1995, 2002)
+# A parameter of the leave queries, as of the rule: no leave is looked at beyond this day.
 WINDOW_END = date(2001, 8, 1)
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
-EMPLOYMENT_BASES = ["Full-time", "Contract", "Part-time"]
-SHIFT_PREFERENCES = ["Day", "Night", "Any"]
-LOCATIONS = ["Central Hospital", "North Clinic", "East Annex", "West Medical Center"]
+EMPLOYMENT_BASES = ["permanent", "temporary", "hourly"]
+SHIFT_PREFERENCES = ["early", "late", "none"]
 ROUTINE_CASES = rules.CASE_TYPES[1:]
 APPROVALS = {"F": "Approved", "O": "Pending", "P": "Rejected"}
 
@@ -67,7 +66,7 @@ def staff_master(spark: SparkSession, folder: str) -> DataFrame:
             .when(key % 20 == 9, "On Leave")
             .otherwise("Active")
             .alias("status"),
-            _one_of(LOCATIONS, key % 4).alias("base_location"),
+            F.concat(F.lit("site "), F.col("s_nationkey")).alias("base_location"),
         )
         .withColumn("employment_type", join_employment_type(F.col("_base"), F.col("gender")))
         .withColumn(
@@ -143,7 +142,7 @@ def assignments(worked: DataFrame) -> DataFrame:
         case_type.alias("case_type"),
         (15 + (seed + number * 7) % 166).alias("assignment_duration_minutes"),
         flag((seed * 7 + number * 3) % 10 < 4).alias("critical_flag"),
-    ).transform(with_surge_emergency_flag, SURGE_YEARS)
+    ).transform(with_surge_emergency_flag)
 
 
 def leave_requests(spark: SparkSession, folder: str, staff: DataFrame) -> DataFrame:
@@ -159,7 +158,7 @@ def leave_requests(spark: SparkSession, folder: str, staff: DataFrame) -> DataFr
         _approval(F.col("o_orderstatus")).alias("approval_status"),
         (F.col("o_orderpriority") == "1-URGENT").alias("emergency_leave_flag"),
     )
-    return keep_matching(requested, leave_eligible_staff(staff), ["staff_id"], "leave_id")
+    return keep_matching(requested, leave_eligible_staff(staff), ["staff_id"])
 
 
 def _approval(status: Column) -> Column:

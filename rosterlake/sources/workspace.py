@@ -15,7 +15,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        # local[4] or local, one machine; not local-cluster, whose executors are processes
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="rosterlake-")
     return f"{root.rstrip('/')}/rosterlake-{uuid.uuid4().hex}"

@@ -109,6 +109,25 @@ def wide(spark):
         spark.conf.set(name, value)
 
 
+@pytest.fixture
+def splitting(spark, wide):
+    """As ``wide``, but adaptive, with limits that fit these few rows."""
+    names = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def largest_share(df):
     """The largest partition's share of all rows."""
     # the hash needs every column, so that no join can be left out of the plan
@@ -123,9 +142,9 @@ def test_a_plain_join_would_be_lopsided(spark, hot, wide):
     assert largest_share(joined) > 0.3
 
 
-def test_attach_spreads_a_hot_key(spark, hot, wide):
+def test_attach_spreads_a_hot_key(spark, hot, splitting):
     table = hot.select("staff_id").distinct().withColumn("x", F.lit(1))
-    joined = joins.attach(hot, table, ["staff_id"], "timesheet_id")
+    joined = joins.attach(hot.repartition(PARTS, "timesheet_id"), table, ["staff_id"])
     assert joined.where("x is null").count() == 0 and joined.count() == ROWS
     assert largest_share(joined) < 0.15
 
@@ -155,10 +174,10 @@ def test_numbering_spreads_rows(spark, hot, wide):
     assert largest_share(keyed) < 0.15
 
 
-def test_leaves_of_a_hot_staff_member(spark, hot, wide):
+def test_leaves_of_a_hot_staff_member(spark, hot, splitting):
     """A third of the leaves asks for the same days for the same person."""
     number = F.col("id")
-    asked = spark.range(30_000).select(
+    asked = spark.range(0, 30_000, 1, PARTS).select(
         number.alias("leave_id"),
         F.when(number % 3 == 0, 0).otherwise(number % 5000).cast("long").alias("staff_id"),
         F.when(number % 3 == 0, F.lit(date(2024, 2, 1)))

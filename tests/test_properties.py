@@ -10,23 +10,31 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterlake.functions import ids
-from rosterlake.operators import assignments, history, joins, leave, numbering, staff
+from rosterlake.operators import assignments, history, joins, leave, numbering
 
 END = date(2024, 4, 30)
 
 
-def moved_by_loop(start, duration, worked):
-    """Day by day, at most 120 steps, both ends held at the window's end."""
-    s, e, steps = start, min(start + timedelta(duration), END), 0
-    while steps < 120 and any((s + timedelta(k)) in worked for k in range((e - s).days + 1)):
-        s = min(s + timedelta(1), END)
-        e = min(s + timedelta(duration), END)
-        steps += 1
-    return steps, s, e
+def first_free(start, duration, worked):
+    """The rule as it reads: the first of the shifts by 0, 1, ... 119 days whose window, cut at the
+    end of the calendar, shares no day with the worked ones; 120 days if there is none."""
+
+    def window(moved):
+        first = start if moved == 0 else min(start + timedelta(moved), END)
+        last = min((first if moved else start) + timedelta(duration), END)
+        return first, last
+
+    def is_free(moved):
+        first, last = window(moved)
+        days = {first + timedelta(k) for k in range((last - first).days + 1)}
+        return days.isdisjoint(worked)
+
+    moved = next((k for k in range(120) if is_free(k)), 120)
+    return (moved, *window(moved))
 
 
 @pytest.mark.parametrize("seed,density", [(1, 0.9), (2, 0.5), (3, 0.15), (4, 0.99)])
-def test_leave_moves_as_the_loop(spark, seed, density):
+def test_leave_moves_to_the_first_free_window(spark, seed, density):
     rng = random.Random(seed)
     calendar = [date(2023, 10, 1) + timedelta(k) for k in range(213)]
     worked = {p: {d for d in calendar if rng.random() < density} for p in range(12)}
@@ -51,7 +59,7 @@ def test_leave_moves_as_the_loop(spark, seed, density):
     found = {r.leave_id: r for r in leave.resolve_leave_conflicts(asked, days, END).collect()}
     assert len(found) == len(leaves)
     for number, person, start, duration in leaves:
-        steps, s, e = moved_by_loop(start, duration, worked.get(person, set()))
+        steps, s, e = first_free(start, duration, worked.get(person, set()))
         row = found[number]
         assert (row.moved_days, row.leave_start, row.leave_end) == (steps, s, e), (person, start)
 
@@ -162,38 +170,16 @@ def test_history_as_the_loop(spark, monkeypatch, bits, as_text):
         assert (row.critical_cases, row.emergency_cases) == ((2, 1) if row.staff_id == 1 else (0, 0))
 
 
-@pytest.mark.parametrize("shares", [1, 7, 65_536])
-def test_attach_is_a_left_join(spark, monkeypatch, shares):
-    monkeypatch.setattr(joins, "SPREAD", shares)
+def test_attach_keeps_facts_without_a_key(spark):
     facts = spark.createDataFrame(
         [(n, None if n % 11 == 0 else (0 if n % 3 else n % 7)) for n in range(500)], "id long, k long"
     )
     table = spark.createDataFrame([(k, f"v{k}") for k in range(5)], "k long, v string")
-    found = sorted((r.id, r.k, r.v) for r in joins.attach(facts, table, ["k"], "id").collect())
-    plain = sorted((r.id, r.k, r.v) for r in facts.join(table, "k", "left").collect())
-    assert [(i, v) for i, _, v in found] == [(i, v) for i, _, v in plain]
-    assert len(found) == 500
-
-
-def test_large_staff_table_takes_the_other_way(spark, monkeypatch):
-    people = spark.createDataFrame(
-        [(p, "Female", "ICU", "Active", 400.0, "Nurse", "Senior") for p in range(30)],
-        "staff_id long, gender string, department string, status string, per_hour_rate double, "
-        "role string, experience_level string",
-    )
-    worked = spark.createDataFrame(
-        [(n, n % 40) for n in range(300)], "timesheet_id long, staff_id long"
-    )
-    small = staff.with_staff_attributes(worked, people)
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
-    large = staff.with_staff_attributes(worked, people)
-    assert "_share" in large._jdf.queryExecution().analyzed().toString()
-    columns = sorted(small.columns)
-    assert sorted(map(tuple, small.select(columns).collect()), key=str) == sorted(
-        map(tuple, large.select(columns).collect()), key=str
-    )
-    kept = joins.keep_matching(worked, people, ["staff_id"], "timesheet_id")
-    assert kept.count() == worked.where("staff_id < 30").count()
+    found = {r.id: r.v for r in joins.attach(facts, table, ["k"]).collect()}
+    keys = {r.id: r.k for r in facts.collect()}
+    assert found == {n: f"v{k}" if k is not None and k < 5 else None for n, k in keys.items()}
+    kept = joins.keep_matching(facts, table, ["k"]).collect()
+    assert sorted(r.id for r in kept) == sorted(n for n, v in found.items() if v)
 
 
 @pytest.mark.parametrize("parts", [1, 7])
@@ -209,6 +195,14 @@ def test_numbers_are_gapless_and_do_not_depend_on_partitions(spark, monkeypatch,
     assert {(r.a, r.b, r.c): r.row_no for r in found} == expected
 
 
+def test_numbering_stops_at_rows_that_the_keys_do_not_know(spark):
+    df = spark.createDataFrame([(n * 1000,) for n in range(5)], "a long")
+    some = df.where("a < 2000")
+    with pytest.raises(Exception, match="missing in keys"):
+        numbering.number_rows(df, "a", keys=some, bits=2).collect()
+    assert numbering.number_rows(df, "a", keys=df, bits=2).count() == 5
+
+
 def test_draw_does_not_depend_on_partitions(spark):
     df = spark.range(1000)
     one = df.repartition(1).select("id", ids.draw(42, F.col("id")).alias("u"))

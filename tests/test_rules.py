@@ -6,7 +6,9 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from rosterlake import schemas
 from rosterlake.functions import calendar, ids, pay, scoring
 from rosterlake.operators import (
     assignments,
@@ -34,6 +36,34 @@ def test_risk_label(spark):
     assert found == ["Low", "Low", "Medium", "Medium", "High", "High", "Critical", "Critical", None]
 
 
+def test_noise_is_rounded_with_the_product_only(spark):
+    rows = [("1.00004", 2160.09), ("0.999997685", 2159.99), ("1", 2160.0)]
+    df = spark.createDataFrame([(n,) for n, _ in rows], "noise string")
+    rate = pay.hourly_rate(F.lit("Surgeon"), F.lit("Experienced"), F.col("noise").cast("decimal(12,9)"))
+    assert [float(r[0]) for r in df.select(rate).collect()] == [value for _, value in rows]
+
+
+def test_surge_flag_of_any_year(spark):
+    days = [date(1980, 3, 1), date(2099, 3, 10), date(2099, 3, 11), None]
+    assert column(spark, days, "date", calendar.surge_flag) == [1, 1, 0, 0]
+
+
+def test_a_decimal_with_a_fraction_does_not_become_whole(spark):
+    wanted = T.StructType([T.StructField("x", T.LongType())])
+    whole = spark.createDataFrame([(1,)], "x int").select(F.col("x").cast("decimal(5,0)").alias("x"))
+    assert schemas.conform(whole, wanted).dtypes == [("x", "bigint")]
+    part = spark.createDataFrame([(1,)], "x int").select((F.col("x") * 3.75).cast("decimal(5,2)").alias("x"))
+    with pytest.raises(schemas.SchemaError):
+        schemas.conform(part, wanted)
+
+
+def test_dimension_keeps_rows_without_facts(spark):
+    worked = spark.createDataFrame([("ICU",), ("ICU",)], "d string")
+    found = dims.with_fact_count(dims.dim_department(spark), "department_name", worked, "d", "n")
+    counts = {r.department_name: r.n for r in found.collect()}
+    assert len(counts) == 8 and counts["ICU"] == 2 and sum(counts.values()) == 2
+
+
 def test_score_is_cut_and_truncated(spark):
     assert column(spark, [-3.0, 30.9, 99.99, 130.0], "double", scoring.clip_score) == [0, 30, 99, 100]
 
