@@ -30,9 +30,21 @@ _WORKING = ["_no", "_block", "_night_before", "_before", "_day_before", "_follow
 
 
 def _with_block(shifts: DataFrame) -> DataFrame:
-    """``_no``: the running number of the shift; ``_block``: its block of numbers."""
-    numbered = shifts.withColumn("_no", id_number(shifts, "timesheet_id"))
-    return numbered.withColumn("_block", F.shiftright("_no", BLOCK_BITS))
+    """``_no``: the running number of the shift; ``_block``: its block of numbers.
+
+    An id that does not end in digits is numbered by its hash, so that blocks stay small; ids
+    that share a number are told apart by the id itself. Shifts without an id make a block of
+    their own.
+    """
+    by_hash = F.pmod(F.xxhash64("timesheet_id"), F.lit(1 << 62))
+    number = F.coalesce(id_number(shifts, "timesheet_id"), F.when(F.col("timesheet_id").isNotNull(), by_hash))
+    numbered = shifts.withColumn("_no", number)
+    return numbered.withColumn("_block", F.coalesce(F.shiftright("_no", BLOCK_BITS), F.lit(-1)))
+
+
+def _order() -> Column:
+    """Shifts in the order of their numbers, then of their ids."""
+    return F.struct("_no", "timesheet_id")
 
 
 def _not_null(*names: str) -> Column:
@@ -99,11 +111,12 @@ def _first_of_spans(shifts: DataFrame) -> DataFrame:
     """
     known = _with_block(shifts).where(_not_null("staff_id", "shift_start"))
     spans = known.groupBy("staff_id", "shift_start", "shift_end").agg(
-        F.min("_no").alias("_no"),
-        F.min_by("shift_date", "_no").alias("shift_date"),
-        F.min_by("shift_duration_hours", "_no").alias("_hours"),
-        F.max_by("shift_duration_hours", "_no").alias("_last_hours"),
+        F.min(_order()).alias("_first_id"),
+        F.min_by("shift_date", _order()).alias("shift_date"),
+        F.min_by("shift_duration_hours", _order()).alias("_hours"),
+        F.max_by("shift_duration_hours", _order()).alias("_last_hours"),
     )
+    spans = spans.select("*", "_first_id.*").drop("_first_id")
     in_order = Window.partitionBy("staff_id").orderBy("shift_start", "shift_end")
     return spans.withColumns(
         {
@@ -113,12 +126,23 @@ def _first_of_spans(shifts: DataFrame) -> DataFrame:
     )
 
 
+_SPAN_FIRST = ["_no", "timesheet_id", "staff_id", "shift_start", "shift_end"]
+
+
+def _with_first(shifts: DataFrame, firsts: DataFrame, *columns: str) -> DataFrame:
+    """The shifts with columns of the first shift of a span on that shift. Missing ids and ends
+    equal each other, so shifts without an id are found by staff member, start and end."""
+    marked = firsts.select(
+        *[F.col(name).alias(f"_of{name}") for name in _SPAN_FIRST], *columns, F.lit(True).alias("_first")
+    )
+    numbered = _with_block(shifts)
+    same = reduce(and_, [numbered[name].eqNullSafe(marked[f"_of{name}"]) for name in _SPAN_FIRST])
+    return numbered.join(marked, same, "left").drop(*[f"_of{name}" for name in _SPAN_FIRST])
+
+
 def with_gap_hours(shifts: DataFrame) -> DataFrame:
     """``gap_hours`` since the end of the staff member's previous shift, null for the first."""
-    firsts = _first_of_spans(shifts).select(
-        "_no", F.lit(True).alias("_first"), "_before_end"
-    )
-    joined = _with_block(shifts).join(firsts, "_no", "left")
+    joined = _with_first(shifts, _first_of_spans(shifts), "_before_end")
     previous_end = F.when(F.col("_first"), F.col("_before_end")).when(
         F.col("staff_id").isNotNull(), F.col("shift_end")
     )
@@ -142,27 +166,24 @@ def back_to_back_shifts(shifts: DataFrame) -> DataFrame:
 
 
 def with_back_to_back(shifts: DataFrame) -> DataFrame:
-    followers = back_to_back_shifts(shifts).select("_no", F.lit(True).alias("_follows"))
-    return (
-        _with_block(shifts)
-        .join(followers, "_no", "left")
-        .withColumn("back_to_back_12h_flag", flag(F.col("_follows")))
-        .drop("_no", "_block", "_follows")
+    followers = _with_first(shifts, back_to_back_shifts(shifts))
+    return followers.withColumn("back_to_back_12h_flag", flag(F.col("_first"))).drop(
+        "_no", "_block", "_first"
     )
 
 
 # --- night to day ----------------------------------------------------------
 
 
-def _numbered_night() -> Column:
-    """Running number x 2, plus 1 for a night shift: the last shift is a plain maximum."""
-    return F.col("_no") * 2 + flag(F.col("shift_type") == "Night")
+def _last_shift() -> Column:
+    """The last shift in order, and whether it was at night."""
+    return F.max(F.struct("_no", "timesheet_id", flag(F.col("shift_type") == "Night").alias("night")))
 
 
 def _blocks(shifts: DataFrame) -> DataFrame:
     """One row per (staff, day, block) with its last shift."""
     known = _with_block(shifts).where(_not_null(*DAY))
-    return known.groupBy(*DAY, "_block").agg(F.max(_numbered_night()).alias("_last"))
+    return known.groupBy(*DAY, "_block").agg(_last_shift().alias("_last"))
 
 
 def _days(blocks: DataFrame) -> DataFrame:
@@ -184,14 +205,14 @@ def _with_night_before(shifts: DataFrame) -> DataFrame:
 
     The window comes before the join with the carry: the join then finds its rows sorted.
     """
-    in_block = Window.partitionBy(*DAY, "_block").orderBy("_no")
+    in_block = Window.partitionBy(*DAY, "_block").orderBy("_no", "timesheet_id")
     night_before = F.lag(flag(F.col("shift_type") == "Night")).over(in_block)
     return _with_block(shifts).withColumn("_night_before", night_before)
 
 
 def _flip_flag() -> Column:
     """Day after Night, in the order of date and id; the gap does not matter."""
-    night_before = F.coalesce("_night_before", F.coalesce("_before", "_day_before") % 2)
+    night_before = F.coalesce("_night_before", F.coalesce("_before.night", "_day_before.night"))
     return flag(
         F.col("staff_id").isNotNull() & (F.col("shift_type") == "Day") & (night_before == 1)
     )
@@ -216,9 +237,9 @@ def with_history(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
     blocks = _blocks(shifts)
     followers = (
         back_to_back_shifts(shifts)
-        .withColumn("_block", F.shiftright("_no", BLOCK_BITS))
+        .transform(_with_block)
         .groupBy(*DAY, "_block")
-        .agg(F.collect_list("_no").alias("_followers"))
+        .agg(F.collect_list(_order()).alias("_followers"))
     )
     days = streak_days(_days(blocks)).withColumn("consecutive_days_flag", _over_limit())
     days = days.drop("streak", "streak_length").join(day_cases, DAY, "left")
@@ -227,7 +248,7 @@ def with_history(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
     flagged = joined.withColumns(
         {
             "night_to_day_flip_flag": _flip_flag(),
-            "back_to_back_12h_flag": flag(F.array_contains("_followers", F.col("_no"))),
+            "back_to_back_12h_flag": flag(F.array_contains("_followers", _order())),
         }
     )
     counts = ["consecutive_days_flag", "critical_cases", "emergency_cases"]

@@ -161,7 +161,14 @@ with staff as (
     cast(round_even(cast(overtime as decimal(10,2)) * cast(rate as decimal(10,2))
       * cast(multiplier as decimal(3,1)), 2) as double) as overtime_pay
   from final
-), requests as (
+), raw_assignments as (
+  select l_orderkey * 10 + l_linenumber as timesheet_id, l_suppkey as staff_id,
+    cast(l_shipdate as date) as assignment_date,
+    (['ICU','ER','General Ward','Pediatrics','Oncology','Cardiology','Radiology',
+      'Pathology'])[l_partkey % 8 + 1] as department
+  from (select *, unnest(range(1, 2 + case when l_partkey % 10 < 6 then l_partkey % 3
+    else 2 + l_partkey % 14 end)) as i from lineitem)
+), raw_requests as (
   select o_orderkey as leave_id, o_custkey % (select count(*) from supplier) as staff_id,
     cast(o_orderdate as date) as leave_start, 1 + o_orderkey % 14 as duration_days,
     (['Sick','Vacation','Personal','Maternity/Paternity','Study',
@@ -170,8 +177,9 @@ with staff as (
       when 'P' then 'Rejected' end as approval_status,
     o_orderpriority = '1-URGENT' as emergency_leave_flag
   from orders
-  where o_custkey % (select count(*) from supplier) in
-    (select staff_id from staff where status is distinct from 'Inactive')
+), requests as (
+  select * from raw_requests
+  where staff_id in (select staff_id from staff where status is distinct from 'Inactive')
 ), asked as (
   select *, least(leave_start + cast(duration_days as integer), date '2001-08-01') as leave_end
   from requests
@@ -450,7 +458,7 @@ ORACLE = {
         round_even(count(*) filter (where not ok) * 100.0 / count(*), 2) as mismatch_pct
         from (select exists (select 1 from shifts h where h.staff_id = a.staff_id
           and h.shift_date = a.assignment_date and h.department_override = a.department) as ok
-          from assignments a)""",
+          from raw_assignments a)""",
     "qa_argument_checks": """
         select 'no_active_staff' as check_name,
           cast(case when count(*) = 0 then 1 else 0 end as bigint) as violations
@@ -458,17 +466,17 @@ ORACLE = {
         union all select 'no_leave_eligible_staff',
           cast(case when count(*) = 0 then 1 else 0 end as bigint)
           from staff where status is distinct from 'Inactive'
-        union all select 'shift_of_unknown_staff', count(*) from shifts
+        union all select 'shift_of_unknown_staff', count(*) from all_shifts
           where staff_id not in (select staff_id from staff)
-        union all select 'leave_of_unknown_staff', count(*) from requests
+        union all select 'leave_of_unknown_staff', count(*) from raw_requests
           where staff_id not in (select staff_id from staff)
-        union all select 'assignment_of_unknown_staff', count(*) from assignments
+        union all select 'assignment_of_unknown_staff', count(*) from raw_assignments
           where staff_id not in (select staff_id from staff)
         union all select 'staff_of_unknown_role', count(*) from staff
           where role is null or role not in ('Nurse','Doctor','Admin','Surgeon','Radiologist',
             'Pharmacist','Physiotherapist','Technician')
-        union all select 'assignment_count_unequal', count(*) from shifts h
-          full join (select timesheet_id, count(*) as n from assignments group by all) a
+        union all select 'assignment_count_unequal', count(*) from all_shifts h
+          full join (select timesheet_id, count(*) as n from raw_assignments group by all) a
             using (timesheet_id)
           where coalesce(h.assignment_count, 0) <> coalesce(a.n, 0)""",
     "qa_inactive_with_shifts": """
@@ -479,7 +487,7 @@ ORACLE = {
             as violations
         from staff s
           left join (select staff_id, count(*) as n from all_shifts group by all) h using (staff_id)
-          left join (select staff_id, count(*) as n from requests group by all) l using (staff_id)
+          left join (select staff_id, count(*) as n from raw_requests group by all) l using (staff_id)
         group by status""",
 }
 

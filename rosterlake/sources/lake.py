@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from rosterlake import schemas
 from rosterlake.operators.cleaning import dedup_by_key, silver_stamp
 from rosterlake.session import LakeLayout
-from rosterlake.sources.tables import read_table, write_parquet, write_silver
+from rosterlake.sources.tables import parquet_files, read_table, write_parquet, write_silver
 
 # table -> key columns of its silver job
 SILVER_JOBS = {
@@ -23,11 +24,9 @@ SILVER_JOBS = {
 
 def list_tables(spark: SparkSession, folder: str) -> list[str]:
     """Names of the *.parquet files or folders directly in ``folder``, on any Hadoop store."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(f"{folder.rstrip('/')}/*.parquet")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    names = [entry.getPath().getName() for entry in found or []]
-    return sorted(name.removesuffix(".parquet") for name in names)
+    below = F.regexp_extract("path", f"{re.escape(folder.rstrip('/'))}/([^/]+)\\.parquet(/|$)", 1)
+    names = parquet_files(spark, folder).select(below.alias("name")).where("name <> ''").distinct()
+    return sorted(row.name for row in names.collect())
 
 
 def land_bronze(

@@ -145,11 +145,26 @@ def assignments(worked: DataFrame) -> DataFrame:
     ).transform(with_surge_emergency_flag)
 
 
-def leave_requests(spark: SparkSession, folder: str, staff: DataFrame) -> DataFrame:
-    """Leaves of eligible staff as requested: start and duration, not yet moved."""
+def raw_assignments(spark: SparkSession, folder: str) -> DataFrame:
+    """Assignments as delivered: for every order line, copies of a shift included, and in the
+    department of the part, which need not be the shift's."""
+    delivered = raw_shifts(with_timesheet_id(raw_lines(spark, folder)))
+    return expand_assignments(
+        delivered.select(
+            "timesheet_id",
+            "staff_id",
+            "shift_date",
+            F.col("other_department").alias("department_override"),
+            "assignment_count",
+        )
+    )
+
+
+def raw_leave_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves as delivered, also of staff who are unknown or not eligible."""
     orders = sales_table(spark, folder, "orders")
     people = sales_table(spark, folder, "supplier").count()
-    requested = orders.select(
+    return orders.select(
         F.col("o_orderkey").alias("leave_id"),
         (F.col("o_custkey") % people).alias("staff_id"),
         F.col("o_orderdate").cast("date").alias("leave_start"),
@@ -158,6 +173,11 @@ def leave_requests(spark: SparkSession, folder: str, staff: DataFrame) -> DataFr
         _approval(F.col("o_orderstatus")).alias("approval_status"),
         (F.col("o_orderpriority") == "1-URGENT").alias("emergency_leave_flag"),
     )
+
+
+def leave_requests(spark: SparkSession, folder: str, staff: DataFrame) -> DataFrame:
+    """Leaves of eligible staff as requested: start and duration, not yet moved."""
+    requested = raw_leave_requests(spark, folder)
     return keep_matching(requested, leave_eligible_staff(staff), ["staff_id"])
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterlake.schemas import conform
@@ -35,3 +38,23 @@ def write_silver(df: DataFrame, path: str, table_format: str | None = None) -> N
 
 def read_silver(spark: SparkSession, path: str, table_format: str | None = None) -> DataFrame:
     return prepare(spark).read.format(table_format or lake_format()).load(path)
+
+
+def parquet_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path and length of the parquet files at or below ``path``, on any Hadoop store; their
+    content is not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
+
+
+def table_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """table_name, file_count, byte_count of tables by name, from the listing of their files."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            parquet_files(spark, path)
+            .agg(F.count("*").alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("byte_count"))
+            .select(F.lit(name).alias("table_name"), "file_count", "byte_count")
+            for name, path in paths.items()
+        ],
+    )

@@ -170,6 +170,38 @@ def test_history_as_the_loop(spark, monkeypatch, bits, as_text):
         assert (row.critical_cases, row.emergency_cases) == ((2, 1) if row.staff_id == 1 else (0, 0))
 
 
+@pytest.mark.parametrize("shape", ["plain words", "shared digits", "missing"])
+def test_history_of_ids_of_any_shape(spark, shape):
+    """Ids without digits, ids that share their digits, and no ids: right flags, no row twice."""
+    rows = []
+    for person in range(3):
+        for k in range(40):
+            day = date(2024, 1, 1) + timedelta(k)
+            kind = "Day" if (k + person) % 3 else "Night"
+            start = datetime(day.year, day.month, day.day, 7 if kind == "Day" else 19)
+            name = {"plain words": f"shift {'abcd'[person]}{chr(97 + k % 26)}{chr(97 + k // 26)}", "missing": None}
+            number = name.get(shape, f"{'ABC'[person]}_{k}")
+            rows.append((number, person, day, start, start + timedelta(hours=12), 12, kind))
+    df = spark.createDataFrame(rows, SCHEMA.replace("timesheet_id long", "timesheet_id string"))
+    expected = history_by_loop([(k, *row[1:]) for k, row in enumerate(rows)])
+    flags = ["night_to_day_flip_flag", "back_to_back_12h_flag", "consecutive_days_flag"]
+    apart = (
+        df.transform(history.with_night_to_day_flip)
+        .transform(history.with_back_to_back)
+        .transform(history.with_consecutive_days)
+    )
+    cases = df.select("staff_id", "shift_date").distinct().withColumns(
+        {"critical_cases": F.lit(2).cast("long"), "emergency_cases": F.lit(1).cast("long")}
+    )
+    places = {(row[1], row[2]): k for k, row in enumerate(rows)}
+    for found in (apart, history.with_history(df, cases)):
+        seen = {places[(r.staff_id, r.shift_date)]: tuple(r[f] for f in flags) for r in found.collect()}
+        assert seen == expected and found.count() == len(rows)
+    gaps = history.with_gap_hours(df).collect()
+    assert len(gaps) == len(rows) and sum(r.gap_hours is None for r in gaps) == 3
+    assert {r.gap_hours for r in gaps} <= {None, 0.0, 12.0, 24.0}
+
+
 def test_attach_keeps_facts_without_a_key(spark):
     facts = spark.createDataFrame(
         [(n, None if n % 11 == 0 else (0 if n % 3 else n % 7)) for n in range(500)], "id long, k long"
