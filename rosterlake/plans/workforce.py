@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +10,20 @@ from pyspark.sql import functions as F
 
 from rosterlake.operators.assignments import day_case_counts
 from rosterlake.operators.burnout import with_burnout
+from rosterlake.operators.cleaning import silver_stamp
 from rosterlake.operators.dims import calendar_bounds, dim_date, dim_department, dim_shift_type
 from rosterlake.operators.dims import dim_staff
 from rosterlake.operators.facts import fact_burnout, fact_leave, fact_overtime
 from rosterlake.operators.history import with_history
+from rosterlake.operators.joins import keep_matching
 from rosterlake.operators.leave import resolve_leave_conflicts, with_leave_days, worked_days
 from rosterlake.operators.quality import require_active, require_leave_eligible
 from rosterlake.operators.shifts import with_shift_columns
-from rosterlake.operators.staff import backfill_female_night, with_staff_attributes
+from rosterlake.operators.staff import (
+    backfill_female_night,
+    leave_eligible_staff,
+    with_staff_attributes,
+)
 from rosterlake.session import LakeLayout
 from rosterlake.sources.tables import read_silver, write_silver
 
@@ -61,27 +67,60 @@ def leave_records(requests: DataFrame, shifts: DataFrame, window_end: date) -> D
     )
 
 
+def build_silver(
+    spark: SparkSession,
+    layout: LakeLayout,
+    staff: DataFrame,
+    shifts: DataFrame,
+    assignments: Callable[[DataFrame], DataFrame],
+    requests: DataFrame,
+    window_end: date,
+) -> list[str]:
+    """Plain base tables -> the four silver tables; returns their names.
+
+    ``shifts``: one row per shift with staff, day, type and hours, of any staff. ``assignments``
+    makes the patient assignments of the Active staff's shifts. ``requests``: leave as asked for.
+    The order is that of the tables' needs: staff first, then shifts and their assignments, then
+    leave, which gives way to worked days, and at last the flag that goes back to the staff. The
+    run stops before it writes anything if there is nobody to schedule or to grant leave to. Each
+    table is read back from silver where the next one needs it.
+    """
+    require_active(staff)
+    require_leave_eligible(staff)
+    working = active_shifts(shifts, staff)
+    assigned = assignments(working)
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        write_silver(silver_stamp(df), layout.silver(name), layout.table_format)
+        return read_silver(spark, layout.silver(name), layout.table_format)
+
+    put("patient_assignment", assigned.drop("timesheet_id"))
+    timesheet = put("staff_timesheet", timesheet_enriched(working, assigned))
+    eligible = keep_matching(requests, leave_eligible_staff(staff), ["staff_id"])
+    put("leave_records", leave_records(eligible, timesheet, window_end))
+    put("staff_master", backfill_female_night(staff, timesheet))
+    return ["patient_assignment", "staff_timesheet", "leave_records", "staff_master"]
+
+
 def build_gold(
     spark: SparkSession,
     layout: LakeLayout,
     first_day: date,
     last_day: date,
-    table_format: str | None = None,
 ) -> list[str]:
     """Silver tables -> dimensions and facts in the gold layer; returns the table names.
 
     The silver timesheet holds the enriched columns, so each fact is one pass over it.
     """
     silver = {
-        name: read_silver(spark, layout.silver(name), table_format).drop("silver_processed_at")
+        name: read_silver(spark, layout.silver(name), layout.table_format).drop("silver_processed_at")
         for name in ("staff_master", "staff_timesheet", "leave_records")
     }
     staff, timesheet = silver["staff_master"], silver["staff_timesheet"]
     require_active(staff)
     require_leave_eligible(staff)
-    years = range(first_day.year, last_day.year + 1)
     gold = {
-        "dim_date": dim_date(calendar_bounds(spark, first_day, last_day), years),
+        "dim_date": dim_date(calendar_bounds(spark, first_day, last_day)),
         "dim_department": dim_department(spark),
         "dim_shift_type": dim_shift_type(spark),
         "dim_staff": dim_staff(backfill_female_night(staff, timesheet)),
@@ -90,5 +129,5 @@ def build_gold(
         "fact_leave": fact_leave(silver["leave_records"]),
     }
     for name, df in gold.items():
-        write_silver(df, layout.gold(name), table_format)
+        write_silver(df, layout.gold(name), layout.table_format)
     return list(gold)

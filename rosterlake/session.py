@@ -3,7 +3,6 @@ credential providers (environment, instance profile or a Hadoop credential store
 
 from __future__ import annotations
 
-import importlib.util
 import json
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -39,6 +38,8 @@ class LakeLayout:
     endpoint: str | None = None
     secure: bool = True
     local_source: str | None = None
+    # format of silver and gold: parquet, or delta where its package is on the classpath
+    table_format: str = "parquet"
 
     def path(self, layer: str, table: str | None = None) -> str:
         folder = f"{self.root.rstrip('/')}/{self.layers[layer]}"
@@ -63,14 +64,10 @@ def load_layout(path: str | Path = DEFAULT_CONFIG) -> LakeLayout:
         endpoint=storage.get("endpoint"),
         secure=storage.get("secure", True),
         local_source=config.get("local_source"),
+        table_format=storage.get("table_format", "parquet"),
     )
 
 
-def delta_available() -> bool:
-    """Whether the Delta package is installed next to PySpark."""
-    return importlib.util.find_spec("delta") is not None
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     """Give an existing session the settings the library relies on."""
     for name, value in RUNTIME_SETTINGS.items():
@@ -93,7 +90,7 @@ def get_session(app_name: str = "rosterlake", layout: LakeLayout | None = None)
             builder = builder.config(
                 "spark.hadoop.fs.s3a.endpoint", f"{scheme}://{layout.endpoint}"
             )
-    if delta_available():
+    if layout is not None and layout.table_format == "delta":
         builder = builder.config(
             map={
                 "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",

@@ -73,7 +73,7 @@ def run_silver_job(
     keys = SILVER_JOBS[table] if keys is None else keys
     cleaned = clean_for_silver(read_bronze(spark, layout, table), keys, order_by)
     path = layout.silver(table)
-    write_silver(cleaned, path)
+    write_silver(cleaned, path, layout.table_format)
     return path
 
 

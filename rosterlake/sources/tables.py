@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterlake.schemas import conform
-from rosterlake.session import delta_available, prepare
+from rosterlake.session import prepare
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -27,17 +27,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
 
 
-def lake_format() -> str:
-    return "delta" if delta_available() else "parquet"
+def write_silver(df: DataFrame, path: str, table_format: str = "parquet") -> None:
+    """Full refresh of a lake table in the layout's format. A format that is not on the classpath
+    fails by its name; what is installed never decides which format a table has."""
+    df.write.format(table_format).mode("overwrite").save(path)
 
 
-def write_silver(df: DataFrame, path: str, table_format: str | None = None) -> None:
-    """Full refresh of a lake table, in Delta where it is installed, else in parquet."""
-    df.write.format(table_format or lake_format()).mode("overwrite").save(path)
-
-
-def read_silver(spark: SparkSession, path: str, table_format: str | None = None) -> DataFrame:
-    return prepare(spark).read.format(table_format or lake_format()).load(path)
+def read_silver(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
+    return prepare(spark).read.format(table_format).load(path)
 
 
 def parquet_files(spark: SparkSession, path: str) -> DataFrame:
