@@ -8,8 +8,10 @@ that linked texts lie in the same or in neighbouring bands. In a band the thresh
 symmetric difference by D; with P > D words, some word of linked texts must agree (pigeonhole).
 
 1. Texts with equal sets become one class. Each class sends the words of its sketch, hashed
-   with the shingles behind them, as keys. P has some words to spare, so that a text may leave
-   out words made of hardly any shingle: those would bring unrelated texts together.
+   with the shingles behind them, as keys. P has words to spare: of S spare ones, linked texts
+   agree in S + 1 at least, so each text leaves out the S words made of the fewest shingles,
+   which would bring unrelated texts together. The richest word in which two linked texts agree
+   has at least S poorer ones in both, so neither leaves it out.
 2. Classes that meet in a key are chained to the smallest of them, first within a task, then
    after the shuffle. So a key sends one row per task and no group is ever paired out. The
    connected parts of this graph, the bags, hold every link.
@@ -23,7 +25,6 @@ No row, group or candidate is capped. Set hashes have 64 bits.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,9 +42,12 @@ from rosterlake.llm.scratch import store
 KEYS_AT_ONCE = 1 << 20
 # Shingles that are sketched at a time.
 SHINGLES_AT_ONCE = 1 << 19
+# Words of a sketch that may be left out, as a share of the differing shingles. More of them make
+# all words poorer, fewer of them leave poor words among those that are sent.
+SPARE = 0.25
 # Classes, and shingles of all of them together, in a block; a larger class has its own block.
-BLOCK_CLASSES = 512
-BLOCK_SHINGLES = 1 << 18
+BLOCK_CLASSES = 1024
+BLOCK_SHINGLES = 1 << 19
 
 DOCUMENT, KEY, EDGE = 0, 1, 2
 _LIGHT = pa.schema(
@@ -62,45 +66,22 @@ class Bands:
         self.low: list[int] = []
         self.reach: list[int] = []  # the largest set that links with one of this band
         self.words: list[int] = []  # of a sketch; 0 if only equal sets link
-        self.spare: list[int] = []  # of these, the words that may be left out
-        self.least: list[int] = []  # shingles of a word that may not be left out
+        self.sent: list[int] = []  # of these, the richest ones, which are keys
         low = 1
         while not self.low or self.low[-1] <= largest:
             high = low * den // num
             reach = high * den // num
-            words, spare, least = self._sketch(low, self.difference(high, reach))
+            differing = self.difference(high, reach)
             self.low.append(low)
             self.reach.append(reach)
-            self.words.append(words)
-            self.spare.append(spare)
-            self.least.append(least)
+            self.words.append(differing + 1 + round(SPARE * differing) if differing else 0)
+            self.sent.append(differing + 1)
             low = high + 1
 
     def difference(self, a, b):
         """The most shingles that are in one only of two linked sets of these sizes."""
         return (self.den - self.num) * (a + b) // (self.den + self.num)
 
-    @staticmethod
-    def _sketch(low: int, differing: int) -> tuple[int, int, int]:
-        """Words, words to spare, and what makes a word too poor to be a key.
-
-        Some 1 + spare words of linked texts agree. A text with at most ``spare`` poor words
-        can leave them all out; others, few by chance, send all their words.
-        """
-        if differing == 0:
-            return 0, 0, 1
-        least = 2 if differing >= 16 else 1
-        spare = 1
-        for _ in range(20):
-            rate = low / (differing + 1 + spare)
-            poor = math.exp(-rate) * (1 + rate if least == 2 else 1)
-            mean = poor * (differing + 1 + spare)
-            needed = math.ceil(mean + 3 * math.sqrt(mean))
-            if needed <= spare or spare > differing // 4 + 2:
-                break
-            spare += 1
-        return differing + 1 + spare, spare, least
-
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, sizes, "right") - 1
 
@@ -148,12 +129,13 @@ def sketch_keys(
         parity[filled] = np.bitwise_xor.reduceat(np.uint64(1) << (tokens & np.uint64(63)), starts)
         joined[filled] = np.bitwise_xor.reduceat(tokens, starts)
         owner = np.repeat(np.arange(len(chosen)), width)
-        poor = count < np.array(bands.least)[band[chosen]][owner]
-        few = np.add.reduceat(poor, first[:-1]) <= np.array(bands.spare)[band[chosen]]
-        sent = np.flatnonzero(~(poor & few[owner]))
-        number = np.arange(first[-1]) - first[owner]
-        label = band[chosen][owner].astype(np.uint64) << np.uint64(40) | number.astype(np.uint64)
-        value = shingles.mix(parity[sent]) + joined[sent] + shingles.mix(label[sent])
+        value = shingles.mix(parity) + joined
+        richest = np.lexsort((value, count, owner))
+        left = first[1:][owner] - np.arange(first[-1])  # places to the end of the set's words
+        sent = richest[left <= np.array(bands.sent)[band[chosen]][owner]]
+        number = sent - first[owner[sent]]
+        label = band[chosen][owner[sent]].astype(np.uint64) << np.uint64(40) | number.astype(np.uint64)
+        value = value[sent] + shingles.mix(label)
         keys.append(shingles.mix(value))
         owners.append(chosen[owner[sent]])
     return np.concatenate(keys), np.concatenate(owners)
