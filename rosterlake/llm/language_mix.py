@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from rosterlake.llm import pretokens
+from rosterlake.llm.scratch import store
 
 # Trigrams are counted in 2^16 hash buckets: 512 KB for a language.
 BUCKETS = 1 << 16
@@ -134,12 +135,13 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     schema = "lang string, chunk int, counts binary"
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     totals = rows.mapInArrow(_count, schema).groupBy("lang", "chunk").applyInArrow(_add, schema)
+    totals = store(totals, "trigrams")  # counted once, for the check below and for the model
     names = totals.select("lang").distinct().count()
     if names * BUCKETS * 8 > MODEL_BYTES:
         raise ValueError(f"{names} languages do not fit into a model of {MODEL_BYTES} bytes")
     counts: dict[str, np.ndarray] = {}
     size = BUCKETS // CHUNKS
-    for row in totals.toLocalIterator():
+    for row in totals.collect():
         own = counts.setdefault(row.lang, np.zeros(BUCKETS, np.int64))
         own[row.chunk * size : (row.chunk + 1) * size] = np.frombuffer(row.counts, np.int64)
     return Model(counts)
