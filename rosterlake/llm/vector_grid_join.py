@@ -33,6 +33,8 @@ PRINCIPAL_FROM = 512
 # Vectors of a block, and of the intervals that are compared without further division.
 BLOCK_VECTORS = 1024
 INTERVAL = 128
+# Blocks that one task cuts from its part of the sequence, so that few are short.
+BLOCKS_OF_TASK = 4
 # Blocks or intervals that form one interval of the next higher level.
 FAN_OUT = 16
 # Moments that one task adds up.
@@ -342,7 +344,7 @@ def link_vectors(
         F.any_value("vector").alias("vector"),
     )
     of_class = store(of_class, "classes")
-    width = of_class.agg(F.max(F.size("vector"))).first()[0]
+    width, total = of_class.agg(F.max(F.size("vector")), F.count("*")).first()
     alone = (
         F.lit(0).cast("long").alias("n_links"),
         F.col("vec_id").alias("component_id"),
@@ -355,7 +357,7 @@ def link_vectors(
     ordered = (
         of_class.select("cls", "n", "vector")
         .mapInArrow(_cells(width, directions, epsilon), "cls long, n long, cell binary, vector binary")
-        .repartitionByRange("cell", "cls")
+        .repartitionByRange(-(-total // (BLOCKS_OF_TASK * BLOCK_VECTORS)), "cell", "cls")
         .sortWithinPartitions("cell", "cls")
     )
     blocks = store(ordered.mapInArrow(_blocks(directions), _BLOCK_DDL), "blocks")
