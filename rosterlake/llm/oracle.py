@@ -96,8 +96,8 @@ GRID_ORDER_JOIN = """
 with recursive sound as (
   select vec_id, embedding::double[] as v from embeddings
   where embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
-    and len(list_filter(embedding, x -> x <> 0)) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
 ),
 links as (
   select a.vec_id as a, b.vec_id as b
@@ -122,33 +122,38 @@ with recursive words as (
            '[^\x20\x09-\x0D]+') as w
   from documents
 ),
-sets as (
-  select doc_id, case
-    when len(w) = 0 then []
-    when len(w) < 4 then [array_to_string(w, ' ')]
-    else list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')))
-  end as s
-  from words
+tokens as (
+  select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from words
 ),
-items as (select doc_id, unnest(s) as g from sets),
+grams as (
+  select doc_id, word || ' ' || lead(word, 1) over o || ' ' || lead(word, 2) over o || ' '
+    || lead(word, 3) over o as g
+  from tokens window o as (partition by doc_id order by i)
+),
+items as materialized (
+  select distinct doc_id, g from grams where g is not null
+  union all
+  select doc_id, array_to_string(w, ' ') from words where len(w) between 1 and 3
+),
+sizes as (select doc_id, count(*) as n from items group by doc_id),
 shared as (
   select a.doc_id as a, b.doc_id as b, count(*) as c
   from items a join items b on a.g = b.g and a.doc_id <> b.doc_id
   group by all
 ),
-links as (
+links as materialized (
   select a, b from shared
-  join sets x on x.doc_id = a join sets y on y.doc_id = b
-  where 100 * c >= 85 * (len(x.s) + len(y.s) - c)
+  join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * c >= 85 * (x.n + y.n - c)
 ),
 reached as (
   select doc_id as a, doc_id as b from documents
   union
   select r.a, l.b from reached r join links l on l.a = r.b
 )
-select s.doc_id, len(s.s)::bigint as n_shingles, min(r.b) as component_id
-from sets s join reached r on r.a = s.doc_id
-group by s.doc_id, len(s.s)
+select r.a as doc_id, coalesce(any_value(s.n), 0)::bigint as n_shingles, min(r.b) as component_id
+from reached r left join sizes s on s.doc_id = r.a
+group by r.a
 """
 
 ORACLES: dict[str, str] = {
