@@ -49,6 +49,12 @@ SPARE = 0.25
 BLOCK_CLASSES = 1024
 BLOCK_SHINGLES = 1 << 19
 
+# Bits that mark the texts which are wanted once more: 2^11 bitmaps of 2^15 bits, 8 MB in all.
+MARK_BITS, BITMAP_BITS = 26, 15
+
+# Stands for a missing id where a text of a class is looked for; the text decides in the end.
+_LAST_ID = (1 << 63) - 1
+
 DOCUMENT, KEY, EDGE = 0, 1, 2
 _LIGHT = pa.schema(
     [(name, pa.int64()) for name in ("part", "a", "b", "n", "text_hash")] + [("kind", pa.int8())]
@@ -309,6 +315,23 @@ def _blocks(members: DataFrame, num: int, den: int, largest: int) -> DataFrame:
     )
 
 
+def _marked(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose columns ``on`` may be in ``wanted``, so that a join moves few others.
+
+    Each wanted row sets one of 2^MARK_BITS bits, by a hash; rows on bits that are not set go
+    before any shuffle. The bitmaps are sent to every task: 8 MB at most, however many rows are
+    wanted. Where most bits are set, most rows pass; the join that follows decides.
+    """
+    spot = F.pmod(F.xxhash64(*on), F.lit(1 << MARK_BITS))
+    place = F.pmod(spot, F.lit(1 << BITMAP_BITS))
+    bitmap = F.shiftright(spot, BITMAP_BITS)
+    bits = wanted.groupBy(bitmap.alias("bitmap")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    byte = F.substring(F.col("bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(place, F.lit(8)).cast("int")) == 1
+    found = rows.withColumn("bitmap", bitmap).join(F.broadcast(bits), "bitmap")
+    return found.where(is_set).select(*rows.columns)
+
+
 _SET_DDL = (
     "bag long, band int, i int, j int, with_larger boolean, side int, cls long, shingles binary"
 )
@@ -459,20 +482,26 @@ def link_texts(
     )
     bags = connected_components(light.where(F.col("kind") == EDGE).select("a", "b"))
     bags = bags.select(F.col("node").alias("cls"), F.col("component").alias("bag"))
-    # one document for each class of a bag
-    chosen = (
-        documents.join(bags, "cls", "left_semi")
+    # one text for each class: that of its smallest document; copies meet after a partial sum only
+    key = F.coalesce("doc_id", F.lit(_LAST_ID))
+    classes = (
+        documents.where(F.col("cls").isNotNull())
         .groupBy("cls")
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n").alias("n"))
-        .join(bags, "cls")
+        .agg(
+            F.min(key).alias("key"),
+            F.min_by("text_hash", key).alias("text_hash"),
+            F.min("n").alias("n"),
+            F.min("doc_id").alias("least"),
+        )
     )
-    chosen = store(chosen.select("cls", "bag", "n", "first.*"), "classes")
+    classes = store(classes, "classes")
+    chosen = store(classes.join(bags, "cls"), "chosen")
     largest = chosen.agg(F.max("n")).first()[0] or 1
     tasks = _blocks(chosen.select("cls", "bag", "n"), num, den, largest)
-    wanted = chosen.select("cls", "doc_id", "text_hash").join(tasks, "cls")
-    same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_hash"] == wanted["text_hash"])
+    wanted = chosen.select("cls", "key", "text_hash").join(tasks, "cls")
+    texts = _marked(rows.withColumn("key", key), chosen, ["key", "text_hash"])
     links = (
-        rows.join(wanted, same)
+        texts.join(wanted, ["key", "text_hash"])
         .select("cls", "tasks", "text")
         .mapInArrow(_dealt(k), _SET_DDL)
         .groupBy("bag", "band", "i", "j", "with_larger")
@@ -482,14 +511,8 @@ def link_texts(
         F.col("node").alias("cls"), F.col("component").alias("group")
     )
     # the smallest document of each group, by class, and then one join with all documents
-    group = F.coalesce("group", "cls")
-    by_class = (
-        documents.where(F.col("cls").isNotNull())
-        .groupBy("cls")
-        .agg(F.min("doc_id").alias("least"))
-        .join(joined, "cls", "left")
-        .withColumn("group", group)
-    )
+    by_class = classes.select("cls", "least").join(joined, "cls", "left")
+    by_class = by_class.withColumn("group", F.coalesce("group", "cls"))
     smallest = by_class.groupBy("group").agg(F.min("least").alias("component_id"))
     answers = by_class.select("cls", "group").join(smallest, "group").select("cls", "component_id")
     return documents.join(answers, "cls", "left").select(
