@@ -62,7 +62,7 @@ def day_case_counts(assignments: DataFrame) -> DataFrame:
 
 def with_case_counts(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
     """Every shift gets the counts of its whole staff-day; 0 if there are none."""
-    attached = attach(shifts, day_cases, DAY)
+    attached = attach(shifts, day_cases, DAY, grouped=True)
     return attached.fillna(0, ["critical_cases", "emergency_cases"])
 
 

@@ -14,10 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def attach(facts: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+def attach(
+    facts: DataFrame, table: DataFrame, on: Sequence[str], grouped: bool = False
+) -> DataFrame:
     """Left join of ``facts`` to ``table``, which holds one row per ``on``. Facts without a key
-    keep null columns."""
-    return facts.join(table, list(on), "left")
+    keep null columns.
+
+    ``grouped``: the table comes straight from a grouping by the same key. It is then dealt out
+    anew, because Spark splits a large partition only where both sides were shuffled for the join.
+    """
+    return facts.join(table.hint("rebalance") if grouped else table, list(on), "left")
 
 
 def keep_matching(facts: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:

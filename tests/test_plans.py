@@ -144,7 +144,8 @@ def test_a_plain_join_would_be_lopsided(spark, hot, wide):
 
 def test_attach_spreads_a_hot_key(spark, hot, splitting):
     table = hot.select("staff_id").distinct().withColumn("x", F.lit(1))
-    joined = joins.attach(hot.repartition(PARTS, "timesheet_id"), table, ["staff_id"])
+    dealt = hot.repartition(PARTS, "timesheet_id")
+    joined = joins.attach(dealt, table, ["staff_id"], grouped=True)
     assert joined.where("x is null").count() == 0 and joined.count() == ROWS
     assert largest_share(joined) < 0.15
 
