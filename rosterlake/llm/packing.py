@@ -10,22 +10,30 @@ of two, which need no padding.
 
 from __future__ import annotations
 
+import functools
+import json
+import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.llm.pair_tree_bpe import word_bpe
+from rosterlake.llm import pretokens
 from rosterlake.llm.scratch import store
 
 CAPACITY = 4096
 OPEN_WINDOWS = 32
 # Tasks whose leftovers, at most OPEN_WINDOWS x CAPACITY ids each, meet in one task.
 MERGED_AT_ONCE = 16
+# Words and pieces of words a worker remembers at least (at most twice as many), and the longest
+# of them: together some 250 MB at most.
+WORD_ENTRIES, PIECE_ENTRIES, MAX_KEY = 400_000, 300_000, 32
 # Rows of an Arrow batch that a task hands over.
 _ROWS = 8192
 
@@ -47,6 +55,46 @@ PIECE = (
 )
 
 
+class WordIds:
+    """The ids of texts by the library and a tokenizer file that drops white space, remembered
+    word by word. Texts of other than plain characters go to the library whole."""
+
+    def __init__(self, path: str):
+        self.library = pretokens.load(path)
+        self.specials = pretokens.special_strings(self.library)
+        steps = json.loads(self.library.to_str())["pre_tokenizer"]["pretokenizers"]
+        self.pieces = regex.compile(steps[0]["pattern"]["Regex"])
+        self.known = pretokens.Remembered(self._piece, PIECE_ENTRIES, MAX_KEY)
+        self.words = pretokens.Remembered(self._word, WORD_ENTRIES, MAX_KEY)
+
+    def _piece(self, piece: str) -> bytes:
+        if not (piece.isascii() and piece.isprintable()):  # those letters stand for themselves
+            piece = piece.encode().decode("latin-1").translate(pretokens.BYTE_LETTERS)
+        ids = [token.id for token in self.library.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: str) -> bytes:
+        if word.isalpha():
+            return self.known[word]
+        return b"".join(map(self.known.__getitem__, self.pieces.findall(word)))
+
+    def packed(self, text: str) -> bytes:
+        """The ids of the whole text as little-endian 32-bit integers."""
+        if not pretokens.is_plain(text) or (self.specials and self.specials.search(text)):
+            ids = self.library.encode(text, add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes()
+        look_up = self.words.__getitem__
+        return b"".join(
+            [b"".join(map(look_up, part.lower().split())) for part in pretokens.slices(text)]
+        )
+
+
+@functools.lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One per worker and file."""
+    return WordIds(path)
+
+
 @dataclass(slots=True)
 class Piece:
     """Consecutive ids of one document; ``ids`` holds four bytes for each."""
@@ -191,9 +239,9 @@ def _documents(path: str, end_id: int):
     end = end_id.to_bytes(4, "little")
 
     def pieces(batch: pa.RecordBatch) -> Iterator[Piece]:
-        bpe = word_bpe(path)
+        encoder = word_ids(path)
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-            ids = bpe.packed_ids(text.as_py() or "") + end
+            ids = encoder.packed(text.as_py() or "") + end
             yield Piece(doc_id.as_py(), 0, memoryview(ids), len(ids) // 4)
 
     return pieces
