@@ -4,7 +4,8 @@ Labelled page outcomes are counted by host, registered domain and suffix. Each l
 towards the level above by a beta prior: a suffix towards all pages, a domain towards its
 suffix, a host towards its domain. How strong a prior is follows from how much the rates of
 that level differ beyond chance (beta-binomial moments). A host is blocked if even the lower
-bound of its posterior rate of bad pages is above a limit.
+bound of its posterior rate of bad pages is above a limit. A host without outcomes has its prior
+as posterior: that of its domain, else of its suffix, else the rate of all pages.
 """
 
 from __future__ import annotations
@@ -116,14 +117,17 @@ def _strength(counts: DataFrame) -> tuple[float, float]:
 
 
 def host_posteriors(
-    outcomes: DataFrame, two_label: Sequence[str] = TWO_LABEL_SUFFIXES
+    outcomes: DataFrame,
+    two_label: Sequence[str] = TWO_LABEL_SUFFIXES,
+    others: DataFrame | None = None,
 ) -> DataFrame:
-    """host, n, bad, mean, bound for every host with an outcome.
+    """host, n, bad, mean, bound for every host with an outcome, and for every host in ``others``.
 
-    ``outcomes``: host, bad (boolean; rows without it do not count). ``mean`` is the posterior
-    rate of bad pages, ``bound`` DEVIATIONS of its standard deviations lower. Counts are summed
-    before any shuffle, and upper levels are made from the counts of the hosts; nine numbers
-    reach the driver.
+    ``outcomes``: host, bad (boolean; rows without it do not count). ``others``: host, repeated
+    or not; without an outcome it has n = bad = 0, and its prior is the mean of its domain, else
+    of its suffix, else of all pages. ``mean`` is the posterior rate of bad pages, ``bound``
+    DEVIATIONS of its standard deviations lower. Counts are summed before any shuffle, and upper
+    levels are made from the counts of the hosts; nine numbers reach the driver.
     """
     domain, suffix = host_levels(F.col("host"), two_label)
     hosts = (
@@ -146,12 +150,21 @@ def host_posteriors(
     domains = domains.join(above, "suffix").select(
         "suffix", "domain", shrunk(F.col("_suffix"), for_domain).alias("_domain")
     )
-    mean = shrunk(F.col("_domain"), for_host)
+    known = hosts.join(domains, ["suffix", "domain"])
+    known = known.select("host", "n", "bad", F.col("_domain").alias("_prior"))
+    if others is not None:
+        nothing = F.lit(0).cast("long")
+        new = others.select("host").distinct().join(hosts.select("host"), "host", "left_anti")
+        new = new.withColumns({"domain": domain, "suffix": suffix})
+        new = new.join(domains, ["suffix", "domain"], "left").join(above, "suffix", "left")
+        prior = F.coalesce("_domain", "_suffix", F.lit(rate))
+        known = known.unionByName(
+            new.select("host", nothing.alias("n"), nothing.alias("bad"), prior.alias("_prior"))
+        )
+    mean = shrunk(F.col("_prior"), for_host)
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + for_host + 1))
-    return (
-        hosts.join(domains, ["suffix", "domain"])
-        .select("host", "n", "bad", mean.alias("mean"))
-        .withColumn("bound", F.col("mean") - DEVIATIONS * deviation)
+    return known.select("host", "n", "bad", mean.alias("mean")).withColumn(
+        "bound", F.col("mean") - DEVIATIONS * deviation
     )
 
 
@@ -169,8 +182,8 @@ def judge_urls(
     ``outcomes``: page_id and bad of labelled pages; pages of the same id share them, and a page
     with several outcomes counts with each. The verdict is that of the longest fitting rule;
     without one, a host is blocked if its bound is above ``block_above``, and allowed if it is
-    not or if no page of it was labelled. A null url has the empty host. Null ids have no
-    outcome. One row per page, repeated ids included.
+    not. A host of which no page was labelled is judged by its prior. A null url has the empty
+    host. Null ids have no outcome. One row per page, repeated ids included.
 
     A host with most of the pages is counted before the shuffle; where the posterior comes back
     to the pages, Spark's adaptive join splits it.
@@ -184,7 +197,7 @@ def judge_urls(
         outcomes.select(F.col(outcomes.columns[0]).alias("page_id"), F.col(outcomes.columns[1]).alias("bad")),
         "page_id",
     )
-    posteriors = host_posteriors(labelled, two_label).select("host", "mean", "bound")
+    posteriors = host_posteriors(labelled, two_label, seen).select("host", "mean", "bound")
     rule, ruled = fitting_rule(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("bound") > block_above, "block").otherwise("allow")
     return seen.join(posteriors, "host", "left").select(

@@ -134,6 +134,44 @@ def test_verdicts(spark):
     assert hr.judge_urls(frame.limit(0), outcomes).count() == 0
 
 
+def test_hosts_without_outcomes(spark):
+    """An unlabelled host has the mean of its domain, else of its suffix, else of all pages."""
+    labels = [("com", "bad", 950, 1000), ("com", "good", 10, 1000), ("net", "x", 5, 400), ("biz", "y", 600, 600)]
+    pages, outcomes = [], []
+    for suffix, domain, bad, n in labels:
+        for k in range(n):
+            outcomes.append((len(pages), k < bad))
+            pages.append((len(pages), f"http://h{k % 9}.{domain}.{suffix}/p"))
+    new = ["new1234.bad.com", "new.good.com", "other.com", "other.biz", "a.unseen", "new1234.bad.com", ""]
+    pages += [(len(pages) + k, f"http://{h}/p") for k, h in enumerate(new)]
+    frame = spark.createDataFrame(pages, "page_id long, url string").repartition(3)
+    judged = hr.judge_urls(frame, spark.createDataFrame(outcomes, "id long, bad boolean"), rules=[])
+    rows = judged.collect()
+    assert len(rows) == len(pages)
+    hosts, groups = {r.host: r for r in rows}, {}
+    for (_, url), (_, bad) in zip(pages, outcomes):
+        n, b = groups.get(url.split("/")[2], (0, 0))
+        groups[url.split("/")[2]] = (n + 1, b + bad)
+    domains = summed(groups, lambda h: h.partition(".")[2])
+    suffixes = summed(domains, lambda d: d.rpartition(".")[2])
+    (rate, w_suffix), (_, w_domain) = strength(list(suffixes.values())), strength(list(domains.values()))
+    _, w_host = strength(list(groups.values()))
+    suffix_mean = {s: (rate * w_suffix + b) / (n + w_suffix) for s, (n, b) in suffixes.items()}
+    (n, b) = domains["bad.com"]
+    expected = {
+        "new1234.bad.com": (suffix_mean["com"] * w_domain + b) / (n + w_domain),
+        "other.com": suffix_mean["com"],
+        "other.biz": suffix_mean["biz"],
+        "a.unseen": rate,
+        "": rate,
+    }
+    for host, mean in expected.items():
+        bound = mean - hr.DEVIATIONS * math.sqrt(mean * (1 - mean) / (w_host + 1))
+        assert abs(hosts[host].bad_rate - mean) < 1e-9 and abs(hosts[host].bad_bound - bound) < 1e-9
+        assert hosts[host].verdict == ("block" if bound > 0.5 else "allow")
+    assert hosts["new1234.bad.com"].verdict == "block" and hosts["new.good.com"].verdict == "allow"
+
+
 def test_query_against_sql(spark, folder):
     con = parity.connect(folder)
     parity.assert_same(queries.op4_host_reputation(spark, folder), con, oracle.ORACLES["op4_host_reputation"])
