@@ -3,6 +3,8 @@
 A run of base64 or hexadecimal digits is reported as a key only if its bytes parse: DER whose
 nested lengths fill their parents exactly and end with the data, the length-prefixed strings
 of a key in SSH wire format, or a signed token whose header is a JSON object with an algorithm.
+The lengths with which a key begins tell where it ends; its lines may be indented, quoted, or
+written with a literal backslash-n between them.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import binascii
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql.functions import arrow_udf
@@ -28,20 +31,63 @@ ACCESS_CHARS = 18
 
 KINDS = ("assign", "access", "hex", "jwt", "der", "ssh")
 
-# Candidates for structure. A run is tried whole; shorter ones cannot hold a key.
-# A header is a JSON object, so a signed token begins with "ey" or "ew".
+# Candidates for structure. A header is a JSON object, so a signed token begins with "ey" or "ew".
 _SIGNED = re.compile(
     r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*"
 )
-_LONG_RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}")  # in any text that holds one of the next three
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
-_URL_BASE64 = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{40,}={0,2}")
-_LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}")
+# Between two lines of digits: line breaks, plain or as backslash-n, with indentation, quote
+# marks, commas and signs that join or mark lines around them.
+_GAP = re.compile(
+    r"""(?:[\x20\t\r\n"'`,;>\#*|]|\\+(?:[nrt]|(?=[\x20\t\r\n"'`]))|(?<=["'`\x20])[+.](?=[\x20\t\r\n]))+"""
+)
+_LINE_BREAK = re.compile(r"[\r\n]|\\[nr]")
+_PADDING = re.compile("={0,2}")
+
+
+class _Coding:
+    """Digits of an alphabet, and where a key can begin: after another character or a written
+    line break, with the digits of a SEQUENCE of 22 bytes or more, of a short SSH name's length,
+    or of the OpenSSH container's name."""
+
+    def __init__(self, digits: str, heads: str, per_bytes: tuple[int, int], decode) -> None:
+        first, rest = heads.split(" ")
+        self.digits = re.compile(f"[{digits}]+")
+        self.start = re.compile(rf"(?s)[{first}](?:(?<![{digits}].)|(?<=\\[nrt].))(?:{rest})")
+        self.per_bytes = per_bytes
+        self.decode = decode
+
+    def digits_of(self, n: int) -> int:
+        """How many digits n bytes have, without padding."""
+        digits, size = self.per_bytes
+        return -(-n * digits // size)
+
+
+def _from_base64(digits: str) -> bytes | None:
+    digits = digits.replace("-", "+").replace("_", "/").rstrip("=")
+    try:
+        return base64.b64decode(digits + "=" * (-len(digits) % 4), validate=True)
+    except (binascii.Error, ValueError):
+        return None
+
+
+_BASE64_HEADS = "MAb (?<=M)(?:[B-H]|I[E-T])|(?<=A)AAA[A-J]|(?<=b)3BlbnNzaC1rZXktdjEA"
+_HEX_HEADS = "036 (?<=3)0[1-8]|(?<=0)00000|(?<=6)[Ff]70656[Ee]"
+_CODINGS = (
+    _Coding("A-Za-z0-9+/", _BASE64_HEADS, (4, 3), _from_base64),
+    _Coding("A-Za-z0-9_-", _BASE64_HEADS, (4, 3), _from_base64),
+    _Coding("0-9A-Fa-f", _HEX_HEADS, (2, 1), bytes.fromhex),
+)
+# A public key of SSH has a few strings, with what an agent adds still below this.
+_MOST_STRINGS = 16
 # A DER structure deeper than this is no key.
 _MAX_DEPTH = 32
 # Names that begin a key in SSH wire format.
 _SSH_NAMES = re.compile(rb"(sk-)?(ssh-(rsa|dss|ed25519)|ecdsa-sha2-nistp(256|384|521))(@openssh\.com)?")
 _OPENSSH = b"openssh-key-v1\x00"
+# How many strings a public key has at least, by how its name goes on after "ssh-" or "ecdsa-".
+_SSH_STRINGS = {b"rsa": 3, b"dss": 5, b"ed2": 2, b"sha": 3}
+# Object identifiers of digests: with an octet string they are a digest, not an encrypted key.
+_DIGESTS = tuple(map(bytes.fromhex, ("6086480165030402", "2b0e03021a", "2a864886f70d02")))
 
 RESULT = (
     "struct<n_assign: bigint, n_access: bigint, n_hex: bigint, base_sha256: string, "
@@ -77,14 +123,6 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
-def _from_base64(digits: str) -> bytes | None:
-    digits = digits.replace("-", "+").replace("_", "/").rstrip("=")
-    try:
-        return base64.b64decode(digits + "=" * (-len(digits) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-
-
 def _der_values(data: bytes, begin: int, end: int, depth: int) -> list[tuple[int, int, int]] | None:
     """(tag, begin, end) of the values that fill data[begin:end] exactly; None if they do not.
     Sequences and sets are parsed to the bottom."""
@@ -111,7 +149,8 @@ def _der_values(data: bytes, begin: int, end: int, depth: int) -> list[tuple[int
 
 def is_der_key(data: bytes) -> bool:
     """One SEQUENCE that fills the data and looks like a key: a private key begins with a small
-    version number, a public one with an algorithm's object identifier, then key material."""
+    version number, a public or an encrypted one with an algorithm's object identifier, then key
+    material."""
     if len(data) < 24 or data[0] != 0x30:
         return False
     outer = _der_values(data, 0, len(data), 0)
@@ -125,8 +164,13 @@ def is_der_key(data: bytes) -> bool:
         return any(e - b >= 16 for t, b, e in inner[1:] if t in (0x02, 0x04))
     if tag == 0x30:
         parts = _der_values(data, begin, end, 2)
-        has_name = bool(parts) and parts[0][0] == 0x06
-        return has_name and inner[1][0] == 0x03 and inner[1][2] - inner[1][1] >= 17
+        if not parts or parts[0][0] != 0x06:
+            return False
+        size = inner[1][2] - inner[1][1]
+        if inner[1][0] == 0x04:  # an encrypted private key
+            is_digest = data[parts[0][1] : parts[0][2]].startswith(_DIGESTS)
+            return len(inner) == 2 and size >= 16 and not is_digest
+        return inner[1][0] == 0x03 and size >= 17
     return tag == 0x02 and len(inner) == 2 and end - begin >= 32 and inner[1][0] == 0x02
 
 
@@ -189,34 +233,133 @@ def _kind_of(data: bytes | None) -> int | None:
     return None
 
 
-def _base64_key(run: str) -> tuple[int, int] | None:
-    """Kind and length of the key that the run holds, with or without its last line: the word
-    after a key without padding may look like one more line of it."""
-    shorter = re.sub(r"\r?\n[A-Za-z0-9+/]+=*$", "", run)
-    for digits in dict.fromkeys((run, shorter)):
-        kind = _kind_of(_from_base64(re.sub(r"\s+", "", digits)))
+class _Run:
+    """The digits from ``start`` on, over the ends of lines, read as far as they are asked for."""
+
+    def __init__(self, text: str, start: int, coding: _Coding) -> None:
+        self.text, self.end, self.coding = text, start, coding
+        self.parts: list[str] = []
+        self.count = 0
+
+    def first(self, n: int) -> bytes | None:
+        """The first n bytes, if there are as many."""
+        wanted = self.coding.digits_of(n)
+        if wanted - self.count > len(self.text) - self.end:
+            return None
+        while self.count < wanted:
+            at = self.end
+            if self.parts:
+                gap = _GAP.match(self.text, at)
+                if gap is None or not _LINE_BREAK.search(gap.group()):
+                    return None
+                at = gap.end()
+            line = self.coding.digits.match(self.text, at)
+            if line is None:
+                return None
+            self.parts.append(line.group())
+            self.count, self.end = self.count + len(line.group()), line.end()
+        self.parts = ["".join(self.parts)]
+        return self.coding.decode(self.parts[0][:wanted])
+
+    def end_after(self, n: int) -> int | None:
+        """Where the first n bytes end in the text, if a line's digits end with them."""
+        if self.count != self.coding.digits_of(n):
+            return None
+        if self.coding.per_bytes == (2, 1):
+            return self.end
+        return _PADDING.match(self.text, self.end).end()
+
+
+def _der_span(data: bytes, at: int) -> tuple[int, int]:
+    """Where the value whose tag stands at ``at`` begins and ends, by its length."""
+    length = data[at + 1]
+    if length <= 0x80:
+        return at + 2, at + 2 + length
+    begin = at + 2 + (length & 0x7F)
+    return begin, begin + int.from_bytes(data[at + 2 : begin], "big")
+
+
+def _sizes(run: _Run) -> Iterator[int]:
+    """After how many bytes a key may end, by the lengths that it begins with."""
+    head = run.first(8)
+    if head is None:
+        return
+    if head[0] == 0x30:
+        at, end = _der_span(head, 0)
+        if at >= len(head) or head[at] not in (0x02, 0x30):
+            return
+        for _ in range(4):  # the first values tell most look-alikes, before all is read
+            data = run.first(min(at + 6, end)) if at + 2 <= end else None
+            if data is None:
+                return
+            _, at = _der_span(data, at)
+            if at >= end:
+                break
+        if at <= end:
+            yield end
+        return
+
+    def length_at(at: int) -> int | None:
+        data = run.first(at + 4)
+        return None if data is None else int.from_bytes(data[at : at + 4], "big")
+
+    if head == _OPENSSH[:8]:
+        at = len(_OPENSSH)
+        for _ in range(3):
+            if (length := length_at(at)) is None:
+                return
+            at += 4 + length
+        keys = length_at(at)
+        if keys is None or not 1 <= keys <= _MOST_STRINGS:
+            return
+        at += 4
+        for _ in range(1 + keys):
+            if (length := length_at(at)) is None:
+                return
+            at += 4 + length
+        yield at
+        return
+    at = 4 + (length_at(0) or 0)
+    name = run.first(at)
+    if name is None or not (found := _SSH_NAMES.fullmatch(name[4:])):
+        return
+    least = _SSH_STRINGS[found.group(2).split(b"-", 1)[1][:3]] + (found.group(1) is not None)
+    for count in range(2, _MOST_STRINGS + 1):
+        if (length := length_at(at)) is None:
+            return
+        at += 4 + length
+        if count >= least:
+            yield at
+
+
+def _key_from(text: str, start: int, coding: _Coding) -> tuple[int, int] | None:
+    """Kind and end of the key that begins at ``start``."""
+    run = _Run(text, start, coding)
+    for size in _sizes(run):
+        data = run.first(size)
+        if data is None:
+            return None
+        end = run.end_after(size)
+        kind = None if end is None else _kind_of(data)
         if kind is not None:
-            return kind, len(digits)
+            return kind, end
     return None
 
 
 def confirmed_spans(text: str) -> list[Span]:
-    """Spans of signed tokens and keys; a span is found once, whatever its alphabet."""
+    """Spans of signed tokens and keys; a span is found once, whatever its alphabet. Where a key
+    ends follows from the lengths it begins with, and the search goes on after that end."""
     found: set[Span] = set()
     for m in _SIGNED.finditer(text):
         if is_signed_token(m.group()):
             found.add((m.start(), 3, m.end()))
-    if _LONG_RUN.search(text):
-        for pattern in (_BASE64, _URL_BASE64):
-            for m in pattern.finditer(text):
-                key = _base64_key(m.group())
-                if key is not None:
-                    found.add((m.start(), key[0], m.start() + key[1]))
-        for m in _LONG_HEX.finditer(text):
-            if len(m.group()) % 2 == 0:
-                kind = _kind_of(bytes.fromhex(m.group()))
-                if kind is not None:
-                    found.add((m.start(), kind, m.end()))
+    for coding in _CODINGS:
+        m = coding.start.search(text)
+        while m is not None:
+            key = _key_from(text, m.start(), coding)
+            if key is not None:
+                found.add((m.start(), *key))
+            m = coding.start.search(text, m.start() + 1 if key is None else key[1])
     return sorted(found)
 
 

@@ -91,6 +91,62 @@ def test_structures_are_confirmed():
     assert secret_scan.confirmed_spans(f"x {signed}, y") == [(2, 3, 2 + len(signed))]
 
 
+def encoded(data, width=64):
+    digits = base64.b64encode(data).decode().rstrip("=")
+    return [digits[k : k + width] for k in range(0, len(digits), width)]
+
+
+def spki(rng, size):
+    """An RSA public key; 256 bytes of modulus make 294 bytes, which need no padding."""
+    name = der(0x30, der(0x06, bytes.fromhex("2a864886f70d010101")) + b"\x05\0")
+    return der(0x30, name + der(0x03, b"\0" + der(0x30, der(0x02, b"\0" + b"\xc1" + rng.randbytes(size - 1)) + der(0x02, b"\1\0\1"))))
+
+
+def encrypted_key(rng):
+    """PKCS#8 under PBES2."""
+    name = der(0x30, der(0x06, bytes.fromhex("2a864886f70d01050d")) + der(0x30, der(0x04, rng.randbytes(8))))
+    return der(0x30, name + der(0x04, rng.randbytes(1232)))
+
+
+def test_keys_without_padding_one_per_line():
+    rng = random.Random(3)
+    for count in (1, 2, 3, 7):
+        for make, kind in ((lambda r: spki(r, 256), 4), (ssh_public, 5)):
+            datas = [make(rng) for _ in range(count)]
+            assert kind == 5 or len(datas[0]) == 294
+            for width in (10_000, 64):
+                texts = ["\n".join(encoded(data, width)) for data in datas]
+                text = "keys\n" + "\n".join([*texts, "One", "word", "each"])
+                spans, at = [], 5
+                for written in texts:
+                    spans.append((at, kind, at + len(written)))
+                    at += len(written) + 1
+                assert secret_scan.confirmed_spans(text) == spans
+
+
+@pytest.mark.parametrize(
+    "join",
+    ["\n", "\r\n", "\n    ", "\n\t", "\\n", "\\r\\n", "\\\\n", '",\n  "', '\\n"\n    "', "\\n' +\n  '", " \n> "],
+)
+def test_lines_of_a_key_in_other_files(join):
+    rng = random.Random(4)
+    for make, kind in ((private_key, 4), (encrypted_key, 4), (lambda r: spki(r, 256), 4), (ssh_private, 5)):
+        written = join.join(encoded(make(rng)))
+        for before, after in (("key: |" + join, join + "After"), ("-----BEGIN KEY-----" + join, join + "-----END KEY-----")):
+            spans = secret_scan.confirmed_spans(before + written + after)
+            assert spans == [(len(before), kind, len(before) + len(written))], join
+            assert secret_scan._redacted(before + written + after, "#") == before + "#" + after
+
+
+def test_encrypted_keys_and_digests():
+    rng = random.Random(5)
+    data = encrypted_key(rng)
+    assert secret_scan.is_der_key(data)
+    assert secret_scan.confirmed_spans(data.hex()) == [(0, 4, 2 * len(data))]
+    sha256 = der(0x30, der(0x06, bytes.fromhex("608648016503040201")) + b"\x05\0")
+    assert not secret_scan.is_der_key(der(0x30, sha256 + der(0x04, rng.randbytes(32))))
+
+
 def test_look_alikes_are_not():
     rng = random.Random(2)
     broken = bytearray(private_key(rng))
