@@ -3,7 +3,9 @@
 Words that occur once in the text and once in the template are anchors; the longest increasing
 subsequence of their places keeps those in order, and the gaps between neighbouring anchors are
 aligned in the same way, with words that are unique within the gap. What is aligned, as a share
-of the template's words, is the coverage.
+of the template's words, is the coverage. Where words repeat, stretches of the text are aligned
+one by one: those in which enough of the template's words stand, each from the place that most of
+the template's rarer words point to.
 """
 
 from __future__ import annotations
@@ -144,9 +146,22 @@ class Templates:
         self.least = least
         self.words = {name: words_of(text) for name, text in sorted(texts.items())}
         self.counts = {name: Counter(words) for name, words in self.words.items()}
+        self.guides = {name: self._guides(name) for name in self.words}
         all_words = Counter(w for counts in self.counts.values() for w in counts)
         self.vocabulary = frozenset(all_words)
 
+    def _guides(self, name: str) -> dict[str, list[int]]:
+        """Places in the template of its least repeated words, so many that no text covers the
+        template without one of them."""
+        counts, places = self.counts[name], {}
+        spare = (1 - self.least) * len(self.words[name])
+        for word in sorted(counts, key=lambda w: (counts[w], w)):
+            if spare < 0 and counts[word] > 1:
+                break
+            places[word] = [k for k, w in enumerate(self.words[name]) if w == word]
+            spare -= counts[word]
+        return places
+
     def found_in(self, text: str) -> list[dict]:
         """All templates that are covered, best first. ``begin`` and ``end`` count words."""
         words = words_of(text)
@@ -160,7 +175,7 @@ class Templates:
             shared = sum(min(n, here[w]) for w, n in counts.items())
             if shared < self.least * len(template):
                 continue
-            best = self._best(words, template)
+            best = self._best(words, name)
             if best is not None:
                 found.append({"license": name} | best)
 
@@ -169,27 +184,59 @@ class Templates:
 
         return sorted(found, key=rank)
 
-    def _best(self, words: list[str], template: list[str]) -> dict | None:
-        """The best alignment: with the whole text, or, where words repeat, with the stretches
-        around each place at which a rarest word of the template stands."""
+    def _best(self, words: list[str], name: str) -> dict | None:
+        """The best alignment: with the whole text, or, where words repeat, with stretches in
+        which enough of the template stands."""
+        template = self.words[name]
         best = self._covered(words, 0, len(words), template)
         if best is not None and best["coverage"] == 1.0:
             return best
-        inside = set(template)
-        counts = Counter(w for w in words if w in inside)
-        rarest = min((w for w in counts), key=lambda w: (counts[w], w))
-        first = template.index(rarest)
-        after = len(template) - first
-        for place, word in enumerate(words):
-            if word != rarest:
-                continue
-            for slack in (0, len(template) // 2 + 8):  # as it stands, and with changes around
-                begin, end = max(0, place - first - slack), min(len(words), place + after + slack)
+        size, slack = len(template), len(template) // 2 + 8
+        for start in self._starts(words, name, slack):
+            for more in (0, slack):  # as it stands, and with changes around
+                begin, end = max(0, start - more), min(len(words), start + size + more)
                 other = self._covered(words, begin, end, template)
                 if other is not None and (best is None or other["coverage"] > best["coverage"]):
                     best = other
+            if best is not None and best["coverage"] == 1.0:
+                return best
         return best
 
+    def _starts(self, words: list[str], name: str, slack: int) -> list[int]:
+        """Where the template may begin: of each quarter of its length, the place that most of
+        its guides vote for, if enough of its words stand around. One of the guides stands in
+        any text that covers the template."""
+        size, guides = len(self.words[name]), self.guides[name]
+        votes: dict[int, Counter] = {}
+        quarter = max(1, size // 4)
+        for place, word in enumerate(words):
+            for k in guides.get(word, ()):
+                votes.setdefault((place - k) // quarter, Counter())[place - k] += 1
+        dense = self._dense(words, name, size + 2 * slack)
+        chosen = (min(c, key=lambda start: (-c[start], start)) for c in votes.values())
+        return sorted(s for s in chosen if dense[max(0, s - slack)])
+
+    def _dense(self, words: list[str], name: str, width: int) -> list[bool]:
+        """For each place, whether enough words of the template stand in the ``width`` words from
+        it on, each as often as the template has it at most."""
+        left = dict(self.counts[name])  # what the template has beyond the stretch
+        need = self.least * len(self.words[name]) - 1e-9
+        shared = 0
+        dense = [False] * len(words)
+        for place in range(-width, len(words)):
+            if place + width < len(words):
+                word = words[place + width]
+                if word in left:
+                    shared += left[word] > 0
+                    left[word] -= 1
+            if place >= 0:
+                dense[place] = shared >= need
+                word = words[place]
+                if word in left:
+                    left[word] += 1
+                    shared -= left[word] > 0
+        return dense
+
     def _covered(self, words: list[str], begin: int, end: int, template: list[str]) -> dict | None:
         aligned = align(words[begin:end], template)
         coverage = len(aligned) / len(template)

@@ -76,6 +76,33 @@ def test_changed_templates():
     assert templates.found_in(" ".join(reversed(words))) == []
 
 
+def test_altered_notices_in_long_texts():
+    """A dropped or changed word must not lose a notice, wherever that word stands besides."""
+    random.seed(4)
+    noise = [f"n{k}" for k in range(500)]
+    for name in ("MIT", "MIT-permission", "Apache-2.0-header", "GPL-3.0-header"):
+        text = scan.NOTICES[name]
+        templates = scan.Templates({name: text}, 0.8)
+        words = scan.words_of(text)
+        for gone in {0, 1, len(words) // 2, *random.sample(range(len(words)), min(5, len(words)))}:
+            if words[gone].isdigit():
+                continue
+            altered = words[:gone] + words[gone + 1 :]
+            for copies in (1, 2, 6):
+                for far in ([], [words[gone]]):
+                    between = random.choices(noise, k=30) if copies < 6 else []
+                    around = random.choices(noise, k=900)
+                    text = [*far, *around, *((altered + between) * copies), *around]
+                    found = templates.found_in(" ".join(text))
+                    assert found and found[0]["coverage"] >= 0.8, (name, words[gone], copies)
+                    if not far:
+                        assert found[0]["end"] - found[0]["begin"] < 2 * len(words) + 16
+    far = "released " + "filler " * 500
+    twice = far + "Distributed under the MIT License. " + "other " * 500 + "Distributed under the MIT License."
+    best = scan.Templates({"MIT": scan.NOTICES["MIT"]}, 0.8).found_in(twice)[0]
+    assert best == {"license": "MIT", "coverage": 0.8, "begin": 502, "end": 506}
+
+
 def test_columns(spark):
     rows = [None, "", "no license", "x Licensed under CC BY-NC 4.0.", "Licensed under CC BY 4.0", "the " * 50_000]
     frame = spark.createDataFrame([(t,) for t in rows], "text string").withColumn("license", F.lit(1))
