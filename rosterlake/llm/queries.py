@@ -63,12 +63,17 @@ def op5_token_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_license_alignment(spark: SparkSession, folder: str) -> DataFrame:
-    """The license covered best, and how many are covered; null and 0 where there is none."""
+    """The license covered best, how many are covered, and all of them as name:begin:end, best
+    first; null, 0 and empty where there is none."""
     docs = _table(spark, folder, "documents")
     found = docs.select("doc_id", license_scan.scan_licenses()("text").alias("found"))
-    return found.select("doc_id", F.get("found", F.lit(0)).alias("best"), F.size("found").alias("n_licenses")).select(
-        "doc_id", "best.*", "n_licenses"
-    )
+    named = F.transform("found", lambda f: F.concat_ws(":", f["license"], f["begin"], f["end"]))
+    return found.select(
+        "doc_id",
+        F.get("found", F.lit(0)).alias("best"),
+        F.size("found").alias("n_licenses"),
+        F.array_join(named, ",").alias("licenses"),
+    ).select("doc_id", "best.*", "n_licenses", "licenses")
 
 
 def op7_grid_order_join(spark: SparkSession, folder: str) -> DataFrame:
