@@ -36,14 +36,26 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (shingles of five words, similarity 0.8):
-    the one with the smallest id. Texts without a word are in no group and stay. Rows that share
-    an id are one document, of which one row stays; rows without an id cannot be told apart and
-    all stay."""
-    linked = parity_join.link_texts(docs, k=SHINGLE_WORDS, num=SIMILAR_PERCENT)
-    firsts = linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each group of near-duplicates (shingles of five words, similarity 0.8): the one
+    with the smallest id, rows without an id last; of equal ids the one that comes first by hashes
+    of the row. Texts without a word are in no group. Rows that share id and text are one document,
+    of which one row stays; rows that share only an id are told apart."""
+    columns = [f"`{c}`" for c in docs.columns]
+    key, row = quality_vote.free_name(docs, "key"), quality_vote.free_name(docs, "row")
+    # maps have no hash
+    hashed = [f"`{c}`" for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    # a missing id and a missing text have to differ from each other
+    of_text = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
+    keyed = docs.withColumns({key: of_text, row: F.xxhash64(*hashed)})
+    texts = keyed.select(F.col(key).alias("doc_id"), "text")
+    linked = parity_join.link_texts(texts, k=SHINGLE_WORDS, num=SIMILAR_PERCENT)
+    linked = linked.select(F.col("doc_id").alias(key), "component_id").distinct()
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key, row)
+    firsts = keyed.groupBy(key).agg(F.min(rank).alias("first"))
+    firsts = firsts.join(linked, key).groupBy("component_id").agg(F.min("first").alias("first"))
+    firsts = firsts.select(F.col(f"first.{key}").alias(key), F.col(f"first.{row}").alias(row))
+    kept = keyed.join(firsts, [key, row], "left_semi").dropDuplicates([key, row])
+    return kept.select(*columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

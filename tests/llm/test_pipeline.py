@@ -102,6 +102,38 @@ def test_run_is_all_stages(spark, folder, stages):
     )
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_near_duplicates_of_rows_with_equal_or_missing_ids(spark, folder, parts):
+    def text(name):
+        return " ".join(f"{name}{k}" for k in range(60))
+
+    rows = [
+        (1, text("a"), "x"),
+        (7, text("a") + " more", "x"),  # a near copy of row 1 ...
+        (7, text("b"), "x"),  # ... shares its id with a text of its own
+        (8, text("c"), "x"),
+        (8, text("d"), "x"),
+        (8, text("d"), "x"),
+        (9, text("e"), "y"),
+        (9, text("e"), "x"),
+        (None, text("a"), "x"),
+        (None, text("f"), "x"),
+        (None, text("f"), "x"),
+        (None, text("g"), "x"),
+        (10, None, "x"),
+        (11, "", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts)
+    docs = docs.withColumn("tags", F.create_map(F.lit("k"), F.lit(1)))
+    result = pipeline.keep_one_of_group(spark, docs, folder)
+    assert result.dtypes == docs.dtypes
+    found = Counter((r.doc_id, r.text) for r in result.collect())
+    assert found == Counter(
+        [(1, text("a")), (7, text("b")), (8, text("c")), (8, text("d")), (9, text("e"))]
+        + [(None, text("f")), (None, text("g")), (10, None), (11, "")]
+    )
+
+
 def test_edge_rows(spark, folder):
     good = "This is a sentence of words that differ, and it ends well. " * 2
     words = " ".join(f"{w}{k}" for k in range(30) for w in ("the", "house", "and")) + "."
