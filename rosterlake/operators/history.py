@@ -2,8 +2,8 @@
 
 A window over all shifts of one staff member would put a hot staff member into one task.
 So shifts are first reduced: to blocks (staff, day, 2^16 consecutive ids), to spans (staff,
-start, end) or to days. Windows run over these small tables, where one staff member has at
-most as many rows as the calendar has days or spans. The answers go back to the shifts by
+start, end) or to days. Windows over a staff member run on days, of which a calendar has few
+thousand; windows over spans run inside a day of start. The answers go back to the shifts by
 block or by shift id, and neither can hold more than 2^16 shifts.
 
 Shifts without a staff id or date belong to nobody's history; their flags are 0.
@@ -117,12 +117,23 @@ def _first_of_spans(shifts: DataFrame) -> DataFrame:
         F.max_by("shift_duration_hours", _order()).alias("_last_hours"),
     )
     spans = spans.select("*", "_first_id.*").drop("_first_id")
-    in_order = Window.partitionBy("staff_id").orderBy("shift_start", "shift_end")
-    return spans.withColumns(
-        {
-            "_before_end": F.lag("shift_end").over(in_order),
-            "_before_hours": F.lag("_last_hours").over(in_order),
-        }
+    spans = spans.withColumn("_start_day", F.col("shift_start").cast("date"))
+    span = F.struct("shift_start", "shift_end", "_last_hours")
+    by_staff = Window.partitionBy("staff_id").orderBy("_start_day")
+    days = spans.groupBy("staff_id", "_start_day").agg(F.max(span).alias("_last"))
+    days = days.withColumn("_day_before", F.lag("_last").over(by_staff)).drop("_last")
+    in_day = Window.partitionBy("staff_id", "_start_day").orderBy("shift_start", "shift_end")
+    carried = spans.withColumn("_span_before", F.lag(span).over(in_day))
+    before = F.coalesce("_span_before", "_day_before")
+    return (
+        carried.join(days, ["staff_id", "_start_day"])
+        .withColumns(
+            {
+                "_before_end": before.getField("shift_end"),
+                "_before_hours": before.getField("_last_hours"),
+            }
+        )
+        .drop("_start_day", "_span_before", "_day_before")
     )
 
 

@@ -169,6 +169,15 @@ def test_windows_over_a_person_see_days_and_spans_only(spark, hot, wide):
     assert spans.where("staff_id = 0").count() <= 401 * 2 * 6
 
 
+def test_spans_of_a_hot_person_are_spread(spark, hot, wide):
+    """Starts at any second of 400 days make about as many spans as shifts."""
+    second = F.pmod(F.xxhash64("timesheet_id"), F.lit(400 * 86400))
+    shifts = hot.withColumn("shift_start", F.timestamp_add("SECOND", second, F.col("shift_start")))
+    firsts = history._first_of_spans(shifts)
+    assert firsts.where("staff_id = 0").count() > 401 * 2 * 6
+    assert largest_share(firsts) < 0.15
+
+
 def test_numbering_spreads_rows(spark, hot, wide):
     keyed = facts.with_surrogate_key(hot, "k", "TS_", by="timesheet_id", bits=8)
     assert keyed.count() == ROWS
