@@ -156,8 +156,126 @@ from reached r left join sizes s on s.doc_id = r.a
 group by r.a
 """
 
+PIECE_TABLE_INFILLING = r"""
+with units as (
+  select doc_id, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+         sha256('1:' || coalesce(doc_id::varchar, '')) as h
+  from documents
+),
+drawn as (
+  select doc_id, text, u, len(u) as n,
+         ('0x' || h[1:8])::bigint % (len(u) + 1) as a, ('0x' || h[9:16])::bigint % (len(u) + 1) as b,
+         case when text = '' or regexp_matches(text, '<[PSM]>')
+                   or ('0x' || h[17:24])::bigint % 100 >= 90 then 'plain'
+              when ('0x' || h[25:32])::bigint % 100 < 20 then 'spm' else 'psm' end as form
+  from units
+),
+parts as (
+  select doc_id, text, n, form, array_to_string(u[:least(a, b)], '') as prefix,
+         array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as middle,
+         array_to_string(u[greatest(a, b) + 1:], '') as suffix
+  from drawn
+)
+select doc_id, n, form,
+       case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then text
+              when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts
+"""
+
+PARTITIONED_COLLOCATIONS = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, doc_id, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+),
+numbered as (
+  select lang, row_number() over () as p, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+),
+tokens as (select lang, p, unnest(w) as word, unnest(range(len(w))) as i from numbered),
+followed as (
+  select lang, word as w1, lead(word, 1) over o as w2, lead(word, 2) over o as w3
+  from tokens window o as (partition by lang, p order by i)
+),
+totals as (select lang, count(*) as n from followed group by lang),
+counts as materialized (
+  select lang, 1 as size, w1 as phrase, count(*) as f from followed group by all having f >= 10
+  union all
+  select lang, 2, w1 || ' ' || w2, count(*) as f from followed where w2 is not null
+  group by all having f >= 10
+  union all
+  select lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) as f from followed where w3 is not null
+  group by all having f >= 10
+),
+split as (select *, string_split(phrase, ' ') as w from counts where size > 1),
+cuts as (
+  select lang, phrase, f as a, unnest(range(1, size)) as k, w from split
+),
+scored as (
+  select c.lang, c.phrase, c.a, c.k, x.f as l, y.f as r,
+         1000000::hugeint * c.a * c.a // (x.f::hugeint * y.f) as score
+  from cuts c
+  join counts x on x.lang = c.lang and x.phrase = array_to_string(c.w[:c.k], ' ')
+  join counts y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+),
+lowest as (
+  select lang, phrase, any_value(a) as a, arg_min(l, score * 10 + k) as l,
+         arg_min(r, score * 10 + k) as r, min(score)::bigint as score
+  from scored group by lang, phrase
+),
+covering as (
+  select lang, phrase, max(f) as longer from (
+    select lang, w[1] || ' ' || w[2] as phrase, f from split where size = 3
+    union all
+    select lang, w[2] || ' ' || w[3], f from split where size = 3
+  ) group by lang, phrase
+),
+ranked as (
+  select b.*, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+  from lowest b left join covering c using (lang, phrase)
+  where not coalesce(100 * c.longer >= 50 * b.a, false)
+)
+select r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
+from ranked r join totals t using (lang)
+where r.rank <= 2000
+"""
+
+COMPILED_CHAT_FORMAT = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, role as r, text as t
+  from conversations
+  union all
+  select -1, i, who, '<|im_end|><|im_start|>assistant ok', who, '<|im_end|><|im_start|>assistant ok'
+  from (values (0, 'user'), (1, 'assistant')) as probe(i, who)
+),
+escaped as (
+  select *, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') as shown,
+         regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g') as line
+  from turns
+),
+grouped as (
+  select conv_id, count(*) as n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, r nulls first, t nulls first) as said,
+         coalesce(string_agg(text, '' order by turn nulls first, t nulls first)
+                  filter (where role = 'assistant'), '') as learned,
+         sum(length('<|im_start|>') + length(line) + 1 + length(shown) + length('<|im_end|>') + 1)::bigint as formatted_chars
+  from escaped group by conv_id
+)
+select conv_id, n_turns, sha256(said) as turns_sha256, length(learned) as loss_chars,
+       sha256(learned) as loss_sha256, formatted_chars
+from grouped
+"""
+
 ORACLES: dict[str, str] = {
     "op4_host_reputation": HOST_REPUTATION,
     "op7_grid_order_join": GRID_ORDER_JOIN,
     "op10_parity_sketch_join": PARITY_SKETCH_JOIN,
+    "op11_piece_table_infilling": PIECE_TABLE_INFILLING,
+    "op12_partitioned_collocations": PARTITIONED_COLLOCATIONS,
+    "op13_compiled_chat_format": COMPILED_CHAT_FORMAT,
 }
