@@ -26,14 +26,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlake.llm.scratch import store
 
 MAX_WORDS, SUPPORT, TOP, COVERED_PERCENT = 3, 10, 2000, 50
-# Bytes tokenized at a time, and words of a shard: some 400 MB in a worker.
-SLICE_BYTES, SHARD_WORDS = 1 << 22, 1 << 22
 # Bits of the table of phrases to be counted: 32 MB on the driver and in each worker.
 FILTER_BITS = 28
 # Languages whose size is known to all shards, largest first; a shard reports all phrases of others.
@@ -45,54 +44,64 @@ _CLASS = np.zeros(256, dtype=np.uint8)
 _CLASS[[0x20, 0x09]] = _BLANK
 _CLASS[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = _MARK
 
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """What a worker holds at a time; results don't depend on it."""
+
+    # bytes tokenized at a time, and words of a shard: some 300 MB
+    slice_bytes: int = 1 << 22
+    shard_words: int = 1 << 22
+    # languages with as many bytes are mined at support 1 in every shard
+    large_bytes: int = 1 << 26
+
+
 _U = np.uint64
+_BLANK_BYTE = b" "
 
 
 # --- words -------------------------------------------------------------------
 
 
+def _mixed(values: np.ndarray, factor: int) -> np.ndarray:
+    values ^= values >> _U(32)
+    values *= _U(factor)
+    values ^= values >> _U(29)
+    return values
+
+
 class _Hash:
-    """A 64-bit hash of words: random numbers per byte, weighted by the byte's place."""
+    """A 64-bit hash of words and phrases."""
 
     def __init__(self, seed: int):
-        numbers = np.random.Generator(np.random.PCG64(seed)).integers(
-            0, 1 << 64, 300, dtype=np.uint64
-        )
-        self.of_byte = numbers[:256].copy()
-        self.of_byte[ord("A") : ord("Z") + 1] = self.of_byte[ord("a") : ord("z") + 1]
-        # odd, and 5 or 3 from a multiple of 8, so that powers take long to repeat
-        self.base = (numbers[256] & ~_U(7)) | _U(5)
-        self.powers = np.ones(1, dtype=np.uint64)
-        self.odd = numbers[257:] | _U(1)
-
-    def words(self, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Hashes of words that stand one behind the other in ``data``."""
-        if not len(lengths):
-            return np.empty(0, dtype=np.uint64)
-        longest = int(lengths.max())
-        if longest > len(self.powers):
-            steps = np.full(longest + 64, self.base, dtype=np.uint64)
-            steps[0] = 1
-            self.powers = np.multiply.accumulate(steps)
-        first = np.cumsum(lengths) - lengths
-        place = np.arange(len(data)) - np.repeat(first, lengths)
-        return _mixed(np.add.reduceat(self.of_byte[data] * self.powers[place], first))
+        numbers = np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 63, 64).tolist()
+        self.seed, self.factor, *self.odd = [2 * number + 1 for number in numbers]
+
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the words at the given places, eight bytes at a time."""
+        padded = np.append(data, np.zeros(8, dtype=np.uint8))
+        # the eight bytes from each place on, as one number
+        eights = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+        lengths = ends - starts
+        found = lengths.astype(np.uint64) * _U(self.seed)
+        rest, at = np.arange(len(starts)), starts
+        while len(rest):
+            left = ends[rest] - at
+            bits = (8 * np.minimum(left, 8)).astype(np.uint64)
+            part = eights[at] & (~_U(0) >> (_U(64) - bits))
+            found[rest] = _mixed((found[rest] ^ part) * _U(self.factor), self.seed)
+            longer = left > 8
+            rest, at = rest[longer], at[longer] + 8
+        return found
 
     def phrases(self, words: np.ndarray, size: int, language: int) -> np.ndarray:
         """Hashes of the phrases of ``size`` words that begin at each word."""
         count = max(len(words) - size + 1, 0)
-        seed = (language * int(self.odd[0]) + size) % (1 << 64)
-        found = np.full(count, seed, dtype=np.uint64)
+        found = np.full(count, (language * self.seed + size) % (1 << 64), dtype=np.uint64)
         for i in range(size):
-            found += words[i : i + count] * self.odd[1 + i]
-        return _mixed(found)
-
-
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values ^= values >> _U(31)
-    values *= _U(0x9E3779B97F4A7C15)
-    values ^= values >> _U(29)
-    return values
+            found += words[i : i + count] * _U(self.odd[i % len(self.odd)] * (2 * i + 1) % (1 << 64))
+        return _mixed(found, self.factor)
 
 
 def language_hash(language: str) -> int:
@@ -101,84 +110,69 @@ def language_hash(language: str) -> int:
 
 @dataclass
 class _Slice:
-    """Words of some documents, or of a stretch of one."""
+    """Words of some documents, or of a stretch of one, in lower case."""
 
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
-    # numbers of the pieces that the words lie in, and the document of each word
+    # the number of the piece that each word lies in, and of the piece in which the slice ends
     piece: np.ndarray
-    document: np.ndarray
-    # the first word that no earlier slice held
-    fresh: int
-    # number of the piece in which the slice ends
     last_piece: int
-    # bytes of each document that no earlier slice held
-    sizes: np.ndarray
+    # the first word, and bytes, that no earlier slice held
+    fresh: int
+    size: int
 
 
-def _tokenized(data: np.ndarray, begins: np.ndarray, fresh_from: int = 0) -> _Slice:
-    """The words of ``data``, in which documents begin at ``begins``."""
-    sizes = np.diff(np.append(begins, len(data)))
-    sizes[0] -= fresh_from
+def _tokenized(data: np.ndarray, fresh_from: int = 0) -> _Slice:
+    data = np.frombuffer(data.tobytes().lower(), dtype=np.uint8)
     kind = _CLASS[data]
-    word = kind == 0
-    inside = begins[(begins > 0) & (begins < len(data))]
-    first = word.copy()
-    first[1:] &= ~word[:-1]
-    first[inside] = word[inside]
-    last = word.copy()
-    last[:-1] &= ~word[1:]
-    last[inside - 1] = word[inside - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    marks = np.flatnonzero(kind == _MARK)
-    document = np.searchsorted(begins, starts, side="right") - 1
-    piece = np.searchsorted(marks, starts) + document
+    word = np.zeros(len(data) + 2, dtype=bool)
+    np.equal(kind, 0, out=word[1:-1])
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    starts, ends = edges[0::2], edges[1::2]
+    pieces = np.cumsum(kind == _MARK, dtype=np.int32)
+    last_piece = int(pieces[-1]) if len(pieces) else 0
     fresh = int(np.searchsorted(starts, fresh_from))
-    last_piece = len(marks) + len(begins) - 1
-    return _Slice(data, starts, ends, piece, document, fresh, last_piece, sizes)
+    return _Slice(data, starts, ends, pieces[starts], last_piece, fresh, len(data) - fresh_from)
 
 
-def _long_text(data: np.ndarray, context: int) -> Iterator[_Slice]:
-    """Slices of a long text, each led by the words of the piece that phrases may begin with."""
-    lead = np.empty(0, dtype=np.uint8)
-    at = 0
-    begin = np.zeros(1, dtype=np.int64)
+def _long_text(data: np.ndarray, context: int, slice_bytes: int) -> Iterator[_Slice]:
+    """Slices of a long text, each led by the words of its piece that phrases may begin with."""
+    lead = at = 0
+    led_by = np.empty(0, dtype=np.uint8)
     while at < len(data):
-        end = min(at + SLICE_BYTES, len(data))
+        end = min(at + slice_bytes, len(data))
         while end < len(data) and not _CLASS[data[end - 1]]:  # don't cut a word
-            window = np.flatnonzero(_CLASS[data[end : end + SLICE_BYTES]])
-            end = end + int(window[0]) + 1 if len(window) else min(end + SLICE_BYTES, len(data))
-        found = _tokenized(np.concatenate([lead, data[at:end]]), begin, len(lead))
+            window = np.flatnonzero(_CLASS[data[end : end + slice_bytes]])
+            end = end + int(window[0]) + 1 if len(window) else min(end + slice_bytes, len(data))
+        found = _tokenized(np.concatenate([led_by, data[at:end]]), lead)
         yield found
-        open_words = np.flatnonzero(found.piece[-context:] == found.last_piece) if context else []
-        tail = len(found.starts) - min(context, len(found.starts))
-        words = [found.data[found.starts[tail + i] : found.ends[tail + i]] for i in open_words]
-        blank = np.array([0x20], dtype=np.uint8)
-        lead = np.concatenate([part for word in words for part in (word, blank)] or [lead[:0]])
-        at = end
-
-
-def _slices(texts: pa.Array, context: int) -> Iterator[tuple[int, _Slice]]:
-    """(first document, its words and those of some that follow) of an array of texts."""
+        tail = range(max(len(found.starts) - context, 0), len(found.starts))
+        words = [
+            found.data[found.starts[i] : found.ends[i]].tobytes() + _BLANK_BYTE
+            for i in tail
+            if found.piece[i] == found.last_piece
+        ]
+        led_by = np.frombuffer(b"".join(words), dtype=np.uint8)
+        lead, at = len(led_by), end
+
+
+def _slices(texts: pa.Array, context: int, slice_bytes: int) -> Iterator[_Slice]:
+    """The words of an array of texts, each of which ends in a mark."""
     if not len(texts):
         return
     _, offsets, data = texts.buffers()
     width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     offsets = np.frombuffer(offsets, dtype=width)[texts.offset : texts.offset + len(texts) + 1]
-    offsets = offsets.astype(np.int64)
-    data = np.frombuffer(data, dtype=np.uint8) if data else np.empty(0, dtype=np.uint8)
+    data = np.frombuffer(data, dtype=np.uint8)
     at = 0
     while at < len(texts):
-        end = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
-        if end <= at:
-            for found in _long_text(data[offsets[at] : offsets[at + 1]], context):
-                yield at, found
-            at += 1
-            continue
-        end = min(end, len(texts))
-        begin = offsets[at]
-        yield at, _tokenized(data[begin : offsets[end]], offsets[at:end] - begin)
+        end = int(np.searchsorted(offsets, int(offsets[at]) + slice_bytes, side="right")) - 1
+        if end > at:
+            yield _tokenized(data[offsets[at] : offsets[end]])
+        else:
+            end = at + 1
+            yield from _long_text(data[offsets[at] : offsets[end]], context, slice_bytes)
         at = end
 
 
@@ -186,65 +180,58 @@ def _slices(texts: pa.Array, context: int) -> Iterator[tuple[int, _Slice]]:
 
 
 @dataclass(frozen=True)
-class _Sizes:
+class _Known:
     """What every shard knows: the phrases wanted, and languages with their bytes."""
 
     support: int
     max_words: int
     languages: tuple[str, ...]
     bytes: tuple[int, ...]
+    bounds: Bounds
+
+    def number(self, language: str) -> int:
+        return self.languages.index(language) if language in self.languages else -1
 
+    def small(self) -> list[int]:
+        """Languages of which a shard may keep something."""
+        return [number for number, size in enumerate(self.bytes) if 0 < size < self.bounds.large_bytes]
 
-class _Shard:
-    """Words with their hashes, until there are enough of them to be mined."""
+    def kept(self, number: int, size: int) -> int:
+        """How often a phrase may occur in ``size`` bytes of a language without being reported."""
+        if number not in self.small():
+            return 0
+        return max(0, -(-self.support * size // self.bytes[number]) - 1)
 
-    def __init__(self, hashes: list[_Hash], known: _Sizes, keep_text: bool):
-        self.hashes, self.known, self.keep_text = hashes, known, keep_text
-        self.n = self.pieces = self.at = 0
+
+class _Words:
+    """Words of one language, with their hashes."""
+
+    def __init__(self, hashes: list[_Hash], keep_text: bool):
+        self.hashes, self.keep_text = hashes, keep_text
+        self.bytes = self.pieces = self.at = 0
         self.parts: list[list[np.ndarray]] = []
         self.data: list[np.ndarray] = []
-        # languages by number; those beyond the known ones are numbered as they come
-        self.languages = list(known.languages)
-        self.numbers = {name: number for number, name in enumerate(self.languages)}
-        self.bytes_of: dict[int, int] = {}
 
-    def number(self, language: str) -> int:
-        number = self.numbers.setdefault(language, len(self.languages))
-        if number == len(self.languages):
-            self.languages.append(language)
-        return number
-
-    def add(self, found: _Slice, languages: list[str | None]) -> None:
-        """``languages``: the language of each document of the slice."""
-        numbers = np.array([self.number(name) for name in languages])
-        for number, size in zip(numbers.tolist(), found.sizes.tolist()):
-            self.bytes_of[number] = self.bytes_of.get(number, 0) + size
-        lengths = found.ends - found.starts
-        of_words = found.data[_CLASS[found.data] == 0]
-        part = [hash_.words(of_words, lengths) for hash_ in self.hashes]
-        part += [found.piece + self.pieces, numbers[found.document]]
-        part.append(np.arange(len(lengths)) >= found.fresh)
+    def add(self, found: _Slice) -> None:
+        part = [hash_.words(found.data, found.starts, found.ends) for hash_ in self.hashes]
+        part.append(found.piece + np.int32(self.pieces))
+        part.append(np.arange(len(found.starts)) >= found.fresh)
         if self.keep_text:
             part += [found.starts + self.at, found.ends + self.at]
             self.data.append(found.data)
             self.at += len(found.data)
         self.parts.append(part)
-        self.n += len(lengths)
+        self.bytes += found.size
         self.pieces += found.last_piece + 1
 
-    def by_language(self) -> Iterator[tuple[int, list[np.ndarray]]]:
-        """The columns of the words of one language after the other."""
+    def joined(self) -> list[np.ndarray]:
+        """The words' columns, which are then kept no more."""
         columns = [np.concatenate(column) for column in zip(*self.parts)]
-        language = columns.pop(len(self.hashes) + 1)
-        for number in self.bytes_of:
-            yield number, [column[language == number] for column in columns]
+        self.parts = []
+        return columns
+
 
-    def lowered_support(self, number: int) -> int:
-        """The shard's share of the support, rounded up; 1 where the whole is not known."""
-        if number >= len(self.known.bytes):
-            return 1
-        whole = max(self.known.bytes[number], 1)
-        return max(1, -(-self.known.support * self.bytes_of[number] // whole))
+Shard = dict[str, _Words]
 
 
 def _here(piece: np.ndarray, fresh: np.ndarray, size: int) -> np.ndarray:
@@ -252,72 +239,91 @@ def _here(piece: np.ndarray, fresh: np.ndarray, size: int) -> np.ndarray:
     return (piece[: len(piece) - size + 1] == piece[size - 1 :]) & fresh[size - 1 :]
 
 
-def _mined(shard: _Shard, sizes: list[int], left) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(language, hashes of phrases, excess of their counts over what a shard may keep) and, with
-    no hash, minus what it may keep. Of unknown languages nothing is kept; they are number -1.
+def _edges(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def _mined(
+    shard: Shard, known: _Known, sizes: list[int], left
+) -> Iterator[tuple[int, np.ndarray | None, np.ndarray]]:
+    """(language, hashes of phrases, excess of their counts over what the shard may keep) and, with
+    no hash, minus what it may keep. Languages of unknown size are number -1.
 
     ``left`` says by their hashes which phrases of a word less may be frequent.
     """
-    for number, (words, piece, fresh) in shard.by_language():
-        language, kept = language_hash(shard.languages[number]), shard.lowered_support(number) - 1
-        known = number if number < len(shard.known.bytes) else -1
+    for name, found in shard.items():
+        number, language = known.number(name), language_hash(name)
+        kept = known.kept(number, found.bytes)
         if kept:
-            yield known, None, np.array([-kept])
+            yield number, None, np.array([-kept])
+        words, piece, fresh = found.joined()
         for size in sizes:
             if len(words) < size:
                 continue
             wanted = _here(piece, fresh, size)
+            hash_ = found.hashes[0]
             if left is not None:
-                shorter = left(shard.hashes[0].phrases(words, size - 1, language))
+                shorter = left(hash_.phrases(words, size - 1, language))
                 wanted &= shorter[:-1] & shorter[1:]
-            keys = np.sort(shard.hashes[0].phrases(words, size, language)[wanted])
-            edges = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
-            counts = np.diff(np.append(edges, len(keys)))
+            keys = hash_.phrases(words, size, language)[wanted]
+            keys.sort()
+            edges = _edges(keys)
+            counts = np.diff(edges, append=len(keys))
             often = counts > kept
-            yield known, keys[edges[often]], counts[often] - kept
+            yield number, keys[edges[often]], counts[often] - kept
 
 
-def _counted(shard: _Shard, sizes: list[int], left) -> Iterator[tuple[str, int, list[str], list[int]]]:
+def _counted(
+    shard: Shard, sizes: list[int], left
+) -> Iterator[tuple[str, int, list[str], np.ndarray]]:
     """(language, size, phrases, their counts) of the phrases that ``left`` lets pass, and the
     count of all words as size 0. A phrase may come more than once."""
-    data = np.concatenate(shard.data).tobytes().lower() if shard.data else b""
-    for number, columns in shard.by_language():
-        words, others, piece, fresh, starts, ends = columns
-        name = shard.languages[number]
+    for name, found in shard.items():
         language = language_hash(name)
-        yield name, 0, [""], [int(np.count_nonzero(fresh))]
+        data = b"".join(part.tobytes() for part in found.data)
+        words, others, piece, fresh, starts, ends = found.joined()
+        yield name, 0, [""], np.array([np.count_nonzero(fresh)])
         for size in sizes:
             if len(words) < size:
                 continue
-            keys = shard.hashes[0].phrases(words, size, language)
+            keys = found.hashes[0].phrases(words, size, language)
             at = np.flatnonzero(_here(piece, fresh, size) & left(keys))
-            if not len(at):
-                continue
-            keys, second = keys[at], shard.hashes[1].phrases(others, size, language)[at]
-            order = np.argsort(keys, kind="stable")
-            keys, second, at = keys[order], second[order], at[order]
-            new = np.append(True, (keys[1:] != keys[:-1]) | (second[1:] != second[:-1]))
-            edges = np.flatnonzero(new)
-            counts = np.diff(np.append(edges, len(keys)))
-            places = at[edges]
-            bounds = [(starts[places + i].tolist(), ends[places + i].tolist()) for i in range(size)]
-            columns_of_words = [[data[a:b] for a, b in zip(*bound)] for bound in bounds]
-            phrases = [b" ".join(row).decode("utf-8", "replace") for row in zip(*columns_of_words)]
-            yield name, size, phrases, counts.tolist()
-
-
-def _shards(batches: Iterable[pa.RecordBatch], known: _Sizes, n_hashes: int) -> Iterator[_Shard]:
+            keys, second = keys[at], found.hashes[1].phrases(others, size, language)[at]
+            order = np.argsort(keys)
+            edges = _edges(keys[order], second[order])
+            counts = np.diff(edges, append=len(at))
+            at = at[order[edges]]
+            bounds = [zip(starts[at + i].tolist(), ends[at + i].tolist()) for i in range(size)]
+            parts = zip(*([data[begin:end] for begin, end in bound] for bound in bounds))
+            yield name, size, [b" ".join(row).decode("utf-8", "replace") for row in parts], counts
+
+
+def _shards(batches: Iterable[pa.RecordBatch], known: _Known, n_hashes: int) -> Iterator[Shard]:
     """Shards of the documents of a task, from columns of texts and languages."""
     hashes = [_Hash(seed) for seed in range(n_hashes)]
-    shard = _Shard(hashes, known, n_hashes > 1)
+    bounds = known.bounds
+    shard: Shard = {}
+    n_words = 0
     for batch in batches:
-        texts, languages = batch.column(0).fill_null(""), batch.column(1).to_pylist()
-        for first, found in _slices(texts, known.max_words - 1):
-            shard.add(found, languages[first : first + len(found.sizes)])
-            if shard.n >= SHARD_WORDS:
-                yield shard
-                shard = _Shard(hashes, known, n_hashes > 1)
-    if shard.parts:
+        # a mark after each text parts it from the next one
+        texts = pc.binary_join_element_wise(batch.column(0).fill_null(""), "\n", "")
+        languages = batch.column(1)
+        for name in languages.unique().to_pylist():
+            of_language = texts.filter(pc.equal(languages, name))
+            words = shard.setdefault(name, _Words(hashes, n_hashes > 1))
+            for found in _slices(of_language, known.max_words - 1, bounds.slice_bytes):
+                words.add(found)
+                n_words += len(found.starts)
+                if n_words >= bounds.shard_words:
+                    yield shard
+                    shard, n_words = {}, 0
+                    words = shard.setdefault(name, _Words(hashes, n_hashes > 1))
+    if shard:
         yield shard
 
 
@@ -363,14 +369,14 @@ _COUNTED = pa.schema(
 )
 
 
-def _left_after_mining(docs: DataFrame, known: _Sizes, sizes: list[int], table) -> np.ndarray:
+def _left_after_mining(docs: DataFrame, known: _Known, sizes: list[int], table) -> np.ndarray:
     """The table of the hashes of phrases that may be frequent, by the reports of all shards."""
     shared = None if table is None else docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None if shared is None else _member(shared.value)
         for shard in _shards(batches, known, 1):
-            for language, keys, excess in _mined(shard, sizes, left):
+            for language, keys, excess in _mined(shard, known, sizes, left):
                 for at in range(0, len(excess), _ROWS):
                     part = excess[at : at + _ROWS]
                     key = [None] if keys is None else keys[at : at + _ROWS].view(np.int64)
@@ -380,10 +386,16 @@ def _left_after_mining(docs: DataFrame, known: _Sizes, sizes: list[int], table)
                     )
 
     reports = docs.mapInArrow(run, "language int, key long, excess long")
-    summed = reports.groupBy("language", "key").agg(F.sum("excess").alias("excess"))
+    # shards hardly share phrases with themselves: no sums before the shuffle
+    summed = reports.repartition("language", "key").groupBy("language", "key").agg(
+        F.sum("excess").alias("excess")
+    )
+    # of large languages nothing is kept, and sums are final
+    may_pass = (F.col("excess") >= known.support) | F.col("language").isin(known.small())
+    stored = store(summed.where(may_pass), "reports")
     # below 0: what all shards of a language may have kept; one row per known language
-    kept = summed.where("excess < 0").select("language", (-F.col("excess")).alias("kept"))
-    bounded = summed.where("excess > 0").join(F.broadcast(kept), "language", "left")
+    kept = stored.where("excess < 0").select("language", (-F.col("excess")).alias("kept"))
+    bounded = stored.where("excess > 0").join(F.broadcast(kept), "language", "left")
     found = _bits(bounded.where(F.col("excess") + F.coalesce("kept", F.lit(0)) >= known.support))
     if shared is not None:
         shared.destroy()
@@ -391,7 +403,10 @@ def _left_after_mining(docs: DataFrame, known: _Sizes, sizes: list[int], table)
 
 
 def frequent_phrases(
-    docs: DataFrame, max_words: int = MAX_WORDS, support: int = SUPPORT
+    docs: DataFrame,
+    max_words: int = MAX_WORDS,
+    support: int = SUPPORT,
+    bounds: Bounds = Bounds(),
 ) -> DataFrame:
     """``lang``, ``size``, ``phrase`` (words joined by single spaces) and ``f``, its exact count, of
     all phrases of up to ``max_words`` words that occur ``support`` times or more in their
@@ -403,9 +418,11 @@ def frequent_phrases(
     language = F.coalesce("lang", F.lit("und"))
     docs = docs.select("text", language.alias("lang"))
     # the largest languages only: a bounded number of rows for the driver
-    sized = docs.groupBy("lang").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n"))
+    with_mark = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    sized = docs.groupBy("lang").agg(F.sum(with_mark).alias("n"))
     sized = sized.orderBy(F.desc("n"), "lang").limit(SIZED_LANGUAGES).collect()
-    known = _Sizes(support, max_words, *(tuple(row[name] for row in sized) for name in ("lang", "n")))
+    names, sizes = (tuple(row[name] for row in sized) for name in ("lang", "n"))
+    known = _Known(support, max_words, names, sizes, bounds)
     table = _left_after_mining(docs, known, [size for size in (1, 2) if size <= max_words], None)
     for size in range(3, max_words + 1):
         table |= _left_after_mining(docs, known, [size], table)
@@ -422,7 +439,7 @@ def frequent_phrases(
                             pa.array([name] * len(part)),
                             pa.array([size] * len(part), pa.int32()),
                             pa.array(part),
-                            pa.array(counts[at : at + _ROWS], pa.int64()),
+                            pa.array(counts[at : at + _ROWS]),
                         ],
                         schema=_COUNTED,
                     )
@@ -466,6 +483,7 @@ def collocations(
     support: int = SUPPORT,
     top: int = TOP,
     covered_percent: int = COVERED_PERCENT,
+    bounds: Bounds = Bounds(),
 ) -> DataFrame:
     """The best phrases of two to ``max_words`` words of each language: ``lang``, ``rank``,
     ``phrase``, ``a``, ``l``, ``r``, ``n`` and ``score``.
@@ -476,7 +494,7 @@ def collocations(
     of their times are left out. Of the rest, the first ``top`` by score, a (both falling) and phrase
     (in byte order) are returned; n counts all words of the language.
     """
-    found = frequent_phrases(docs, max_words, support)
+    found = frequent_phrases(docs, max_words, support, bounds)
     phrases, totals = found.where("size > 0"), found.where("size = 0")
 
     def part(name: str, count: str) -> DataFrame:
