@@ -315,14 +315,12 @@ def _shards(batches: Iterable[pa.RecordBatch], known: _Known, n_hashes: int) ->
         languages = batch.column(1)
         for name in languages.unique().to_pylist():
             of_language = texts.filter(pc.equal(languages, name))
-            words = shard.setdefault(name, _Words(hashes, n_hashes > 1))
             for found in _slices(of_language, known.max_words - 1, bounds.slice_bytes):
-                words.add(found)
+                shard.setdefault(name, _Words(hashes, n_hashes > 1)).add(found)
                 n_words += len(found.starts)
                 if n_words >= bounds.shard_words:
                     yield shard
                     shard, n_words = {}, 0
-                    words = shard.setdefault(name, _Words(hashes, n_hashes > 1))
     if shard:
         yield shard
 
