@@ -50,9 +50,10 @@ _CLASS[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = _MARK
 class Bounds:
     """What a worker holds at a time; results don't depend on it."""
 
-    # bytes tokenized at a time, and words of a shard: some 300 MB
+    # bytes tokenized at a time, words of a shard to be mined, and of one to be counted: some 300 MB
     slice_bytes: int = 1 << 22
     shard_words: int = 1 << 22
+    counted_words: int = 1 << 21
     # languages with as many bytes are mined at support 1 in every shard
     large_bytes: int = 1 << 26
 
@@ -217,9 +218,11 @@ class _Words:
         part.append(found.piece + np.int32(self.pieces))
         part.append(np.arange(len(found.starts)) >= found.fresh)
         if self.keep_text:
-            part += [found.starts + self.at, found.ends + self.at]
+            end = self.at + len(found.data)
+            width = np.int32 if end < 1 << 31 else np.int64
+            part += [(edge + self.at).astype(width) for edge in (found.starts, found.ends)]
             self.data.append(found.data)
-            self.at += len(found.data)
+            self.at = end
         self.parts.append(part)
         self.bytes += found.size
         self.pieces += found.last_piece + 1
@@ -298,15 +301,19 @@ def _counted(
             edges = _edges(keys[order], second[order])
             counts = np.diff(edges, append=len(at))
             at = at[order[edges]]
-            bounds = [zip(starts[at + i].tolist(), ends[at + i].tolist()) for i in range(size)]
-            parts = zip(*([data[begin:end] for begin, end in bound] for bound in bounds))
-            yield name, size, [b" ".join(row).decode("utf-8", "replace") for row in parts], counts
+            for block in range(0, len(at), _ROWS):
+                first = at[block : block + _ROWS]
+                bounds = [zip(starts[first + i].tolist(), ends[first + i].tolist()) for i in range(size)]
+                parts = zip(*([data[begin:end] for begin, end in bound] for bound in bounds))
+                phrases = [b" ".join(row).decode("utf-8", "replace") for row in parts]
+                yield name, size, phrases, counts[block : block + _ROWS]
 
 
 def _shards(batches: Iterable[pa.RecordBatch], known: _Known, n_hashes: int) -> Iterator[Shard]:
     """Shards of the documents of a task, from columns of texts and languages."""
     hashes = [_Hash(seed) for seed in range(n_hashes)]
     bounds = known.bounds
+    most = bounds.shard_words if n_hashes == 1 else bounds.counted_words
     shard: Shard = {}
     n_words = 0
     for batch in batches:
@@ -318,7 +325,7 @@ def _shards(batches: Iterable[pa.RecordBatch], known: _Known, n_hashes: int) ->
             for found in _slices(of_language, known.max_words - 1, bounds.slice_bytes):
                 shard.setdefault(name, _Words(hashes, n_hashes > 1)).add(found)
                 n_words += len(found.starts)
-                if n_words >= bounds.shard_words:
+                if n_words >= most:
                     yield shard
                     shard, n_words = {}, 0
     if shard:
@@ -352,8 +359,11 @@ def _bits(keys: DataFrame) -> np.ndarray:
 def _member(table: np.ndarray):
     def left(keys: np.ndarray) -> np.ndarray:
         found = np.ones(len(keys), dtype=bool)
-        for place in _probes(keys):
-            found &= ((table[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1).astype(bool)
+        for at in range(0, len(keys), _ROWS):
+            block = slice(at, at + _ROWS)
+            for place in _probes(keys[block]):
+                bit = table[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)
+                found[block] &= (bit & 1).astype(bool)
         return found
 
     return left
@@ -430,17 +440,13 @@ def frequent_phrases(
         left = _member(shared.value)
         for shard in _shards(batches, known, 2):
             for name, size, phrases, counts in _counted(shard, list(range(1, max_words + 1)), left):
-                for at in range(0, len(counts), _ROWS):
-                    part = phrases[at : at + _ROWS]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([name] * len(part)),
-                            pa.array([size] * len(part), pa.int32()),
-                            pa.array(part),
-                            pa.array(counts[at : at + _ROWS]),
-                        ],
-                        schema=_COUNTED,
-                    )
+                columns = [
+                    pa.array([name] * len(counts)),
+                    pa.array([size] * len(counts), pa.int32()),
+                    pa.array(phrases),
+                    pa.array(counts),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=_COUNTED)
 
     counted = docs.mapInArrow(run, "lang string, size int, phrase string, f long")
     totals = counted.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
