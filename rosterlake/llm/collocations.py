@@ -9,9 +9,9 @@ sums of that bound the count of a phrase from above, and phrases below the suppo
 phrases left, in a bit table of fixed size, are counted exactly over all documents, as texts.
 
 Phrases of one and two words are mined first; longer ones, a word more at a time, only where both
-phrases that they consist of were left. Shards deal in 64-bit hashes of words, computed for
-millions of bytes at once; a clash of hashes or of bits sends a phrase too many to the count and
-never loses one. The count itself groups texts (inside a shard, by 128 bits of hashes).
+phrases that they consist of were left. Shards deal in hashes, computed for millions of
+bytes at once; a clash of hashes or of bits sends a phrase too many to the count and
+never loses one. The count itself groups texts (inside a shard, by two hashes).
 
 Words are runs of bytes other than spaces and tabs, A to Z in lower case; phrases lie inside pieces
 between the marks ``. , ; : ! ?`` and line breaks. A null text has no words; a null language is
@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from rosterlake.llm.scratch import store
 
 MAX_WORDS, SUPPORT, TOP, COVERED_PERCENT = 3, 10, 2000, 50
+# Bits of a phrase's hash; fewer make reports smaller, and more phrases too many are counted.
+KEY_BITS = 48
 # Bits of the table of phrases to be counted: 32 MB on the driver and in each worker.
 FILTER_BITS = 28
 # Languages whose size is known to all shards, largest first; a shard reports all phrases of others.
@@ -97,12 +99,12 @@ class _Hash:
         return found
 
     def phrases(self, words: np.ndarray, size: int, language: int) -> np.ndarray:
-        """Hashes of the phrases of ``size`` words that begin at each word."""
+        """Hashes, of fewer bits, of the phrases of ``size`` words that begin at each word."""
         count = max(len(words) - size + 1, 0)
         found = np.full(count, (language * self.seed + size) % (1 << 64), dtype=np.uint64)
         for i in range(size):
             found += words[i : i + count] * _U(self.odd[i % len(self.odd)] * (2 * i + 1) % (1 << 64))
-        return _mixed(found, self.factor)
+        return _mixed(found, self.factor) >> _U(64 - KEY_BITS)
 
 
 def language_hash(language: str) -> int:
@@ -339,9 +341,9 @@ def _probes(key):
     """Two places in the table for a hash, as Spark columns or as numpy arrays."""
     if isinstance(key, np.ndarray):
         mask = _U((1 << FILTER_BITS) - 1)
-        return key & mask, (key >> _U(64 - FILTER_BITS)) & mask
+        return key & mask, key >> _U(KEY_BITS - FILTER_BITS)
     mask = F.lit((1 << FILTER_BITS) - 1)
-    return key.bitwiseAND(mask), F.shiftrightunsigned(key, 64 - FILTER_BITS)
+    return key.bitwiseAND(mask), F.shiftright(key, KEY_BITS - FILTER_BITS)
 
 
 def _bits(keys: DataFrame) -> np.ndarray:
@@ -471,6 +473,25 @@ def _cuts(phrases: DataFrame) -> DataFrame:
     )
 
 
+def scored(phrases: DataFrame) -> DataFrame:
+    """``lang``, ``phrase``, ``a``, ``l``, ``r`` and ``score`` at the cut that scores lowest, of
+    ``phrases`` with lang, size, phrase and f, their parts included. Arithmetic is exact up to
+    counts of 16 digits."""
+
+    def part(name: str, count: str) -> DataFrame:
+        return phrases.select("lang", F.col("phrase").alias(name), F.col("f").alias(count))
+
+    cuts = _cuts(phrases).join(part("first", "l"), ["lang", "first"])
+    cuts = cuts.join(part("rest", "r"), ["lang", "rest"])
+    # whole numbers of up to 38 digits; a part is at least as frequent, so a score fits a long
+    exact = {name: f"cast({name} as decimal(16, 0))" for name in "alr"}
+    score = F.expr("1000000 * ({a} * {a}) div ({l} * {r})".format(**exact))
+    best = cuts.withColumn("score", score).groupBy("lang", "phrase").agg(
+        F.min(F.struct("score", "k", "l", "r", "a")).alias("best")
+    )
+    return best.select("lang", "phrase", "best.a", "best.l", "best.r", "best.score")
+
+
 def _covering(phrases: DataFrame) -> DataFrame:
     """``longer``: the count of the most frequent longer phrase that holds each phrase."""
     split = phrases.where("size > 2").withColumn("words", F.split("phrase", " "))
@@ -501,18 +522,7 @@ def collocations(
     found = frequent_phrases(docs, max_words, support, bounds)
     phrases, totals = found.where("size > 0"), found.where("size = 0")
 
-    def part(name: str, count: str) -> DataFrame:
-        return phrases.select("lang", F.col("phrase").alias(name), F.col("f").alias(count))
-
-    cuts = _cuts(phrases).join(part("first", "l"), ["lang", "first"])
-    cuts = cuts.join(part("rest", "r"), ["lang", "rest"])
-    # whole numbers of up to 38 digits; a part is at least as frequent, so a score fits a long
-    exact = {name: f"cast({name} as decimal(16, 0))" for name in "alr"}
-    score = F.expr("1000000 * ({a} * {a}) div ({l} * {r})".format(**exact))
-    best = cuts.withColumn("score", score).groupBy("lang", "phrase").agg(
-        F.min(F.struct("score", "k", "l", "r", "a")).alias("best")
-    )
-    best = best.select("lang", "phrase", "best.a", "best.l", "best.r", "best.score")
+    best = scored(phrases)
     covered = F.lit(100) * F.coalesce("longer", F.lit(0)) >= F.lit(covered_percent) * F.col("a")
     free = best.join(_covering(phrases), ["lang", "phrase"], "left").where(~covered)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
