@@ -20,8 +20,6 @@ OVERTIME_COLUMNS = [
     "consecutive_days_flag", "back_to_back_12h_flag", "night_to_day_flip_flag",
     "female_night_flag",
 ]
-# 2^8 staff numbers x the weeks of a calendar are the rows that one task numbers
-STAFF_BITS = 8
 
 
 def with_year_week(shifts: DataFrame) -> DataFrame:
@@ -77,58 +75,39 @@ def weekly_burnout(shifts: DataFrame) -> DataFrame:
     )
 
 
-def fact_burnout(shifts: DataFrame, staff: DataFrame, days: DataFrame | None = None) -> DataFrame:
-    """Grain staff x ISO week, numbered in that order, with the staff attributes.
-
-    ``days`` may give the shifts' (staff_id, shift_date) in a cheaper way, for numbering.
-    """
+def fact_burnout(shifts: DataFrame, staff: DataFrame) -> DataFrame:
+    """Grain staff x ISO week, numbered in that order, with the staff attributes."""
     # staff columns settle which row stands for a staff member with several
     attributes = dedup_staff_attrs(staff, ["role", "salary_band", "gender", "department"])
     joined = weekly_burnout(shifts).join(attributes, "staff_id", "left")
-    keys = _staff_weeks(shifts if days is None else days).select(*STAFF_WEEK).distinct()
     return with_surrogate_key(
         joined.withColumn("_staff_no", id_number(joined, "staff_id")),
         "burnout_fact_id",
         "BF_",
-        by="_staff_no",
-        then=STAFF_WEEK,
-        keys=keys.select(id_number(keys, "staff_id").alias("_staff_no")),
-        bits=STAFF_BITS,
+        order=["_staff_no", *STAFF_WEEK],
     ).drop("_staff_no")
 
 
-def fact_overtime(shifts: DataFrame, overtime_ids: DataFrame | None = None) -> DataFrame:
-    """The shifts with overtime, numbered in the order of their ids.
-
-    ``overtime_ids`` may give the ids of those shifts in a cheaper way, for numbering.
-    """
+def fact_overtime(shifts: DataFrame) -> DataFrame:
+    """The shifts with overtime, numbered in the order of their ids."""
     rows = shifts.where("overtime_hours > 0").select(*OVERTIME_COLUMNS)
-    ids = rows if overtime_ids is None else overtime_ids
     return with_surrogate_key(
         rows.withColumn("_shift_no", id_number(rows, "timesheet_id")),
         "overtime_fact_id",
         "OT_",
-        by="_shift_no",
-        then=["timesheet_id"],
-        keys=ids.select(id_number(ids, "timesheet_id").alias("_shift_no")),
+        order=["_shift_no", "timesheet_id"],
     ).drop("_shift_no")
 
 
-def fact_leave(leaves: DataFrame, leave_ids: DataFrame | None = None) -> DataFrame:
-    """The leave records with a flag for emergency or long leave, numbered by leave id.
-
-    ``leave_ids`` may give the ids of the leaves in a cheaper way, for numbering.
-    """
+def fact_leave(leaves: DataFrame) -> DataFrame:
+    """The leave records with a flag for emergency or long leave, numbered by leave id."""
     pressing = F.col("emergency_leave_flag") | (
         F.col("leave_days_count") >= rules.LONG_LEAVE_DAYS
     )
     flagged = leaves.withColumn("burnout_leave_flag", flag(pressing))
-    ids = leaves if leave_ids is None else leave_ids
     return with_surrogate_key(
         flagged.withColumn("_leave_no", id_number(leaves, "leave_id")),
         "leave_fact_id",
         "LF_",
-        by="_leave_no",
-        then=["leave_id"],
-        keys=ids.select(id_number(ids, "leave_id").alias("_leave_no")),
+        order=["_leave_no", "leave_id"],
     ).drop("_leave_no")

@@ -1,10 +1,10 @@
 """Columns of a shift that depend on the staff member's other shifts.
 
-A window over all shifts of one staff member would put a hot staff member into one task.
-So shifts are first reduced: to blocks (staff, day, 2^16 consecutive ids), to spans (staff,
-start, end) or to days. Windows over a staff member run on days, of which a calendar has few
-thousand; windows over spans run inside a day of start. The answers go back to the shifts by
-block or by shift id, and neither can hold more than 2^16 shifts.
+A window over all shifts of one staff member would put a hot staff member into one task. So the
+shift before in time comes from one order over all shifts, cut into ranges of equal size
+(``numbering.with_row_before``). For streaks and flips, shifts are first reduced to days or to blocks
+(staff, day, 2^16 consecutive ids); windows over a staff member run on days, of which a calendar
+has few thousand, and the answers go back to the shifts by block.
 
 Shifts without a staff id or date belong to nobody's history; their flags are 0.
 """
@@ -23,10 +23,12 @@ from rosterlake.functions.choices import flag
 from rosterlake.functions.ids import id_number
 from rosterlake.operators.cleaning import distinct_staff_days
 from rosterlake.operators.joins import attach
+from rosterlake.operators.numbering import with_row_before
 
 DAY = ["staff_id", "shift_date"]
 BLOCK_BITS = 16
-_WORKING = ["_no", "_block", "_night_before", "_before", "_day_before", "_followers"]
+_SHIFT = ["timesheet_id", *DAY, "shift_start", "shift_end", "shift_type"]
+_WORKING = ["_no", "_block", "_mark", "_night_before", "_before", "_day_before"]
 
 
 def _with_block(shifts: DataFrame) -> DataFrame:
@@ -102,84 +104,55 @@ def with_consecutive_days(shifts: DataFrame, day_cases: DataFrame | None = None)
 
 # --- the shift before ------------------------------------------------------
 
+_IN_TIME = ["staff_id", "shift_start", "shift_end", "_no", "timesheet_id"]
 
-def _first_of_spans(shifts: DataFrame) -> DataFrame:
-    """The first shift of each span (staff, start, end) with the span before it.
 
-    In the order of start, end and id only this first shift has its predecessor in another
-    span; for all others of the span it is a shift of the same span.
+def _with_shift_before(shifts: DataFrame) -> DataFrame:
+    """Shifts with ``_before``, the shift before in the order of start, end and id.
+
+    It may belong to another staff member; see ``_after``. A total order over all shifts needs no
+    group per person: a person with a third of all shifts is cut into ranges as others are.
     """
-    known = _with_block(shifts).where(_not_null("staff_id", "shift_start"))
-    spans = known.groupBy("staff_id", "shift_start", "shift_end").agg(
-        F.min(_order()).alias("_first_id"),
-        F.min_by("shift_date", _order()).alias("shift_date"),
-        F.min_by("shift_duration_hours", _order()).alias("_hours"),
-        F.max_by("shift_duration_hours", _order()).alias("_last_hours"),
-    )
-    spans = spans.select("*", "_first_id.*").drop("_first_id")
-    spans = spans.withColumn("_start_day", F.col("shift_start").cast("date"))
-    span = F.struct("shift_start", "shift_end", "_last_hours")
-    by_staff = Window.partitionBy("staff_id").orderBy("_start_day")
-    days = spans.groupBy("staff_id", "_start_day").agg(F.max(span).alias("_last"))
-    days = days.withColumn("_day_before", F.lag("_last").over(by_staff)).drop("_last")
-    in_day = Window.partitionBy("staff_id", "_start_day").orderBy("shift_start", "shift_end")
-    carried = spans.withColumn("_span_before", F.lag(span).over(in_day))
-    before = F.coalesce("_span_before", "_day_before")
-    return (
-        carried.join(days, ["staff_id", "_start_day"])
-        .withColumns(
-            {
-                "_before_end": before.getField("shift_end"),
-                "_before_hours": before.getField("_last_hours"),
-            }
-        )
-        .drop("_start_day", "_span_before", "_day_before")
-    )
+    numbered = _with_block(shifts).drop("_block")
+    carried = ["staff_id", "shift_start", "shift_end", "shift_duration_hours"]
+    return with_row_before(numbered, _IN_TIME, carried, "_before")
 
 
-_SPAN_FIRST = ["_no", "timesheet_id", "staff_id", "shift_start", "shift_end"]
+def _after(name: str) -> Column:
+    """A column of the shift before, if that is the same staff member's and has a start."""
+    before = F.col("_before")
+    same = (before["staff_id"] == F.col("staff_id")) & before["shift_start"].isNotNull()
+    return F.when(same, before[name])
 
 
-def _with_first(shifts: DataFrame, firsts: DataFrame, *columns: str) -> DataFrame:
-    """The shifts with columns of the first shift of a span on that shift. Missing ids and ends
-    equal each other, so shifts without an id are found by staff member, start and end."""
-    marked = firsts.select(
-        *[F.col(name).alias(f"_of{name}") for name in _SPAN_FIRST], *columns, F.lit(True).alias("_first")
-    )
-    numbered = _with_block(shifts)
-    same = reduce(and_, [numbered[name].eqNullSafe(marked[f"_of{name}"]) for name in _SPAN_FIRST])
-    return numbered.join(marked, same, "left").drop(*[f"_of{name}" for name in _SPAN_FIRST])
+def _gap_hours() -> Column:
+    return hours_between(_after("shift_end"), F.col("shift_start"))
 
 
 def with_gap_hours(shifts: DataFrame) -> DataFrame:
-    """``gap_hours`` since the end of the staff member's previous shift, null for the first."""
-    joined = _with_first(shifts, _first_of_spans(shifts), "_before_end")
-    previous_end = F.when(F.col("_first"), F.col("_before_end")).when(
-        F.col("staff_id").isNotNull(), F.col("shift_end")
-    )
-    return joined.withColumn("gap_hours", hours_between(previous_end, F.col("shift_start"))).drop(
-        "_no", "_block", "_first", "_before_end"
-    )
+    """``gap_hours`` since the end of the staff member's previous shift, null for the first.
 
+    Writes the shifts in order to the shared folder when it is called."""
+    ordered = _with_shift_before(shifts)
+    return ordered.withColumn("gap_hours", _gap_hours()).drop("_no", "_before")
 
-def back_to_back_shifts(shifts: DataFrame) -> DataFrame:
-    """The shifts, by running number, that follow another long shift within the limit.
 
-    A shift that starts together with its predecessor starts before that one's end, so only
-    the first shift of a span can follow on another.
-    """
-    gap = hours_between(F.col("_before_end"), F.col("shift_start"))
-    return _first_of_spans(shifts).where(
-        (F.col("_hours") >= rules.LONG_SHIFT_HOURS)
-        & (F.col("_before_hours") >= rules.LONG_SHIFT_HOURS)
-        & gap.between(0, rules.BACK_TO_BACK_GAP_HOURS)
+def _follows_long_shift() -> Column:
+    """A long shift within the limit after another."""
+    return (
+        (F.col("shift_duration_hours") >= rules.LONG_SHIFT_HOURS)
+        & (_after("shift_duration_hours") >= rules.LONG_SHIFT_HOURS)
+        & _gap_hours().between(0, rules.BACK_TO_BACK_GAP_HOURS)
     )
 
 
 def with_back_to_back(shifts: DataFrame) -> DataFrame:
-    followers = _with_first(shifts, back_to_back_shifts(shifts))
-    return followers.withColumn("back_to_back_12h_flag", flag(F.col("_first"))).drop(
-        "_no", "_block", "_first"
+    """1 for a long shift that follows another long one of the same staff member within the limit.
+
+    Writes the shifts in order to the shared folder when it is called."""
+    ordered = _with_shift_before(shifts)
+    return ordered.withColumn("back_to_back_12h_flag", flag(_follows_long_shift())).drop(
+        "_no", "_before"
     )
 
 
@@ -239,28 +212,38 @@ def with_night_to_day_flip(shifts: DataFrame) -> DataFrame:
 # --- all at once -----------------------------------------------------------
 
 
+def _followers(shifts: DataFrame) -> DataFrame:
+    """Narrow copies of the shifts that follow a long one, to be marked in their block."""
+    columns = [*_SHIFT, "shift_duration_hours"]
+    return _with_shift_before(shifts.select(*columns)).where(_follows_long_shift()).select(*_SHIFT)
+
+
 def with_history(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
     """All history flags and the day's case counts, moving the full shifts only once.
 
     Everything is brought to the grain of blocks first. The full shifts are then shuffled to
-    (staff, day, block) once, which serves both the window and the join.
+    (staff, day, block) once, which serves both the window and the join. A shift that follows a long
+    one is sent along a second time, in narrow form, and sorted right behind itself: the window then
+    sees that a mark comes next. Narrow columns of the shifts in order go to the shared folder when
+    this is called.
     """
     blocks = _blocks(shifts)
-    followers = (
-        back_to_back_shifts(shifts)
-        .transform(_with_block)
-        .groupBy(*DAY, "_block")
-        .agg(F.collect_list(_order()).alias("_followers"))
-    )
     days = streak_days(_days(blocks)).withColumn("consecutive_days_flag", _over_limit())
     days = days.drop("streak", "streak_length").join(day_cases, DAY, "left")
-    carry = _carry(blocks, days).join(followers, [*DAY, "_block"], "left")
-    joined = _with_night_before(shifts).join(carry, [*DAY, "_block"], "left")
-    flagged = joined.withColumns(
+    marks = _with_block(_followers(shifts)).withColumn("_mark", F.lit(True))
+    marked = _with_block(shifts).withColumn("_mark", F.lit(False))
+    marked = marked.unionByName(marks, allowMissingColumns=True)
+    in_block = Window.partitionBy(*DAY, "_block").orderBy(
+        "_no", "timesheet_id", "shift_start", "shift_end", "_mark"
+    )
+    seen = marked.withColumns(
         {
-            "night_to_day_flip_flag": _flip_flag(),
-            "back_to_back_12h_flag": flag(F.array_contains("_followers", _order())),
+            # a mark has the type of its shift
+            "_night_before": F.lag(flag(F.col("shift_type") == "Night")).over(in_block),
+            "back_to_back_12h_flag": flag(F.lead("_mark").over(in_block)),
         }
-    )
+    ).where(~F.col("_mark"))
+    joined = seen.join(_carry(blocks, days), [*DAY, "_block"], "left")
+    flagged = joined.withColumn("night_to_day_flip_flag", _flip_flag())
     counts = ["consecutive_days_flag", "critical_cases", "emergency_cases"]
     return flagged.fillna(0, counts).drop(*_WORKING)

@@ -1,92 +1,93 @@
-"""Gapless running numbers without sorting the whole table in one task."""
+"""Running numbers, and the row before, in one total order over all rows.
+
+The rows are dealt out by ranges of the order itself, sorted inside their range and written once, each
+with its place there. Ranges hold about as many rows each whatever the values are: numbers, texts
+of any shape, or one value that a third of all rows shares, which the further columns of the order
+divide. What is added up in one task afterwards is one count per range.
+
+Both functions write a table to the shared folder (``spark.checkpoint.dir``) when they are called.
+Bounds of ranges are sampled, results are not: a row's number is its rank, whatever range it is in.
+Rows that agree in all columns of the order are numbered one after the other; give enough columns
+for a total order, or their numbers may swap from run to run. Nulls come first.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlake.functions.ids import format_id
+from rosterlake.sources.tables import write_parquet
+from rosterlake.sources.workspace import shared_folder
 
-# A group of groups covers 2^20 groups.
-GROUP_BITS = 20
-# the smallest long
-BEFORE_ALL = -(2**63)
+# 2^16 consecutive rows are looked at together for the row before.
+BLOCK_BITS = 16
+# the low bits of Spark's increasing ids count the rows of a partition
+_PLACE_BITS = 33
 
 
-def number_rows(
-    df: DataFrame,
-    by: str,
-    then: Sequence[str] = (),
-    keys: DataFrame | None = None,
-    bits: int = 16,
-    name: str = "row_no",
-) -> DataFrame:
-    """Number the rows 1..n in the order of the whole number ``by``, then of ``then``.
+def in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows as stored by ranges of ``order``: with ``_range``, the number of the range, and
+    ``_place``, the row's place in it, from 0."""
+    row = F.monotonically_increasing_id()
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = dealt.withColumns(
+        {
+            "_range": F.shiftright(row, _PLACE_BITS).cast("int"),
+            "_place": row.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)),
+        }
+    )
+    path = f"{shared_folder(df.sparkSession)}/ordered"
+    write_parquet(placed, path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
 
-    Rows are cut into blocks of 2^bits consecutive values of ``by``, and blocks into groups
-    of 2^20. Each row gets its place in the block plus the rows of all earlier blocks. A task
-    sorts the rows of one block only; the one task that adds up groups sees a single row per
-    2^(bits+20) values of ``by`` (16 rows for 10^12 ids and 16 bits). Nothing is sampled, so
-    a repeated task finds the same numbers. Choose ``bits`` so that a block's rows fit a task:
-    16 for unique ids.
 
-    ``keys``, if given, holds the same ``by`` values as ``df`` in a cheaper way, for counting. A
-    block of rows that ``keys`` does not know stops the job; no row is left out.
-    """
+def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
+    """Number the rows 1..n in the order of the columns ``order``.
 
-    def blocks(frame: DataFrame) -> DataFrame:
-        value = F.coalesce(F.col(by), F.lit(BEFORE_ALL))  # rows without a number come first
-        return frame.withColumns(
-            {
-                "_block": F.shiftright(value, bits),
-                "_group": F.shiftright(value, bits + GROUP_BITS),
-            }
-        )
-
-    per_block = blocks(df if keys is None else keys).groupBy("_group", "_block").agg(
-        F.count("*").alias("_rows")
-    )
-    earlier = (Window.unboundedPreceding, -1)
-    groups_before = (
-        per_block.groupBy("_group")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select(
-            "_group",
-            F.sum("_rows").over(Window.orderBy("_group").rowsBetween(*earlier)).alias("_groups"),
-        )
-    )
-    in_group = Window.partitionBy("_group").orderBy("_block").rowsBetween(*earlier)
-    rows_before = (
-        per_block.withColumn("_blocks", F.sum("_rows").over(in_group))
-        .join(groups_before, "_group")
-        .select(
-            "_group",
-            "_block",
-            (F.coalesce("_blocks", F.lit(0)) + F.coalesce("_groups", F.lit(0))).alias("_before"),
-        )
+    A row's number is its place in its range and the rows of all earlier ranges. The table of
+    ranges, one row for each partition of the shuffle, is sent to all tasks.
+    """
+    placed = in_ranges(df, order)
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(
+        "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
-    unknown = F.raise_error(F.lit("rows to be numbered are missing in keys")).cast("long")
-    in_block = Window.partitionBy("_group", "_block").orderBy(by, *then)
-    return (
-        blocks(df)
-        .withColumn("_place", F.row_number().over(in_block))
-        .join(rows_before, ["_group", "_block"], "left")
-        .withColumn(name, F.col("_place") + F.coalesce("_before", unknown))
-        .drop("_group", "_block", "_place", "_before")
+    numbered = placed.join(F.broadcast(before), "_range")
+    return numbered.withColumn(name, F.col("_before") + F.col("_place") + 1).drop(
+        "_range", "_place", "_before"
     )
 
 
-def with_surrogate_key(
-    df: DataFrame,
-    key: str,
-    prefix: str,
-    by: str,
-    then: Sequence[str] = (),
-    keys: DataFrame | None = None,
-    bits: int = 16,
-) -> DataFrame:
+def with_surrogate_key(df: DataFrame, key: str, prefix: str, order: Sequence[str]) -> DataFrame:
     """Put a formatted running number in front as column ``key``."""
-    numbered = number_rows(df, by, then, keys, bits, name="_no")
+    numbered = number_rows(df, order, name="_no")
     return numbered.select(format_id(prefix, F.col("_no")).alias(key), *df.columns)
+
+
+def with_row_before(
+    df: DataFrame, order: Sequence[str], carried: Sequence[str | Column], name: str
+) -> DataFrame:
+    """Add ``name``: a struct of the columns ``carried`` of the row before in ``order``, null for
+    the very first row.
+
+    Numbered rows are looked at in blocks of 2^16. The last row of each block is lent to the next
+    one, so that no block needs another; lent rows are left out of the result.
+    """
+    size = 1 << BLOCK_BITS
+    block = F.shiftright("_position", BLOCK_BITS)
+    own = F.struct(block.alias("_block"), F.lit(False).alias("_lent"))
+    lent = F.struct((block + 1).alias("_block"), F.lit(True).alias("_lent"))
+    is_last = F.col("_position") % size == size - 1
+    blocks = F.explode(F.when(is_last, F.array(own, lent)).otherwise(F.array(own)))
+    in_block = Window.partitionBy("_at._block").orderBy("_position")
+    return (
+        number_rows(df, order, "_position")
+        .withColumn("_at", blocks)
+        .withColumn(name, F.lag(F.struct(*carried)).over(in_block))
+        .where(~F.col("_at._lent"))
+        .drop("_position", "_at")
+    )

@@ -283,9 +283,7 @@ def employment_type_split(b: Base) -> DataFrame:
 
 @query
 def surrogate_key(b: Base) -> DataFrame:
-    return numbering.with_surrogate_key(
-        b.plain.select(*SHIFT), "timesheet_key", "TS_", by=ID, keys=b.plain.select(ID)
-    )
+    return numbering.with_surrogate_key(b.plain.select(*SHIFT), "timesheet_key", "TS_", [ID])
 
 
 @query
@@ -593,7 +591,7 @@ def iso_year_week(b: Base) -> DataFrame:
 @query
 def fact_burnout(b: Base) -> DataFrame:
     b = b.stored()
-    return facts.fact_burnout(b.timesheet, b.staff, b.plain)
+    return facts.fact_burnout(b.timesheet, b.staff)
 
 
 @query
@@ -605,12 +603,12 @@ def worst_risk(b: Base) -> DataFrame:
 @query
 def fact_overtime(b: Base) -> DataFrame:
     b = b.stored()
-    return facts.fact_overtime(b.timesheet, shf.with_overtime(b.plain).where("overtime_hours > 0"))
+    return facts.fact_overtime(b.timesheet)
 
 
 @query
 def fact_leave(b: Base) -> DataFrame:
-    return facts.fact_leave(b.leaves, b.requests)
+    return facts.fact_leave(b.leaves)
 
 
 # --- quality -----------------------------------------------------------------

@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlake.operators import assignments, cleaning, facts, history, joins, leave
+from rosterlake.operators import assignments, cleaning, history, joins, leave, numbering
 from rosterlake.operators.staff import active_staff
 from rosterlake.plans import queries
 
@@ -35,10 +35,10 @@ def test_no_python_and_no_pairing(spark, folder, name):
 
 @pytest.mark.parametrize("name", PLANNED)
 def test_one_task_only_adds_up_group_counts(spark, folder, name):
-    """A single-partition exchange takes groups of ids or sums that are already added up."""
+    """A single-partition exchange takes counts of ranges or sums that are already added up."""
     plan = plan_of(QUERIES[name](spark, folder))
     below = re.findall(r"Exchange SinglePartition.*\n(.*)", plan)
-    assert all("_group" in line or "keys=[], functions=[partial_" in line for line in below)
+    assert all("keys=[_range" in line or "keys=[], functions=[partial_" in line for line in below)
 
 
 def test_dedup_reduces_before_the_shuffle(spark, folder):
@@ -152,6 +152,7 @@ def test_attach_spreads_a_hot_key(spark, hot, splitting):
 
 def test_history_spreads_a_hot_staff_member(spark, hot, wide, monkeypatch):
     monkeypatch.setattr(history, "BLOCK_BITS", 8)
+    monkeypatch.setattr(numbering, "BLOCK_BITS", 8)
     cases = hot.select("staff_id", "shift_date").distinct().withColumns(
         {"critical_cases": F.lit(1).cast("long"), "emergency_cases": F.lit(0).cast("long")}
     )
@@ -162,26 +163,45 @@ def test_history_spreads_a_hot_staff_member(spark, hot, wide, monkeypatch):
     assert largest_share(history.with_night_to_day_flip(hot)) < 0.15
 
 
-def test_windows_over_a_person_see_days_and_spans_only(spark, hot, wide):
+def test_windows_over_a_person_see_days_only(spark, hot, wide):
     streaks = history.streak_days(cleaning.distinct_staff_days(hot))
     assert streaks.where("staff_id = 0").count() <= 401
-    spans = history._first_of_spans(hot)
-    assert spans.where("staff_id = 0").count() <= 401 * 2 * 6
 
 
-def test_spans_of_a_hot_person_are_spread(spark, hot, wide):
-    """Starts at any second of 400 days make about as many spans as shifts."""
-    second = F.pmod(F.xxhash64("timesheet_id"), F.lit(400 * 86400))
-    shifts = hot.withColumn("shift_start", F.timestamp_add("SECOND", second, F.col("shift_start")))
-    firsts = history._first_of_spans(shifts)
-    assert firsts.where("staff_id = 0").count() > 401 * 2 * 6
-    assert largest_share(firsts) < 0.15
+def largest_range(placed):
+    sizes = [r["count"] for r in placed.groupBy("_range").count().collect()]
+    return max(sizes) / sum(sizes)
+
 
+def test_shifts_of_a_hot_person_are_cut_into_ranges(spark, hot, wide, monkeypatch):
+    monkeypatch.setattr(numbering, "BLOCK_BITS", 8)
+    placed = numbering.in_ranges(hot, ["staff_id", "shift_start", "shift_end", "timesheet_id"])
+    assert largest_range(placed) < 0.15
+    assert largest_share(history.with_gap_hours(hot)) < 0.15
 
-def test_numbering_spreads_rows(spark, hot, wide):
-    keyed = facts.with_surrogate_key(hot, "k", "TS_", by="timesheet_id", bits=8)
-    assert keyed.count() == ROWS
-    assert largest_share(keyed) < 0.15
+
+@pytest.mark.parametrize("shape", ["number", "text", "one value"])
+def test_numbering_spreads_rows(spark, wide, shape):
+    """Numbers, texts without closing digits, and a third of all rows with one value."""
+    number = F.col("id")
+    letters = F.translate(F.lpad(number.cast("string"), 6, "0"), "0123456789", "qwertyuiop")
+    value = {
+        "number": number,
+        "text": letters,
+        "one value": F.when(number % 3 == 0, F.lit(0)).otherwise(number),
+    }[shape]
+    rows = spark.range(0, 20_000, 1, PARTS).select(value.alias("a"), number.alias("b"))
+    assert largest_range(numbering.in_ranges(rows, ["a", "b"])) < 0.15
+    first, again = (numbering.number_rows(rows, ["a", "b"]) for _ in range(2))
+    assert first.agg(F.count_distinct("row_no"), F.min("row_no"), F.max("row_no")).first() == (20_000, 1, 20_000)
+    assert first.exceptAll(again).isEmpty()
+
+
+def test_back_to_back_takes_few_shuffles(spark, folder, wide):
+    """After the shifts are written in order: counts per range, their sum, and one window."""
+    plan = plan_of(QUERIES["back_to_back_12h"](spark, folder))
+    assert plan.count("Exchange ") <= 5 and "collect_list" not in plan
+    assert "collect_list" not in plan_of(QUERIES["timesheet_enriched"](spark, folder))
 
 
 def test_leaves_of_a_hot_staff_member(spark, hot, splitting):

@@ -144,6 +144,7 @@ def history_by_loop(rows):
 @pytest.mark.parametrize("as_text", [False, True])
 def test_history_as_the_loop(spark, monkeypatch, bits, as_text):
     monkeypatch.setattr(history, "BLOCK_BITS", bits)
+    monkeypatch.setattr(numbering, "BLOCK_BITS", bits)
     rows = random_shifts(7 + bits)
     df = spark.createDataFrame(rows, SCHEMA)
     if as_text:
@@ -215,24 +216,33 @@ def test_attach_keeps_facts_without_a_key(spark):
 
 
 @pytest.mark.parametrize("parts", [1, 7])
-@pytest.mark.parametrize("bits", [2, 16])
-def test_numbers_are_gapless_and_do_not_depend_on_partitions(spark, monkeypatch, parts, bits):
-    monkeypatch.setattr(numbering, "GROUP_BITS", 3)
+def test_numbers_are_gapless_and_do_not_depend_on_partitions(spark, parts):
     rng = random.Random(3)
     rows = [(rng.choice([None, rng.randrange(600)]), rng.choice("abc"), n) for n in range(900)]
     df = spark.createDataFrame(rows, "a long, b string, c long").repartition(parts)
-    found = numbering.number_rows(df, "a", ["b", "c"], bits=bits).collect()
+    found = numbering.number_rows(df, ["a", "b", "c"]).collect()
     in_order = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1], r[2]))
     expected = {row: n for n, row in enumerate(in_order, 1)}
     assert {(r.a, r.b, r.c): r.row_no for r in found} == expected
 
 
-def test_numbering_stops_at_rows_that_the_keys_do_not_know(spark):
-    df = spark.createDataFrame([(n * 1000,) for n in range(5)], "a long")
-    some = df.where("a < 2000")
-    with pytest.raises(Exception, match="missing in keys"):
-        numbering.number_rows(df, "a", keys=some, bits=2).collect()
-    assert numbering.number_rows(df, "a", keys=df, bits=2).count() == 5
+def test_repeated_rows_and_empty_tables_are_numbered(spark):
+    df = spark.createDataFrame([("x",)] * 7 + [(None,)] * 2, "a string")
+    found = numbering.number_rows(df, ["a"]).collect()
+    assert sorted(r.row_no for r in found) == list(range(1, 10))
+    assert sorted(r.row_no for r in found if r.a is None) == [1, 2]
+    assert numbering.number_rows(df.where("a = 'none'"), ["a"]).count() == 0
+
+
+@pytest.mark.parametrize("bits", [0, 2, 16])
+def test_row_before(spark, monkeypatch, bits):
+    monkeypatch.setattr(numbering, "BLOCK_BITS", bits)
+    rows = [(n * 7919 % 100, f"v{n}") for n in range(100)]
+    df = spark.createDataFrame(rows, "a long, b string").repartition(5)
+    found = {r.a: r.p for r in numbering.with_row_before(df, ["a"], ["a", "b"], "p").collect()}
+    by_a = dict(rows)
+    assert found.pop(0) is None and len(found) == 99
+    assert {a: tuple(p) for a, p in found.items()} == {a: (a - 1, by_a[a - 1]) for a in found}
 
 
 def test_draw_does_not_depend_on_partitions(spark):
