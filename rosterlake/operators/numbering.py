@@ -31,17 +31,20 @@ _PLACE_BITS = 33
 def in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """The rows as stored by ranges of ``order``: with ``_range``, the number of the range, and
     ``_place``, the row's place in it, from 0."""
+    folder = shared_folder(df.sparkSession)
+    # the sampling of the bounds reads the rows as well: stored, they are computed only once
+    write_parquet(df, f"{folder}/rows")
+    rows = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
     row = F.monotonically_increasing_id()
-    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = dealt.withColumns(
         {
             "_range": F.shiftright(row, _PLACE_BITS).cast("int"),
             "_place": row.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)),
         }
     )
-    path = f"{shared_folder(df.sparkSession)}/ordered"
-    write_parquet(placed, path)
-    return df.sparkSession.read.schema(placed.schema).parquet(path)
+    write_parquet(placed, f"{folder}/ordered")
+    return df.sparkSession.read.schema(placed.schema).parquet(f"{folder}/ordered")
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
