@@ -18,6 +18,17 @@ def _state(edges: DataFrame) -> tuple:
     return row.n, row.x, row.s
 
 
+def _with_least(edges: DataFrame, of: str, at: str) -> DataFrame:
+    """Each edge with ``least``, the smallest lower neighbour of the node ``of`` where it is the
+    edge's node ``at``; null if it has none.
+
+    The grouped side is dealt out anew: adaptive execution splits the edges of a node with very many
+    only where both sides were shuffled for the join.
+    """
+    lowest = edges.groupBy(of).agg(F.min("lo").alias("least"))
+    return edges.join(lowest.withColumnRenamed(of, at).hint("rebalance"), at, "left")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (the smallest node reachable) of every node with an edge.
 
@@ -33,15 +44,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = _state(current)
     while before[0]:
         # large-star: a higher neighbour moves to the smallest neighbour of the lower one
-        lowest = current.groupBy("hi").agg(F.min("lo").alias("least"))
-        of_lower = lowest.withColumnRenamed("hi", "lo")
-        large = current.join(of_lower, "lo", "left").select(
-            "hi", F.coalesce("least", "lo").alias("lo")
-        )
-        large = large.distinct()
+        large = _with_least(current, "hi", "lo").select("hi", F.coalesce("least", "lo").alias("lo"))
         # small-star: all lower neighbours and the node itself move to the smallest of them
-        lowest = large.groupBy("hi").agg(F.min("lo").alias("least"))
-        moved = large.join(lowest, "hi")
+        moved = _with_least(large.distinct(), "hi", "hi")
         small = moved.select(F.explode(F.array(
             F.struct(F.col("hi").alias("hi"), F.col("least").alias("lo")),
             F.struct(F.col("lo").alias("hi"), F.col("least").alias("lo")),

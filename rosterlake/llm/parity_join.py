@@ -304,7 +304,7 @@ def _blocks(members: DataFrame, num: int, den: int, largest: int) -> DataFrame:
     to_larger = F.transform(numbers(larger), lambda x: task(block, x, True, 0))
     from_larger = F.transform(numbers(smaller), lambda x: task(x, block, True, 1))
     return (
-        placed.join(sizes, ["bag", "band"])
+        placed.join(sizes.hint("rebalance"), ["bag", "band"])
         .withColumn("block", number)
         .select(
             "cls",
@@ -514,7 +514,9 @@ def link_texts(
     by_class = classes.select("cls", "least").join(joined, "cls", "left")
     by_class = by_class.withColumn("group", F.coalesce("group", "cls"))
     smallest = by_class.groupBy("group").agg(F.min("least").alias("component_id"))
-    answers = by_class.select("cls", "group").join(smallest, "group").select("cls", "component_id")
+    answers = by_class.select("cls", "group").join(smallest.hint("rebalance"), "group").select(
+        "cls", "component_id"
+    )
     return documents.join(answers, "cls", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),

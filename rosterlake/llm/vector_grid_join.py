@@ -390,7 +390,7 @@ def link_vectors(
         .withColumn("group", F.coalesce("group", "cls"))
     )
     smallest = by_class.groupBy("group").agg(F.min("least_id").alias("component"))
-    answers = by_class.join(smallest, "group").select(
+    answers = by_class.join(smallest.hint("rebalance"), "group").select(
         "cls", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), "component"
     )
     linked = F.col("cls").isNotNull()

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterlake.llm import parity_join, shingles
-from rosterlake.llm.components import connected_components
+from rosterlake.llm.components import _with_least, connected_components
 
 WORD = re.compile(r"[^ \t-\r]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -176,3 +176,33 @@ def test_components(spark):
     assert {r.node: r.component for r in found} == {x: root(x) for x in list(parent)}
     assert len(found) == len(parent)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_edges_of_one_node_are_split(spark):
+    """A third of all edges at one node, as the lower and as the upper end."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        n = F.col("id")
+        for lo, hi, of, at in (
+            (F.when(n % 3 == 0, 0).otherwise(n), n + 100_000, "hi", "lo"),
+            (n, F.when(n % 3 == 0, 500_000).otherwise(n + 100_000), "hi", "hi"),
+        ):
+            edges = spark.range(0, 60_000, 1, 16).select(lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
+            joined = _with_least(edges.repartition(16), of, at)
+            parts = joined.select(F.spark_partition_id().alias("p"), F.hash(*joined.columns).alias("h"))
+            sizes = [r.n for r in parts.groupBy("p").agg(F.count("*").alias("n"), F.max("h")).collect()]
+            assert sum(sizes) == 60_000 and max(sizes) / sum(sizes) < 0.15
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
