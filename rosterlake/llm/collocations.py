@@ -40,6 +40,8 @@ FILTER_BITS = 28
 # Languages whose size is known to all shards, largest first; a shard reports all phrases of others.
 SIZED_LANGUAGES = 1000
 _ROWS = 1 << 16
+# Texts that are dealt out to their languages at a time.
+_TEXTS = 2000
 
 _BLANK, _MARK = 1, 2
 _CLASS = np.zeros(256, dtype=np.uint8)
@@ -53,9 +55,9 @@ class Bounds:
     """What a worker holds at a time; results don't depend on it."""
 
     # bytes tokenized at a time, words of a shard to be mined, and of one to be counted: some 300 MB
-    slice_bytes: int = 1 << 22
+    slice_bytes: int = 1 << 21
     shard_words: int = 1 << 22
-    counted_words: int = 1 << 21
+    counted_words: int = 1 << 20
     # languages with as many bytes are mined at support 1 in every shard
     large_bytes: int = 1 << 26
 
@@ -291,6 +293,7 @@ def _counted(
     for name, found in shard.items():
         language = language_hash(name)
         data = b"".join(part.tobytes() for part in found.data)
+        found.data = []
         words, others, piece, fresh, starts, ends = found.joined()
         yield name, 0, [""], np.array([np.count_nonzero(fresh)])
         for size in sizes:
@@ -318,10 +321,13 @@ def _shards(batches: Iterable[pa.RecordBatch], known: _Known, n_hashes: int) ->
     most = bounds.shard_words if n_hashes == 1 else bounds.counted_words
     shard: Shard = {}
     n_words = 0
-    for batch in batches:
+    parts = (
+        batch.slice(at, _TEXTS) for batch in batches for at in range(0, batch.num_rows, _TEXTS)
+    )
+    for part in parts:
         # a mark after each text parts it from the next one
-        texts = pc.binary_join_element_wise(batch.column(0).fill_null(""), "\n", "")
-        languages = batch.column(1)
+        texts = pc.binary_join_element_wise(part.column(0).fill_null(""), "\n", "")
+        languages = part.column(1)
         for name in languages.unique().to_pylist():
             of_language = texts.filter(pc.equal(languages, name))
             for found in _slices(of_language, known.max_words - 1, bounds.slice_bytes):
