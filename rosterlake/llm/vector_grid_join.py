@@ -1,16 +1,24 @@
 """Links between vectors by an epsilon grid order join.
 
 Vectors are scaled to length one, so that a cosine from ``least`` on is a distance of at most
-epsilon. A grid of cells of that width is laid over the leading principal dimensions. Sorted
-lexicographically by cell, the vectors are one sequence, cut into blocks by many tasks. The
-sequence is joined with itself by recursion over intervals: first over a tree of intervals of
-blocks, as joins of small tables of bounding boxes, then within each pair of blocks that is
-left, down to short intervals. Two intervals whose boxes are more than epsilon apart are
-skipped; a projection never lengthens a distance, so no link is lost.
-
+epsilon. The head of a vector is its place in the leading principal dimensions, and one more
+number: the length of all that is left over. Heads are never further apart than vectors are. A
+grid is laid over the first dimensions of the heads. Sorted lexicographically by cell, the vectors
+are one sequence, cut into blocks at borders of cells by many tasks. The sequence is joined with
+itself by recursion over intervals: first over a tree of intervals of blocks, as joins of small
+tables of bounding boxes, then within each pair of blocks that is left, down to short intervals.
+Two intervals whose boxes are more than epsilon apart are skipped, so no link is lost.
+
+Pairs of blocks send heads only and find the vectors that have another one near by head. Those
+vectors alone are fetched, once for each pair of blocks that wants them, and compared in full.
 Equal vectors are one class with a count. A pair of blocks sends, for each of its classes, the
 number of vectors it links with and at most one link to join it to others; pairs of vectors
 are never sent.
+
+How much the boxes skip depends on the data. Vectors spread evenly over very many dimensions have
+blocks that all come within epsilon of each other; then all pairs of blocks compare their heads,
+and what grows with the square of the rows is that comparison and, divided by the size of a
+block, the heads sent.
 """
 
 from __future__ import annotations
@@ -21,17 +29,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlake.llm.components import connected_components
 from rosterlake.llm.scratch import store
 
-# Dimensions of the grid, and the components of a vector that they are made from at most.
+# Dimensions of the grid and of the tree of boxes, and cells that one epsilon is divided into.
 GRID_DIMENSIONS = 8
+CELLS_OF_EPSILON = 4
+LEAST_CELL = 1e-6
+# A head has as many dimensions as are needed for the mean squared distance of two heads to
+# be this many times the square of epsilon, within a limit.
+HEAD_SPREAD = 5.0
+MOST_DIMENSIONS = 64
+# Components of a vector that principal dimensions are made from at most.
 PRINCIPAL_FROM = 512
-# Vectors of a block, and of the intervals that are compared without further division.
-BLOCK_VECTORS = 1024
+# Vectors of a block, and numbers in them at most; vectors of the intervals that are compared
+# without further division, by head and in full.
+BLOCK_VECTORS = 8192
+BLOCK_NUMBERS = 1 << 22
+HEAD_INTERVAL = 512
 INTERVAL = 128
 # Blocks that one task cuts from its part of the sequence, so that few are short.
 BLOCKS_OF_TASK = 4
@@ -39,22 +57,20 @@ BLOCKS_OF_TASK = 4
 FAN_OUT = 16
 # Moments that one task adds up.
 MERGED_AT_ONCE = 64
+# Heads are sent in single precision; this is more than their distances are off by.
+ROUNDING = 1e-5
 
 _MOMENT = pa.schema([("part", pa.int64()), ("moments", pa.binary())])
-_BLOCK_DDL = (
-    "part int, place int, box binary, low array<double>, high array<double>, classes binary, "
-    "sizes binary, vectors binary"
-)
+_HEAD = pa.schema([("cls", pa.int64()), ("cell", pa.binary()), ("head", pa.binary())])
+_BLOCK_DDL = "part int, place int, low array<double>, high array<double>, classes binary, heads binary"
 _BLOCK = pa.schema(
     [
         ("part", pa.int32()),
         ("place", pa.int32()),
-        ("box", pa.binary()),
         ("low", pa.list_(pa.float64())),
         ("high", pa.list_(pa.float64())),
         ("classes", pa.binary()),
-        ("sizes", pa.binary()),
-        ("vectors", pa.binary()),
+        ("heads", pa.binary()),
     ]
 )
 
@@ -92,8 +108,12 @@ def _add_moments(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     yield pa.RecordBatch.from_pydict({"part": [key[0].as_py()], "moments": [total.tobytes()]}, _MOMENT)
 
 
-def principal_directions(vectors: DataFrame, width: int, wanted: int = GRID_DIMENSIONS) -> np.ndarray:
-    """The leading principal directions of a one-column table of arrays, over all rows.
+def principal_directions(
+    vectors: DataFrame, width: int, wanted: int | None = None, least_spread: float = 0.0
+) -> np.ndarray:
+    """The leading principal directions of a one-column table of arrays, over all rows: ``wanted``
+    of them or, without that, as many as make the mean squared distance in them ``least_spread``
+    (MOST_DIMENSIONS at most).
 
     One matrix of PRINCIPAL_FROM + 1 squared numbers at most reaches the driver.
     """
@@ -109,63 +129,82 @@ def principal_directions(vectors: DataFrame, width: int, wanted: int = GRID_DIME
     total = total.reshape(used + 1, used + 1)
     mean = total[:-1, -1] / total[-1, -1]
     spread = total[:-1, :-1] / total[-1, -1] - np.outer(mean, mean)
-    _, directions = np.linalg.eigh(spread)
+    sizes, directions = np.linalg.eigh(spread)
+    if wanted is None:
+        distance = 2 * np.cumsum(sizes[::-1])  # of two vectors drawn at random, squared
+        wanted = min(MOST_DIMENSIONS, int(np.searchsorted(distance, least_spread)) + 1)
     return directions[:, ::-1][:, :wanted].copy()
 
 
-def _cells(width: int, directions: np.ndarray, epsilon: float):
-    """(cls, n, vector) -> with the cell of the vector, as bytes that sort like its coordinates."""
-    lowest = math.floor(-1.001 / epsilon)
+def _spots(units: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """Heads: places in the principal dimensions, and the length of all that is left over."""
+    spots = units[:, : len(directions)] @ directions
+    rest = np.einsum("ij,ij->i", units, units) - np.einsum("ij,ij->i", spots, spots)
+    return np.concatenate([spots, np.sqrt(np.maximum(rest, 0.0))[:, None]], axis=1)
+
+
+def _heads(width: int, directions: np.ndarray, epsilon: float):
+    """(cls, vector) -> cls, the cell of the vector as bytes that sort like its coordinates, head."""
+    step = max(epsilon / CELLS_OF_EPSILON, LEAST_CELL)
+    lowest = math.floor(-1.001 / step)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = _units(batch.column(2), width)
-            spots = units[:, : len(directions)] @ directions
-            cells = (np.floor(spots / epsilon) - lowest).astype(">u4")
+            spots = _spots(_units(batch.column(1), width), directions)
+            cells = (np.floor(spots[:, :GRID_DIMENSIONS] / step) - lowest).astype(">u4")
             yield pa.RecordBatch.from_pydict(
                 {
                     "cls": batch.column(0),
-                    "n": batch.column(1),
                     "cell": [row.tobytes() for row in cells],
-                    "vector": [row.tobytes() for row in units],
+                    "head": [row.tobytes() for row in spots.astype(np.float32)],
                 },
-                pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("cell", pa.binary()), ("vector", pa.binary())]),
+                _HEAD,
             )
 
     return run
 
 
-def _blocks(directions: np.ndarray):
-    """Sorted (cls, n, cell, vector) of a partition -> blocks of consecutive vectors."""
+def _border(cells: list[bytes]) -> int:
+    """Where to cut rows in grid order: before the row, in the last quarter, at which the earliest
+    dimension enters another cell; after all rows if all are in one cell."""
+    first = max(1, 3 * len(cells) // 4)
+    corners = np.frombuffer(b"".join(cells[first - 1 :]), ">u4").reshape(len(cells) - first + 1, -1)
+    changed = corners[1:] != corners[:-1]
+    if not changed.any():
+        return len(cells)
+    return first + int(np.where(changed.any(axis=1), changed.argmax(axis=1), changed.shape[1]).argmin())
+
+
+def _blocks(size: int):
+    """Sorted (cls, cell, head) of a partition -> blocks of up to ``size`` consecutive rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place = TaskContext.get().partitionId(), 0
         waiting: list[pa.RecordBatch] = []
 
         def cut(rows: pa.Table) -> pa.RecordBatch:
-            units = np.frombuffer(b"".join(rows["vector"].to_pylist())).reshape(rows.num_rows, -1)
-            spots = units[:, : len(directions)] @ directions
+            heads = b"".join(rows["head"].to_pylist())
+            spots = np.frombuffer(heads, np.float32).reshape(rows.num_rows, -1).astype(float)
             return pa.RecordBatch.from_pydict(
                 {
                     "part": [part],
                     "place": [place],
-                    "box": [spots.tobytes()],
                     "low": [spots.min(axis=0).tolist()],
                     "high": [spots.max(axis=0).tolist()],
                     "classes": [rows["cls"].to_numpy().tobytes()],
-                    "sizes": [rows["n"].to_numpy().tobytes()],
-                    "vectors": [units.tobytes()],
+                    "heads": [heads],
                 },
                 _BLOCK,
             )
 
         for batch in batches:
             waiting.append(batch)
-            while sum(b.num_rows for b in waiting) >= BLOCK_VECTORS:
+            while sum(b.num_rows for b in waiting) >= size:
                 rows = pa.Table.from_batches(waiting)
-                yield cut(rows.slice(0, BLOCK_VECTORS))
+                end = _border(rows["cell"].slice(0, size).to_pylist())
+                yield cut(rows.slice(0, end))
                 place += 1
-                waiting = rows.slice(BLOCK_VECTORS).to_batches()
+                waiting = rows.slice(end).to_batches()
         if sum(b.num_rows for b in waiting):
             yield cut(pa.Table.from_batches(waiting))
 
@@ -173,38 +212,38 @@ def _blocks(directions: np.ndarray):
 
 
 class _Block:
-    def __init__(self, row: dict, dimensions: int):
-        self.classes = np.frombuffer(row["classes"], np.int64)
-        self.sizes = np.frombuffer(row["sizes"], np.int64)
-        self.units = np.frombuffer(row["vectors"]).reshape(len(self.classes), -1)
-        self.spots = np.frombuffer(row["box"]).reshape(len(self.classes), dimensions)
+    """Rows of a block in grid order; ``sizes`` and ``units`` only where vectors were fetched."""
 
+    def __init__(self, classes: np.ndarray, heads: np.ndarray, sizes=None, units=None):
+        self.classes, self.heads, self.sizes, self.units = classes, heads, sizes, units
 
-class _Linker:
-    """Counts links and joins classes while two blocks are compared."""
 
-    def __init__(self, left: _Block, right: _Block, least: float, epsilon: float):
-        self.left, self.right, self.least = left, right, least
-        self.limit = (epsilon * (1 + 1e-9)) ** 2
-        self.same = left is right
-        shift = 0 if self.same else len(left.classes)
-        self.shift = shift
-        self.labels = np.arange(shift + len(right.classes))
-        self.counts = np.zeros(len(self.labels), np.int64)
-        self.links: list[tuple[int, int]] = []
+class _IntervalJoin:
+    """Recursion over the intervals of two blocks, or of one block with itself."""
+
+    interval = INTERVAL
+
+    def __init__(self, left: _Block, right: _Block, epsilon: float):
+        self.left, self.right, self.same = left, right, left is right
+        self.limit = (epsilon + ROUNDING) ** 2
 
     def far(self, a: slice, b: slice) -> bool:
-        x, y = self.left.spots[a], self.right.spots[b]
+        x, y = self.left.heads[a], self.right.heads[b]
         gap = np.maximum(x.min(axis=0) - y.max(axis=0), y.min(axis=0) - x.max(axis=0))
         gap = np.maximum(gap, 0.0)
         return float(gap @ gap) > self.limit
 
+    def run(self) -> None:
+        self.join(slice(0, len(self.left.classes)), slice(0, len(self.right.classes)))
+
     def join(self, a: slice, b: slice) -> None:
-        """All links between two intervals; an interval with itself counts each pair once."""
-        if self.same and b.stop <= a.start or self.far(a, b):
+        """All pairs of two intervals; an interval with itself has each pair once."""
+        if a.start == a.stop or b.start == b.stop or self.same and b.stop <= a.start:
+            return
+        if self.settled(a, b) or self.far(a, b):
             return
         n, m = a.stop - a.start, b.stop - b.start
-        if max(n, m) <= INTERVAL:
+        if max(n, m) <= self.interval:
             self.compare(a, b)
         elif n >= m:
             middle = (a.start + a.stop) // 2
@@ -215,14 +254,57 @@ class _Linker:
             self.join(a, slice(b.start, middle))
             self.join(a, slice(middle, b.stop))
 
+    def settled(self, a: slice, b: slice) -> bool:
+        return False
+
+    def only_once(self, a: slice, b: slice, found: np.ndarray) -> np.ndarray:
+        if self.same:  # only pairs of a lower and a higher place
+            found &= np.arange(a.start, a.stop)[:, None] < np.arange(b.start, b.stop)
+        return found
+
+
+class _Finder(_IntervalJoin):
+    """Marks the rows of two blocks that are near one of the other block, by head."""
+
+    interval = HEAD_INTERVAL
+
+    def __init__(self, left: _Block, right: _Block, epsilon: float):
+        super().__init__(left, right, epsilon)
+        self.squares = [np.einsum("ij,ij->i", block.heads, block.heads) for block in (left, right)]
+        near = np.zeros(len(left.classes), bool)
+        self.near = [near, near if self.same else np.zeros(len(right.classes), bool)]
+
+    def settled(self, a: slice, b: slice) -> bool:
+        return bool(self.near[0][a].all() and self.near[1][b].all())
+
+    def compare(self, a: slice, b: slice) -> None:
+        apart = self.left.heads[a] @ self.right.heads[b].T
+        apart *= -2
+        apart += self.squares[0][a][:, None]
+        apart += self.squares[1][b]
+        found = self.only_once(a, b, apart <= self.limit + ROUNDING)
+        self.near[0][a] |= found.any(axis=1)
+        self.near[1][b] |= found.any(axis=0)
+
+
+class _Linker(_IntervalJoin):
+    """Counts links and joins classes while two blocks are compared."""
+
+    def __init__(self, left: _Block, right: _Block, least: float, epsilon: float):
+        super().__init__(left, right, epsilon)
+        self.least = least
+        self.shift = 0 if self.same else len(left.classes)
+        self.labels = np.arange(self.shift + len(right.classes))
+        self.counts = np.zeros(len(self.labels), np.int64)
+        self.links: list[tuple[int, int]] = []
+
     def compare(self, a: slice, b: slice) -> None:
         cosines = self.left.units[a] @ self.right.units[b].T
         linked = cosines >= self.least
         for i, j in zip(*np.nonzero(np.abs(cosines - self.least) < 1e-12), strict=True):
             x, y = self.left.units[a.start + i], self.right.units[b.start + j]
             linked[i, j] = math.fsum(x * y) >= self.least * math.sqrt(math.fsum(x * x) * math.fsum(y * y))
-        if self.same:  # only pairs of a lower and a higher place
-            linked &= np.arange(a.start, a.stop)[:, None] < np.arange(b.start, b.stop)
+        linked = self.only_once(a, b, linked)
         if not linked.any():
             return
         self.counts[a] += linked @ self.right.sizes[b]
@@ -242,16 +324,54 @@ class _Linker:
         return own if self.same else np.concatenate([own, self.right.classes])
 
 
-def _compared(least: float, epsilon: float, dimensions: int):
+def _near_rows(epsilon: float):
+    """The heads of a pair of blocks -> (a, b, side, at, cls) of rows with another one near."""
+
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, _Block] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                blocks[row["side"]] = _Block(row, dimensions)
+            for row in batch.select(["side", "classes", "heads"]).to_pylist():
+                classes = np.frombuffer(row["classes"], np.int64)
+                heads = np.frombuffer(row["heads"], np.float32).reshape(len(classes), -1)
+                blocks[row["side"]] = _Block(classes, heads)
         left = blocks[0]
-        right = blocks.get(1, left)
-        linker = _Linker(left, right, least, epsilon)
-        linker.join(slice(0, len(left.classes)), slice(0, len(right.classes)))
+        finder = _Finder(left, blocks.get(1, left), epsilon)
+        finder.run()
+        for side, block in blocks.items():
+            at = np.flatnonzero(finder.near[side])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "a": pa.array([key[0].as_py()] * len(at), pa.int64()),
+                    "b": pa.array([key[1].as_py()] * len(at), pa.int64()),
+                    "side": pa.array([side] * len(at), pa.int32()),
+                    "at": pa.array(at, pa.int32()),
+                    "cls": pa.array(block.classes[at], pa.int64()),
+                },
+                pa.schema(
+                    [("a", pa.int64()), ("b", pa.int64()), ("side", pa.int32()), ("at", pa.int32()), ("cls", pa.int64())]
+                ),
+            )
+
+    return run
+
+
+def _linked(least: float, epsilon: float, width: int, directions: np.ndarray):
+    """(a, b, side, at, cls, n, vector) of a pair of blocks -> counts and links of its classes."""
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches)).sort_by([("side", "ascending"), ("at", "ascending")])
+        rows = rows.combine_chunks()
+        units = np.concatenate([_units(b.column("vector"), width) for b in rows.to_batches()])
+        heads = _spots(units, directions)
+        classes, sizes = rows["cls"].to_numpy(), rows["n"].to_numpy()
+        middle = int(np.searchsorted(rows["side"].to_numpy(), 1))
+        sides = [
+            _Block(classes[part], heads[part], sizes[part], units[part])
+            for part in (slice(0, middle), slice(middle, None))
+        ]
+        left = sides[0]
+        linker = _Linker(left, left if key[0] == key[1] else sides[1], least, epsilon)
+        linker.run()
         classes = linker.classes()
         some = np.flatnonzero(linker.counts)
         ends = np.array(linker.links, np.int64).reshape(-1, 2)
@@ -273,8 +393,8 @@ def _near_pairs(boxes: DataFrame, count: int, epsilon: float, dimensions: int) -
     """Pairs (a, b) of blocks, a <= b, whose boxes are at most epsilon apart.
 
     ``boxes``: block (its number in the sequence), low, high. From the one interval over all
-    blocks down, a pair of intervals that are near each other is replaced by the pairs of their
-    parts.
+    blocks down, a pair of intervals that are near each other in the first ``dimensions`` is
+    replaced by the pairs of their parts. Pairs of blocks are at last compared in all dimensions.
     """
     names = [(f"low_{d}", f"high_{d}") for d in range(dimensions)]
     level = boxes.select(
@@ -307,9 +427,22 @@ def _near_pairs(boxes: DataFrame, count: int, epsilon: float, dimensions: int) -
     distance = sum((gap(d) * gap(d) for d in range(1, dimensions)), gap(0) * gap(0))
     for table in reversed(levels[:-1]):
         joined = pairs.join(part(table, "a"), "a").join(part(table, "b"), "b")
-        near = (F.col("node_a") <= F.col("node_b")) & (distance <= (epsilon * (1 + 1e-9)) ** 2)
+        near = (F.col("node_a") <= F.col("node_b")) & (distance <= (epsilon + ROUNDING) ** 2)
         pairs = joined.where(near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    return pairs
+
+    def corners(side: str) -> DataFrame:
+        return boxes.select(
+            F.col("block").alias(side), F.col("low").alias(f"low_{side}"), F.col("high").alias(f"high_{side}")
+        )
+
+    gaps = F.zip_with(
+        F.zip_with("low_a", "high_b", lambda low, high: low - high),
+        F.zip_with("low_b", "high_a", lambda low, high: low - high),
+        lambda x, y: F.greatest(F.lit(0.0), x, y),
+    )
+    apart = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g)
+    joined = pairs.join(corners("a"), "a").join(corners("b"), "b")
+    return joined.where(apart <= (epsilon + ROUNDING) ** 2).select("a", "b")
 
 
 def link_vectors(
@@ -317,9 +450,10 @@ def link_vectors(
     least: float = 0.9,
     vec_id: str = "vec_id",
     embedding: str = "embedding",
-    dimensions: int = GRID_DIMENSIONS,
+    dimensions: int | None = None,
 ) -> DataFrame:
-    """vec_id, n_links, component_id, kept of every row.
+    """vec_id, n_links, component_id, kept of every row. Intermediate tables are written to the
+    shared folder when this is called.
 
     Two vectors link when their cosine, in double precision, is at least ``least`` (above 0 and
     below 1). ``n_links`` counts the other vectors linked directly, copies included;
@@ -327,12 +461,15 @@ def link_vectors(
     id. Vectors that are null, empty, all zero, or hold null or non-finite numbers link with
     nothing. Of vectors of different lengths the shorter one counts as filled up with zeros.
     Rows with the same id are rows of their own; a row with a null id is linked but never kept.
+    Whole numbers as ids come back as long; ids of other types keep theirs, smallest in its order.
+    ``dimensions``: of the heads; by default as many as keep vectors apart that don't link.
     Columns other than the two named are not looked at. No rows give no rows.
     """
     epsilon = math.sqrt(2 - 2 * least)
     values = F.col("vector")
+    whole = dict(vectors.dtypes)[vec_id] in ("tinyint", "smallint", "int", "void")
     rows = vectors.select(
-        F.col(vec_id).cast("long").alias("vec_id"),
+        (F.col(vec_id).cast("long") if whole else F.col(vec_id)).alias("vec_id"),
         F.col(embedding).cast("array<double>").alias("vector"),
     )
     odd = F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -352,32 +489,40 @@ def link_vectors(
     )
     if width is None:
         return rows.select("vec_id", *alone)
-    directions = principal_directions(of_class.select("vector"), width, dimensions)
-    dimensions = directions.shape[1]
+    directions = principal_directions(
+        of_class.select("vector"), width, dimensions, HEAD_SPREAD * epsilon * epsilon
+    )
+    block_rows = max(1, min(BLOCK_VECTORS, BLOCK_NUMBERS // width))
     ordered = (
-        of_class.select("cls", "n", "vector")
-        .mapInArrow(_cells(width, directions, epsilon), "cls long, n long, cell binary, vector binary")
-        .repartitionByRange(-(-total // (BLOCKS_OF_TASK * BLOCK_VECTORS)), "cell", "cls")
+        of_class.select("cls", "vector")
+        .mapInArrow(_heads(width, directions, epsilon), "cls long, cell binary, head binary")
+        .repartitionByRange(-(-total // (BLOCKS_OF_TASK * block_rows)), "cell", "cls")
         .sortWithinPartitions("cell", "cls")
     )
-    blocks = store(ordered.mapInArrow(_blocks(directions), _BLOCK_DDL), "blocks")
-    # one number for each task that cut blocks
-    before, count = {}, 0
-    for row in blocks.groupBy("part").count().orderBy("part").collect():
-        before[row["part"]] = count
-        count += row["count"]
-    number = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[F.col("part")]
-    blocks = blocks.withColumn("block", (number + F.col("place")).cast("long"))
-    pairs = store(_near_pairs(blocks.select("block", "low", "high"), count, epsilon, dimensions), "pairs")
+    blocks = store(ordered.mapInArrow(_blocks(block_rows), _BLOCK_DDL), "blocks")
+    # one row for each task that cut blocks
+    of_part = blocks.groupBy("part").count()
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = of_part.select("part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+    blocks = blocks.join(before, "part").withColumn("block", F.col("before") + F.col("place"))
+    boxes = store(blocks.select("block", "low", "high"), "boxes")
+    grid = min(GRID_DIMENSIONS, directions.shape[1] + 1)
+    pairs = store(_near_pairs(boxes, boxes.count(), epsilon, grid), "pairs")
     sides = pairs.select("a", "b", F.col("a").alias("block"), F.lit(0).alias("side")).unionByName(
         pairs.where("a < b").select("a", "b", F.col("b").alias("block"), F.lit(1).alias("side"))
     )
-    found = (
-        blocks.select("block", "box", "classes", "sizes", "vectors")
+    near = (
+        blocks.select("block", "classes", "heads")
         .join(sides, "block")
         .drop("block")
         .groupBy("a", "b")
-        .applyInArrow(_compared(least, epsilon, dimensions), "a long, b long, n long")
+        .applyInArrow(_near_rows(epsilon), "a long, b long, side int, at int, cls long")
+    )
+    near = store(near, "near")
+    found = (
+        near.join(of_class.select("cls", "n", "vector"), "cls")
+        .groupBy("a", "b")
+        .applyInArrow(_linked(least, epsilon, width, directions), "a long, b long, n long")
     )
     found = store(found, "links")
     links = found.where(F.col("b").isNull()).groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("links"))
