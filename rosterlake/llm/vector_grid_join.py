@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.llm.components import connected_components
@@ -392,57 +392,55 @@ def _linked(least: float, epsilon: float, width: int, directions: np.ndarray):
 def _near_pairs(boxes: DataFrame, count: int, epsilon: float, dimensions: int) -> DataFrame:
     """Pairs (a, b) of blocks, a <= b, whose boxes are at most epsilon apart.
 
-    ``boxes``: block (its number in the sequence), low, high. From the one interval over all
-    blocks down, a pair of intervals that are near each other in the first ``dimensions`` is
-    replaced by the pairs of their parts. Pairs of blocks are at last compared in all dimensions.
+    ``boxes``: block (its number in the sequence, below ``count``), low, high. From the one
+    interval over all blocks down, a pair of intervals that are near each other in the first
+    ``dimensions`` is replaced by the pairs of their parts. Blocks are compared in all dimensions.
     """
+    limit = (epsilon + ROUNDING) ** 2
     names = [(f"low_{d}", f"high_{d}") for d in range(dimensions)]
+    flat = [name for pair in names for name in pair]
     level = boxes.select(
         F.col("block").alias("node"),
         *[F.get("low", F.lit(d)).alias(low) for d, (low, _) in enumerate(names)],
         *[F.get("high", F.lit(d)).alias(high) for d, (_, high) in enumerate(names)],
     )
-    levels = [level]
+    upper = []
     while count > 1:
         count = -(-count // FAN_OUT)
         level = level.groupBy(F.floor(F.col("node") / FAN_OUT).alias("node")).agg(
             *[F.min(low).alias(low) for low, _ in names], *[F.max(high).alias(high) for _, high in names]
         )
-        levels.append(level)
-    pairs = levels[-1].select(F.col("node").alias("a"), F.col("node").alias("b"))
+        upper.append(level)
 
-    def part(table: DataFrame, side: str) -> DataFrame:
-        columns = [F.col(c).alias(f"{c}_{side}") for pair in names for c in pair]
+    def part(table: DataFrame, columns: list[str], side: str) -> DataFrame:
         parent = F.floor(F.col("node") / FAN_OUT).alias(side)
-        return table.select(parent, F.col("node").alias(f"node_{side}"), *columns)
-
-    def gap(d: int) -> Column:
-        low, high = names[d]
-        return F.greatest(
-            F.lit(0.0),
-            F.col(f"{low}_a") - F.col(f"{high}_b"),
-            F.col(f"{low}_b") - F.col(f"{high}_a"),
-        )
-
-    distance = sum((gap(d) * gap(d) for d in range(1, dimensions)), gap(0) * gap(0))
-    for table in reversed(levels[:-1]):
-        joined = pairs.join(part(table, "a"), "a").join(part(table, "b"), "b")
-        near = (F.col("node_a") <= F.col("node_b")) & (distance <= (epsilon + ROUNDING) ** 2)
-        pairs = joined.where(near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-
-    def corners(side: str) -> DataFrame:
-        return boxes.select(
-            F.col("block").alias(side), F.col("low").alias(f"low_{side}"), F.col("high").alias(f"high_{side}")
+        return table.select(
+            parent, F.col("node").alias(f"node_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in columns]
         )
 
+    def parts(pairs: DataFrame, table: DataFrame, columns: list[str], distance: Column) -> DataFrame:
+        joined = pairs.join(part(table, columns, "a"), "a").join(part(table, columns, "b"), "b")
+        near = (F.col("node_a") <= F.col("node_b")) & (distance <= limit)
+        return joined.where(near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+    def gap(low: str, high: str) -> Column:
+        one, other = F.col(f"{low}_a") - F.col(f"{high}_b"), F.col(f"{low}_b") - F.col(f"{high}_a")
+        return F.greatest(F.lit(0.0), one, other)
+
+    leaves = boxes.withColumnRenamed("block", "node")
+    if not upper:
+        return leaves.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    pairs = upper[-1].select(F.col("node").alias("a"), F.col("node").alias("b"))
+    squared = sum((gap(*pair) * gap(*pair) for pair in names[1:]), gap(*names[0]) * gap(*names[0]))
+    for table in reversed(upper[:-1]):
+        pairs = parts(pairs, table, flat, squared)
     gaps = F.zip_with(
         F.zip_with("low_a", "high_b", lambda low, high: low - high),
         F.zip_with("low_b", "high_a", lambda low, high: low - high),
         lambda x, y: F.greatest(F.lit(0.0), x, y),
     )
-    apart = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g)
-    joined = pairs.join(corners("a"), "a").join(corners("b"), "b")
-    return joined.where(apart <= (epsilon + ROUNDING) ** 2).select("a", "b")
+    whole = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g)
+    return parts(pairs, leaves, ["low", "high"], whole)
 
 
 def link_vectors(
@@ -500,14 +498,12 @@ def link_vectors(
         .sortWithinPartitions("cell", "cls")
     )
     blocks = store(ordered.mapInArrow(_blocks(block_rows), _BLOCK_DDL), "blocks")
-    # one row for each task that cut blocks
-    of_part = blocks.groupBy("part").count()
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = of_part.select("part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
-    blocks = blocks.join(before, "part").withColumn("block", F.col("before") + F.col("place"))
-    boxes = store(blocks.select("block", "low", "high"), "boxes")
+    # numbers that follow the order; tasks that cut fewer blocks than others leave gaps
+    parts, places = blocks.agg(F.max("part") + 1, F.max("place") + 1).first()
+    number = F.col("part").cast("long") * places + F.col("place")
+    blocks = blocks.withColumn("block", number)
     grid = min(GRID_DIMENSIONS, directions.shape[1] + 1)
-    pairs = store(_near_pairs(boxes, boxes.count(), epsilon, grid), "pairs")
+    pairs = store(_near_pairs(blocks.select("block", "low", "high"), parts * places, epsilon, grid), "pairs")
     sides = pairs.select("a", "b", F.col("a").alias("block"), F.lit(0).alias("side")).unionByName(
         pairs.where("a < b").select("a", "b", F.col("b").alias("block"), F.lit(1).alias("side"))
     )

@@ -91,6 +91,86 @@ def test_far_blocks_are_not_paired(spark):
     assert sorted((r.a, r.b) for r in pairs) == sorted([(k, k) for k in range(40)] + [(k, k + 1) for k in range(39)])
 
 
+def test_far_dimensions_beyond_the_tree(spark):
+    boxes = [(k, [0.0] * 3 + [float(k)], [1.0] * 3 + [k + 0.1]) for k in range(20)]
+    frame = spark.createDataFrame(boxes, "block long, low array<double>, high array<double>")
+    pairs = grid._near_pairs(frame, 20, 1.0, 2).collect()
+    assert sorted((r.a, r.b) for r in pairs) == sorted([(k, k) for k in range(20)] + [(k, k + 1) for k in range(19)])
+    one = grid._near_pairs(frame.where("block = 0"), 1, 1.0, 2).collect()
+    assert [(r.a, r.b) for r in one] == [(0, 0)]
+
+
+def test_blocks_end_at_borders_of_cells():
+    def rows(*corners):
+        return [np.array(c, ">u4").tobytes() for c in corners]
+
+    assert grid._border(rows((1, 1), (1, 1), (1, 1), (1, 1))) == 4
+    assert grid._border(rows((1, 1),)) == 1
+    assert grid._border(rows(*[(1, 1)] * 6, (1, 2), (2, 0))) == 7  # the first dimension goes before
+    assert grid._border(rows((1, 1), (2, 1), (2, 1), (2, 1), (2, 1), (2, 1), (2, 1), (2, 2))) == 7
+
+
+def test_heads_never_lengthen_a_distance():
+    rng = np.random.default_rng(5)
+    units = rng.normal(size=(200, 40))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    directions = np.linalg.qr(rng.normal(size=(40, 40)))[0][:, :10]
+    heads = grid._spots(units, directions)
+    for a, b in rng.integers(0, 200, (500, 2)):
+        assert np.linalg.norm(heads[a] - heads[b]) <= np.linalg.norm(units[a] - units[b]) + 1e-12
+
+
+def test_finder_marks_rows_that_have_a_near_one():
+    rng = np.random.default_rng(6)
+    heads = (rng.normal(size=(90, 4)) * 3).astype(np.float32)
+    heads[70:] = heads[:20] + 0.01
+    for left, right in ((heads[:60], heads[60:]), (heads, None)):
+        one = grid._Block(np.arange(len(left)), left)
+        two = one if right is None else grid._Block(np.arange(len(right)), right)
+        finder = grid._Finder(one, two, 0.5)
+        finder.interval = 8
+        finder.run()
+        apart = np.linalg.norm(one.heads[:, None] - two.heads[None], axis=2)
+        if right is None:
+            np.fill_diagonal(apart, 9)
+        assert (finder.near[0] == (apart <= 0.5).any(axis=1)).all()
+        assert (finder.near[1] == (apart <= 0.5).any(axis=0)).all()
+
+
+def test_separate_groups_skip_blocks_and_fetch_few_vectors(spark, monkeypatch, tmp_path):
+    """Groups in different corners: most pairs of blocks are skipped, and only rows with another
+    one near are fetched."""
+    monkeypatch.setattr(grid, "BLOCK_VECTORS", 16)
+    monkeypatch.setattr(grid, "store", lambda df, name: _store(spark, df, name, tmp_path))
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(10):
+        centre = np.eye(10)[k]
+        rows += [(100 * k + i, (centre + 0.02 * rng.normal(size=10)).tolist()) for i in range(40)]
+    lone = [np.arange(10.0) - 4.5, 4.5 - np.arange(10.0)]
+    rows += [(5000 + i, v.tolist()) for i, v in enumerate(lone)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert answers(frame) == plain_links(rows, 0.9)
+    blocks = spark.read.parquet(str(tmp_path / "blocks")).count()
+    pairs = spark.read.parquet(str(tmp_path / "pairs")).count()
+    assert pairs < 0.5 * blocks * (blocks + 1) / 2
+    near = spark.read.parquet(str(tmp_path / "near"))
+    assert near.select("cls").distinct().count() == 400
+
+
+def _store(spark, df, name, folder):
+    df.write.parquet(str(folder / name))
+    return spark.read.schema(df.schema).parquet(str(folder / name))
+
+
+def test_ids_may_be_texts(spark):
+    rows = [("b", [1.0, 0.0]), ("a", [1.0, 0.01]), ("c", [0.0, 1.0]), (None, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id string, embedding array<double>")
+    assert answers(frame) == Counter(
+        {("a", 2, "a", True): 1, ("b", 2, "a", False): 1, (None, 2, "a", False): 1, ("c", 0, "c", True): 1}
+    )
+
+
 def test_queries_against_sql(spark, folder):
     con = parity.connect(folder)
     for name in ("op7_grid_order_join", "op10_parity_sketch_join"):
