@@ -15,9 +15,8 @@ with seen as (
   from pages
 ),
 counted as (
-  select s.host, count(*) as n, sum(case when l.quality = 0 then 1 else 0 end) as bad
-  from seen s join labels l on l.doc_id = s.page_id
-  where l.quality is not null
+  select s.host, count(l.quality) as n, sum(case when l.quality = 0 then 1 else 0 end) as bad
+  from seen s left join labels l on l.doc_id = s.page_id
   group by s.host
 ),
 named as (
@@ -33,7 +32,7 @@ leveled as (
     ('ac.uk', 'co.jp', 'co.nz', 'co.uk', 'com.au', 'com.br', 'gov.uk', 'org.uk') as two
   from split
 ),
-hosts as (
+every_host as (
   select host, n, bad,
          case when number then name when two then array_to_string(part[-3:], '.')
               else array_to_string(part[-2:], '.') end as domain,
@@ -41,6 +40,7 @@ hosts as (
               else part[-1] end as suffix
   from leveled
 ),
+hosts as (select * from every_host where n > 0),
 domains as (select suffix, domain, sum(n) as n, sum(bad) as bad from hosts group by all),
 suffixes as (select suffix, sum(n) as n, sum(bad) as bad from domains group by all),
 moments as (
@@ -68,8 +68,11 @@ middle as (
   from domains d join above a using (suffix), weight where level = 'domain'
 ),
 posterior as (
-  select h.host, h.n, w, (m.mean * w + h.bad) / (h.n + w) as mean
-  from hosts h join middle m using (suffix, domain), weight where level = 'host'
+  select h.host, h.n, w, (coalesce(m.mean, a.mean, rate) * w + h.bad) / (h.n + w) as mean
+  from every_host h
+  left join middle m on m.suffix = h.suffix and m.domain = h.domain
+  left join above a on a.suffix = h.suffix
+  cross join weight where level = 'host'
 ),
 bounded as (
   select host, mean, mean - 1.645 * sqrt(mean * (1 - mean) / (n + w + 1)) as bound from posterior
