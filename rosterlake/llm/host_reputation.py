@@ -13,12 +13,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Suffixes of two labels; all others have one. A caller may hand over a longer list.
-TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
+# Suffix rules where a caller gives none; a suffix without a rule has one label.
+SUFFIX_RULES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
+# Rules of a file, at most; they are part of the plan.
+MOST_SUFFIX_RULES = 20_000
 BLOCK_ABOVE = 0.5
 # Standard deviations below the mean: some 95 percent of the posterior lie above the bound.
 DEVIATIONS = 1.645
@@ -78,21 +80,65 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[UrlRule]) -> tuple[
     return (none, none) if pattern is None else (pattern, verdict)
 
 
-def host_levels(host: Column, two_label: Sequence[str] = TWO_LABEL_SUFFIXES) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host: its last labels, without a port. Addresses of
-    numbers, single names and suffixes alone are domains of their own."""
+def read_suffix_rules(spark: SparkSession, path: str) -> list[str]:
+    """The rules of a public list of suffixes: one in each line, up to the first white space;
+    empty lines and lines that begin with ``//`` hold none. More than MOST_SUFFIX_RULES are refused."""
+    line = F.lower(F.regexp_extract("value", r"^\s*(\S*)", 1))
+    rules = spark.read.text(path).select(line.alias("rule"))
+    rules = rules.where((F.col("rule") != "") & ~F.col("rule").startswith("//")).distinct()
+    found = [row.rule for row in rules.limit(MOST_SUFFIX_RULES + 1).collect()]
+    if len(found) > MOST_SUFFIX_RULES:
+        raise ValueError(f"more than {MOST_SUFFIX_RULES} suffix rules in {path}")
+    return sorted(found)
+
+
+def _suffix_labels(name: Column, rules: Sequence[str]) -> Column:
+    """How many labels the suffix of a name has. The rule of most labels decides: ``co.uk`` is a
+    suffix, ``*.ck`` makes one of any label before ``ck``, and ``!www.ck`` goes before all others
+    and says that ``www.ck`` is none: its suffix is shorter by a label. One label without a rule."""
+    exceptions: dict[int, list[str]] = {}
+    others: dict[int, tuple[list[str], list[str]]] = {}
+    for rule in rules:
+        rule = rule.strip(".")
+        labels = rule.count(".") + 1
+        if rule.startswith("!"):
+            exceptions.setdefault(labels, []).append(rule[1:])
+        elif rule.startswith("*."):
+            others.setdefault(labels, ([], []))[1].append(rule[2:])
+        else:
+            others.setdefault(labels, ([], []))[0].append(rule)
+    size = F.size(F.split(name, r"\."))
+    cases = [
+        (F.substring_index(name, ".", -labels).isin(*exceptions[labels]), labels - 1)
+        for labels in sorted(exceptions, reverse=True)
+    ]
+    for labels in sorted(others, reverse=True):
+        exact, wild = others[labels]
+        fits = F.substring_index(name, ".", -labels).isin(*exact) if exact else F.lit(False)
+        if wild:
+            fits = fits | ((size >= labels) & F.substring_index(name, ".", 1 - labels).isin(*wild))
+        cases.append((fits, labels))
+    answer = F.when(F.lit(False), 1)
+    for fits, labels in cases:
+        answer = answer.when(fits, labels)
+    return answer.otherwise(1)
+
+
+def host_levels(host: Column, suffix_rules: Sequence[str] = SUFFIX_RULES) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host, without a port: the suffix by the rules, the domain
+    with one label more. Addresses of numbers, single names and suffixes alone are domains of
+    their own."""
     name = F.regexp_replace(host, r":\d*$", "")
     is_number = name.rlike(r"^(\d+(\.\d+){3}|\[.*\])$")
-    long_suffix = F.substring_index(name, ".", -2).isin(*two_label)
-    suffix = F.substring_index(name, ".", -1)
-    return (
-        F.when(is_number, name)
-        .when(long_suffix, F.substring_index(name, ".", -3))
-        .otherwise(F.substring_index(name, ".", -2)),
-        F.when(is_number, name)
-        .when(long_suffix, F.substring_index(name, ".", -2))
-        .otherwise(suffix),
-    )
+    backwards = F.reverse(F.split(name, r"\."))
+    labels = _suffix_labels(name, suffix_rules)
+
+    def last(count: Column) -> Column:
+        return F.when(is_number, name).otherwise(
+            F.array_join(F.reverse(F.slice(backwards, F.lit(1), count)), ".")
+        )
+
+    return last(labels + 1), last(labels)
 
 
 def _strength(counts: DataFrame) -> tuple[float, float]:
@@ -118,7 +164,7 @@ def _strength(counts: DataFrame) -> tuple[float, float]:
 
 def host_posteriors(
     outcomes: DataFrame,
-    two_label: Sequence[str] = TWO_LABEL_SUFFIXES,
+    suffix_rules: Sequence[str] = SUFFIX_RULES,
     others: DataFrame | None = None,
 ) -> DataFrame:
     """host, n, bad, mean, bound for every host with an outcome, and for every host in ``others``.
@@ -129,7 +175,7 @@ def host_posteriors(
     DEVIATIONS of its standard deviations lower. Counts are summed before any shuffle, and upper
     levels are made from the counts of the hosts; nine numbers reach the driver.
     """
-    domain, suffix = host_levels(F.col("host"), two_label)
+    domain, suffix = host_levels(F.col("host"), suffix_rules)
     hosts = (
         outcomes.where(F.col("bad").isNotNull())
         .groupBy("host")
@@ -175,7 +221,7 @@ def judge_urls(
     url: str = "url",
     rules: Sequence[UrlRule] = RULES,
     block_above: float = BLOCK_ABOVE,
-    two_label: Sequence[str] = TWO_LABEL_SUFFIXES,
+    suffix_rules: Sequence[str] = SUFFIX_RULES,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, bad_rate, bad_bound of every page.
 
@@ -183,7 +229,8 @@ def judge_urls(
     with several outcomes counts with each. The verdict is that of the longest fitting rule;
     without one, a host is blocked if its bound is above ``block_above``, and allowed if it is
     not. A host of which no page was labelled is judged by its prior. A null url has the empty
-    host. Null ids have no outcome. One row per page, repeated ids included.
+    host. Null ids have no outcome. One row per page, repeated ids included. ``suffix_rules`` as
+    ``read_suffix_rules`` gives them tell under which suffix a domain is registered.
 
     A host with most of the pages is counted before the shuffle; where the posterior comes back
     to the pages, Spark's adaptive join splits it.
@@ -197,7 +244,7 @@ def judge_urls(
         outcomes.select(F.col(outcomes.columns[0]).alias("page_id"), F.col(outcomes.columns[1]).alias("bad")),
         "page_id",
     )
-    posteriors = host_posteriors(labelled, two_label, seen).select("host", "mean", "bound")
+    posteriors = host_posteriors(labelled, suffix_rules, seen).select("host", "mean", "bound")
     rule, ruled = fitting_rule(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("bound") > block_above, "block").otherwise("allow")
     return seen.join(posteriors, "host", "left").select(

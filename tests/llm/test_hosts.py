@@ -172,6 +172,35 @@ def test_hosts_without_outcomes(spark):
     assert hosts["new1234.bad.com"].verdict == "block" and hosts["new.good.com"].verdict == "allow"
 
 
+def test_suffix_rules(spark, tmp_path):
+    """Longest rule, any label, exceptions; rules come from a file with comments."""
+    path = tmp_path / "suffixes.dat"
+    path.write_text("// a comment\n\ncom\nCo.UK\nin\nco.in  and more\nck\n*.ck\n!www.ck\nhost.example.io\n")
+    rules = hr.read_suffix_rules(spark, str(path))
+    assert rules == ["!www.ck", "*.ck", "ck", "co.in", "co.uk", "com", "host.example.io", "in"]
+    expected = {
+        "x.foo.co.in": ("foo.co.in", "co.in"),
+        "x.foo.in": ("foo.in", "in"),
+        "a.b.co.uk:80": ("b.co.uk", "co.uk"),
+        "a.b.c.ck": ("b.c.ck", "c.ck"),
+        "c.ck": ("c.ck", "c.ck"),
+        "ck": ("ck", "ck"),
+        "a.www.ck": ("www.ck", "ck"),
+        "www.ck": ("www.ck", "ck"),
+        "one.host.example.io": ("one.host.example.io", "host.example.io"),
+        "two.example.io": ("example.io", "io"),
+        "a.notco.in": ("notco.in", "in"),
+        "a.unknown.zz": ("unknown.zz", "zz"),
+        "10.0.0.1": ("10.0.0.1", "10.0.0.1"),
+        "single": ("single", "single"),
+        "": ("", ""),
+    }
+    frame = spark.createDataFrame([(h,) for h in expected], "host string")
+    domain, suffix = hr.host_levels(F.col("host"), rules)
+    found = {r.host: (r.d, r.s) for r in frame.select("host", domain.alias("d"), suffix.alias("s")).collect()}
+    assert found == expected
+
+
 def test_query_against_sql(spark, folder):
     con = parity.connect(folder)
     parity.assert_same(queries.op4_host_reputation(spark, folder), con, oracle.ORACLES["op4_host_reputation"])
