@@ -3,8 +3,11 @@
 Leave days run from leave_start to leave_end, both included, when compared with worked days;
 leave_days_count is their difference, so one less.
 
-One staff member may have any number of leaves, but only as many different (start, duration)
-requests as the calendar allows. So leaves are reduced to requests first, each request is
+Whether a leave meets a worked day is read from the person's days as bits, 64 days in a number: one
+row per person, no longer than the calendar, however many shifts and leaves the person has.
+
+To move leave, leaves are reduced to requests first: one staff member may have any number of leaves,
+but only as many different (start, duration) requests as the calendar allows. Each request is
 answered once, and the answers are attached to the leaves.
 """
 
@@ -16,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlake import rules
+from rosterlake.functions import day_bits
 from rosterlake.functions.choices import flag
 from rosterlake.operators.cleaning import distinct_staff_days
 from rosterlake.operators.joins import attach
@@ -43,31 +47,34 @@ def with_leave_days(leaves: DataFrame) -> DataFrame:
     return leaves.withColumn("leave_days_count", days)
 
 
-def with_conflict_flag(leaves: DataFrame, worked: DataFrame) -> DataFrame:
-    """1 if a worked day lies in the leave, ends included.
+def worked_bits(worked: DataFrame) -> DataFrame:
+    """staff_id and ``_worked``, the days of ``shift_date`` as a set of bits, one row per person.
 
-    Each distinct (staff, start) looks up its next worked day; a leave is in conflict if that
-    day comes no later than its end. No leave is paired with the days in between.
+    ``worked`` may name a day any number of times. Bits are added up in each task first, so what
+    is shuffled are numbers per person and 64 days, never shifts; the map of a person is bounded
+    by the calendar. Rows without person or day are left out.
     """
-    starts = leaves.select("staff_id", "leave_start").dropna().distinct()
-    days = worked.select("staff_id", F.col("shift_date").alias("_day"))
-    timeline = days.withColumn("_worked", F.col("_day")).unionByName(
-        starts.withColumnRenamed("leave_start", "_day"), allowMissingColumns=True
-    )
-    # latest first: a frame that runs to the end of the partition would be slow in Spark
-    onwards = Window.partitionBy("staff_id").orderBy(F.desc("_day"))
-    next_worked = (
-        timeline.withColumn(
-            "_next_worked",
-            F.min("_worked").over(onwards.rangeBetween(Window.unboundedPreceding, 0)),
-        )
-        .where("_worked IS NULL")
-        .select("staff_id", F.col("_day").alias("leave_start"), "_next_worked")
+    day = F.unix_date("shift_date")
+    return (
+        worked.select("staff_id", day.alias("_day"))
+        .dropna()
+        .groupBy("staff_id", day_bits.block_of(F.col("_day")).alias("block"))
+        .agg(F.bit_or(day_bits.bit_of(F.col("_day"))).alias("bits"))
+        .groupBy("staff_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("block", "bits"))).alias("_worked"))
     )
-    joined = attach(leaves, next_worked, ["staff_id", "leave_start"])
-    return joined.withColumn(
-        "conflict_flag", flag(F.col("_next_worked") <= F.col("leave_end"))
-    ).drop("_next_worked")
+
+
+def with_conflict_flag(leaves: DataFrame, worked: DataFrame) -> DataFrame:
+    """1 if a worked day lies in the leave, ends included, else 0.
+
+    Each leave is joined once to its person's days, of which a few numbers are looked at; it is
+    paired with no day. ``worked`` may name a day any number of times.
+    """
+    first, last = F.unix_date("leave_start"), F.unix_date("leave_end")
+    meets = day_bits.any_between(F.col("_worked"), first, last)
+    joined = attach(leaves, worked_bits(worked), ["staff_id"], grouped=True)
+    return joined.withColumn("conflict_flag", flag(meets)).drop("_worked")
 
 
 def leave_shift_conflicts(leaves: DataFrame, worked: DataFrame) -> DataFrame:

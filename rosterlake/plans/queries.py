@@ -525,7 +525,7 @@ def leave_window(b: Base) -> DataFrame:
 @query
 def leave_shift_conflicts(b: Base) -> DataFrame:
     requested = leave.with_leave_window(b.requests, sample.WINDOW_END)
-    return leave.leave_shift_conflicts(requested, b.worked).select(
+    return leave.leave_shift_conflicts(requested, b.plain).select(
         "leave_id", "staff_id", "leave_start", "leave_end"
     )
 
@@ -543,7 +543,7 @@ def leave_days_count(b: Base) -> DataFrame:
 @query
 def leave_residual_conflicts(b: Base) -> DataFrame:
     """Leaves that still contain a worked day after they were moved."""
-    in_window = b.worked.where(F.col("shift_date") <= F.lit(sample.WINDOW_END))
+    in_window = b.plain.where(F.col("shift_date") <= F.lit(sample.WINDOW_END))
     return leave.leave_shift_conflicts(b.moved, in_window).select(
         "leave_id", "staff_id", "leave_start", "leave_end"
     )

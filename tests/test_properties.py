@@ -267,3 +267,24 @@ def test_case_counts_reach_every_shift_of_the_day(spark):
     counted = assignments.with_case_counts(worked, assignments.day_case_counts(cases))
     found = {r.timesheet_id: (r.critical_cases, r.emergency_cases) for r in counted.collect()}
     assert found == {1: (2, 2), 2: (2, 2), 3: (0, 0), 4: (0, 0)}
+
+
+def test_conflicts_at_the_edges_of_blocks(spark):
+    """Days before 1970, first and last days of a block, leaves over several blocks, missing values."""
+    zero = date(1970, 1, 1)
+    marks = [-65, -64, -1, 0, 63, 64, 127, 640]
+    days = [(k, zero + timedelta(mark)) for k, mark in enumerate(marks)] * 2 + [(None, zero), (0, None)]
+    worked = spark.createDataFrame(days, "staff_id long, shift_date date")
+    leaves, expected = [], set()
+    for k, mark in enumerate(marks):
+        for first, last in [(-1, -1), (0, 0), (1, 1), (-200, 200), (-200, -1), (1, 200), (1, -1), (None, 0), (0, None)]:
+            if first is not None and last is not None and first <= 0 <= last:
+                expected.add(len(leaves))
+            ends = (None if at is None else zero + timedelta(mark + at) for at in (first, last))
+            leaves.append((len(leaves), k, *ends))
+    leaves += [(1000, None, zero, zero), (1001, 99, zero, zero)]
+    asked = spark.createDataFrame(leaves, "leave_id long, staff_id long, leave_start date, leave_end date")
+    flagged = leave.with_conflict_flag(asked, worked).collect()
+    assert len(flagged) == len(leaves)
+    assert {r.leave_id for r in flagged if r.conflict_flag} == expected
+    assert leave.with_conflict_flag(asked, worked.limit(0)).where("conflict_flag = 1").isEmpty()
