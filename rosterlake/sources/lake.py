@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake import schemas
-from rosterlake.operators.cleaning import dedup_by_key, silver_stamp
+from rosterlake.operators.cleaning import dedup_in_blocks, silver_stamp
 from rosterlake.session import LakeLayout
 from rosterlake.sources.tables import parquet_files, read_table, write_parquet, write_silver
 
@@ -55,11 +55,11 @@ def clean_for_silver(
     """One row per key, stamped with the time of processing.
 
     Without an order of their own, rows of one key are ordered by all other columns, so that
-    a repeated run keeps the same row.
+    a repeated run keeps the same row. The keys are read once when this is called.
     """
     if order_by is None:
         order_by = [F.col(name) for name in df.columns if name not in keys]
-    return dedup_by_key(df, keys, order_by).transform(silver_stamp)
+    return dedup_in_blocks(df, keys, order_by).transform(silver_stamp)
 
 
 def run_silver_job(
