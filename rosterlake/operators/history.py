@@ -4,7 +4,8 @@ A window over all shifts of one staff member would put a hot staff member into o
 shift before in time comes from one order over all shifts, cut into ranges of equal size
 (``numbering.with_row_before``). For streaks and flips, shifts are first reduced to days or to blocks
 (staff, day, 2^16 consecutive ids); windows over a staff member run on days, of which a calendar
-has few thousand, and the answers go back to the shifts by block.
+has few thousand, and the answers go back to the shifts by block. ``with_history`` takes these ways
+for people with more than 2^16 shifts only; the others' shifts fit one task each.
 
 Shifts without a staff id or date belong to nobody's history; their flags are 0.
 """
@@ -59,14 +60,15 @@ def _not_null(*names: str) -> Column:
 def streak_days(days: DataFrame) -> DataFrame:
     """Each worked day with its streak: the id shared by the streak's days and its length.
 
-    Within a run of consecutive days, day minus rank is the same date.
+    Within a run of consecutive days, day minus rank is the same date. A day may occur several times.
     """
     by_staff = Window.partitionBy("staff_id").orderBy("shift_date")
     by_streak = Window.partitionBy("staff_id", "streak")
+    length = F.max("_rank").over(by_streak) - F.min("_rank").over(by_streak) + 1
     return (
-        days.withColumn("_rank", F.row_number().over(by_staff))
+        days.withColumn("_rank", F.dense_rank().over(by_staff))
         .withColumn("streak", F.date_sub("shift_date", F.col("_rank")))
-        .withColumn("streak_length", F.count("*").over(by_streak))
+        .withColumn("streak_length", length.cast("long"))
         .drop("_rank")
     )
 
@@ -218,8 +220,8 @@ def _followers(shifts: DataFrame) -> DataFrame:
     return _with_shift_before(shifts.select(*columns)).where(_follows_long_shift()).select(*_SHIFT)
 
 
-def with_history(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
-    """All history flags and the day's case counts, moving the full shifts only once.
+def _history_by_blocks(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
+    """All history flags and the day's case counts, for people with any number of shifts.
 
     Everything is brought to the grain of blocks first. The full shifts are then shuffled to
     (staff, day, block) once, which serves both the window and the join. A shift that follows a long
@@ -247,3 +249,66 @@ def with_history(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
     flagged = joined.withColumn("night_to_day_flip_flag", _flip_flag())
     counts = ["consecutive_days_flag", "critical_cases", "emergency_cases"]
     return flagged.fillna(0, counts).drop(*_WORKING)
+
+
+def _history_by_person(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
+    """The same for people with at most 2^16 shifts each, moving the full shifts only once.
+
+    The shifts are shuffled by person, and the day's cases along with them as rows of their own: a
+    join by person and day would move the shifts again. All windows find their rows there.
+    """
+    rows = _with_block(shifts).drop("_block").withColumn("_mark", F.lit(False))
+    cases = day_cases.withColumn("_mark", F.lit(True))
+    in_time = Window.partitionBy("staff_id").orderBy(*_IN_TIME[1:])
+    in_days = Window.partitionBy("staff_id").orderBy("shift_date", "_no", "timesheet_id")
+    carried = F.struct("staff_id", "shift_start", "shift_end", "shift_duration_hours")
+    known = _not_null(*DAY)
+    # null for rows that are no shift or have no place in the order
+    at_night = F.when(known & ~F.col("_mark"), flag(F.col("shift_type") == "Night"))
+    earlier = in_days.rowsBetween(Window.unboundedPreceding, -1)
+    counts = {
+        name: F.when(known, F.max(name).over(Window.partitionBy(*DAY)))
+        for name in ("critical_cases", "emergency_cases")
+    }
+    seen = (
+        rows.unionByName(cases, allowMissingColumns=True)
+        .withColumn("_before", F.lag(carried).over(in_time))
+        .withColumn("back_to_back_12h_flag", flag(_follows_long_shift()))
+        .withColumn("_night_before", F.last(at_night, ignorenulls=True).over(earlier))
+        .withColumns(counts)
+        .where(~F.col("_mark"))
+        .fillna(0, list(counts))
+    )
+    flip = known & (F.col("shift_type") == "Day") & (F.col("_night_before") == 1)
+    return (
+        streak_days(seen.withColumn("night_to_day_flip_flag", flag(flip)))
+        .withColumn("consecutive_days_flag", F.when(known, _over_limit()).otherwise(0))
+        .drop("_no", "_mark", "_before", "_night_before", "streak", "streak_length")
+    )
+
+
+def _crowded(shifts: DataFrame) -> Column | None:
+    """Whether a shift is one of a person with more than 2^16 of them; None if there is no such
+    person. Their ids come to the driver, at most one for 2^16 shifts."""
+    per_person = shifts.groupBy("staff_id").agg(F.count("*").alias("_shifts"))
+    crowded = per_person.where(F.col("_shifts") > (1 << BLOCK_BITS)).select("staff_id")
+    people = [row.staff_id for row in crowded.collect()]
+    if not people:
+        return None
+    person = F.col("staff_id")
+    nobody = F.lit(None in people)
+    return F.when(person.isNull(), nobody).otherwise(person.isin([p for p in people if p is not None]))
+
+
+def with_history(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
+    """All history flags and the day's case counts.
+
+    A person's shifts are looked at together. People with more than 2^16 shifts, and shifts without a
+    person if there are as many, are cut into blocks instead, so that no task holds more. The shifts
+    are counted per person when this is called.
+    """
+    crowded = _crowded(shifts)
+    if crowded is None:
+        return _history_by_person(shifts, day_cases)
+    few = _history_by_person(shifts.where(~crowded), day_cases)
+    return few.unionByName(_history_by_blocks(shifts.where(crowded), day_cases))
