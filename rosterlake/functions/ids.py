@@ -10,8 +10,14 @@ from rosterlake import rules
 
 
 def format_id(prefix: str, number: Column) -> Column:
-    """Prefix and zero-padded number; longer numbers keep all their digits."""
-    return F.format_string(f"{prefix}%0{rules.ID_FORMATS[prefix]}d", number.cast("long"))
+    """Prefix and zero-padded number; longer numbers keep all their digits.
+
+    Padding is several times faster than a format, which is left for numbers below 0 and null."""
+    number, width = number.cast("long"), rules.ID_FORMATS[prefix]
+    digits = number.cast("string")
+    padded = F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+    formatted = F.format_string(f"{prefix}%0{width}d", number)
+    return F.when(number >= 0, F.concat(F.lit(prefix), padded)).otherwise(formatted)
 
 
 def id_number(df: DataFrame, name: str) -> Column:
