@@ -259,31 +259,39 @@ def _history_by_person(shifts: DataFrame, day_cases: DataFrame) -> DataFrame:
     """
     rows = _with_block(shifts).drop("_block").withColumn("_mark", F.lit(False))
     cases = day_cases.withColumn("_mark", F.lit(True))
-    in_time = Window.partitionBy("staff_id").orderBy(*_IN_TIME[1:])
-    in_days = Window.partitionBy("staff_id").orderBy("shift_date", "_no", "timesheet_id")
+    # rows of cases, alike but for the day, are put in its order too: the next sort finds long runs
+    in_time = Window.partitionBy("staff_id").orderBy(*_IN_TIME[1:], "shift_date")
+    # the cases of a day come before its shifts
+    in_days = Window.partitionBy("staff_id").orderBy(
+        "shift_date", F.desc("_mark"), "_no", "timesheet_id"
+    )
+    earlier = in_days.rowsBetween(Window.unboundedPreceding, -1)
     carried = F.struct("staff_id", "shift_start", "shift_end", "shift_duration_hours")
     known = _not_null(*DAY)
+    counts = ["critical_cases", "emergency_cases"]
     # null for rows that are no shift or have no place in the order
     at_night = F.when(known & ~F.col("_mark"), flag(F.col("shift_type") == "Night"))
-    earlier = in_days.rowsBetween(Window.unboundedPreceding, -1)
-    counts = {
-        name: F.when(known, F.max(name).over(Window.partitionBy(*DAY)))
-        for name in ("critical_cases", "emergency_cases")
-    }
+    day_cases_row = F.when(F.col("_mark"), F.struct("shift_date", *counts))
+    of_day = known & (F.col("_cases.shift_date") == F.col("shift_date"))
     seen = (
         rows.unionByName(cases, allowMissingColumns=True)
         .withColumn("_before", F.lag(carried).over(in_time))
         .withColumn("back_to_back_12h_flag", flag(_follows_long_shift()))
-        .withColumn("_night_before", F.last(at_night, ignorenulls=True).over(earlier))
-        .withColumns(counts)
+        .withColumns(
+            {
+                "_night_before": F.last(at_night, ignorenulls=True).over(earlier),
+                "_cases": F.last(day_cases_row, ignorenulls=True).over(earlier),
+            }
+        )
         .where(~F.col("_mark"))
-        .fillna(0, list(counts))
+        .withColumns({name: F.when(of_day, F.col(f"_cases.{name}")) for name in counts})
+        .fillna(0, counts)
     )
     flip = known & (F.col("shift_type") == "Day") & (F.col("_night_before") == 1)
     return (
         streak_days(seen.withColumn("night_to_day_flip_flag", flag(flip)))
         .withColumn("consecutive_days_flag", F.when(known, _over_limit()).otherwise(0))
-        .drop("_no", "_mark", "_before", "_night_before", "streak", "streak_length")
+        .drop("_no", "_mark", "_before", "_night_before", "_cases", "streak", "streak_length")
     )
 
 
