@@ -9,18 +9,24 @@ symmetric difference by D; with P > D words, some word of linked texts must agre
 
 1. Texts with equal sets become one class. Each class sends the words of its sketch, hashed
    with the shingles behind them, as keys. P has words to spare: of S spare ones, linked texts
-   agree in S + 1 at least, so each text leaves out the S words made of the fewest shingles,
-   which would bring unrelated texts together. The richest word in which two linked texts agree
-   has at least S poorer ones in both, so neither leaves it out.
-2. Classes that meet in a key are chained to the smallest of them, first within a task, then
-   after the shuffle. So a key sends one row per task and no group is ever paired out. The
-   connected parts of this graph, the bags, hold every link.
+   agree in S + 1 at least. So each text may leave out S words which would bring unrelated texts
+   together, if all texts rank words alike: the last of the words in which two linked texts agree
+   has at least S others before it in both, so neither leaves it out. Half of the S, the words
+   made of the fewest shingles, go at once. Keys are sent packed, a few thousand buckets of a
+   batch at a time, and only those in which classes meet come back as rows, counted.
+2. Each class leaves out the other half: the keys that most classes hold, those of lines that
+   many texts share. Without that, such lines join ever more unrelated texts as a table grows.
+   Classes that meet in one of the rest are chained to the smallest of them, first within a task,
+   then after the shuffle. No group is ever paired out. The connected parts of this graph, the
+   bags, hold every link.
 3. Within a bag and band, blocks of classes are compared with each other: sketches first, and
    what differs in few enough bits by the sets themselves. Classes already joined are not
    compared again. A task holds two blocks and sends at most one link for each of their classes.
 4. Connected components of the links.
 
-No row, group or candidate is capped. Set hashes have 64 bits.
+No row, group or candidate is capped. Set hashes have 64 bits. While keys meet, a class goes by
+40 bits of its hash and a key by 48. Classes or keys that are taken for one another there only
+make a bag larger, except for two linked sets whose 40 bits are the same (a chance of 10^-12).
 """
 
 from __future__ import annotations
@@ -31,20 +37,23 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlake.llm import shingles
 from rosterlake.llm.components import connected_components
 from rosterlake.llm.scratch import store
 
-# Keys that a task collects before it chains those that meet; 16 bytes each.
+# Keys that a task collects before it packs them, or chains those that meet; 16 bytes each.
 KEYS_AT_ONCE = 1 << 20
+# Keys are packed by the first bits, with 36 bits that follow, and 40 bits of the class.
+BUCKET_BITS, LOW_BITS, NODE_BITS = 12, 36, 40
 # Shingles that are sketched at a time.
 SHINGLES_AT_ONCE = 1 << 19
 # Words of a sketch that may be left out, as a share of the differing shingles. More of them make
-# all words poorer, fewer of them leave poor words among those that are sent.
-SPARE = 0.25
+# all words poorer, fewer of them leave poor words among those that are sent. Small sets have a few
+# more, as one line makes up much of them.
+SPARE, SPARE_MORE = 0.25, 4
 # Classes, and shingles of all of them together, in a block; a larger class has its own block.
 BLOCK_CLASSES = 1024
 BLOCK_SHINGLES = 1 << 19
@@ -55,11 +64,15 @@ MARK_BITS, BITMAP_BITS = 26, 15
 # Stands for a missing id where a text of a class is looked for; the text decides in the end.
 _LAST_ID = (1 << 63) - 1
 
-DOCUMENT, KEY, EDGE = 0, 1, 2
+DOCUMENT, PACKED, SHARED = 0, 1, 2
 _LIGHT = pa.schema(
-    [(name, pa.int64()) for name in ("part", "a", "b", "n", "text_hash")] + [("kind", pa.int8())]
+    [(name, pa.int64()) for name in ("part", "a", "b", "n", "text_hash")]
+    + [("kind", pa.int8()), ("packed", pa.binary())]
 )
-_LIGHT_DDL = "part long, a long, b long, n long, text_hash long, kind byte"
+_LIGHT_DDL = "part long, a long, b long, n long, text_hash long, kind byte, packed binary"
+KEY, EDGE = 0, 1
+_MET = pa.schema([("part", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("kind", pa.int8())])
+_MET_DDL = "part long, a long, b long, kind byte"
 
 
 class Bands:
@@ -73,6 +86,7 @@ class Bands:
         self.reach: list[int] = []  # the largest set that links with one of this band
         self.words: list[int] = []  # of a sketch; 0 if only equal sets link
         self.sent: list[int] = []  # of these, the richest ones, which are keys
+        self.late: list[int] = []  # of the keys, those which may be left out once they are counted
         low = 1
         while not self.low or self.low[-1] <= largest:
             high = low * den // num
@@ -80,8 +94,10 @@ class Bands:
             differing = self.difference(high, reach)
             self.low.append(low)
             self.reach.append(reach)
-            self.words.append(differing + 1 + round(SPARE * differing) if differing else 0)
-            self.sent.append(differing + 1)
+            spare = round(SPARE * differing) + min(SPARE_MORE, differing)
+            self.words.append(differing + 1 + spare if differing else 0)
+            self.late.append(spare - spare // 2)
+            self.sent.append(differing + 1 + self.late[-1])
             low = high + 1
 
     def difference(self, a, b):
@@ -106,11 +122,19 @@ def sketch_keys(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all sets, each with the number of its set: those for pairs in which the set is
     the smaller one, by its own band, and those for the larger one, by the band below."""
+    return sided_keys(sets, bounds, bands)[:2]
+
+
+def sided_keys(
+    sets: np.ndarray, bounds: np.ndarray, bands: Bands
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``sketch_keys``, and for each key its side: 0 by the set's own band, 1 by the band below."""
     sizes = np.diff(bounds)
     own = bands.of(np.maximum(sizes, 1))
     words, reach = np.array(bands.words), np.array(bands.reach)
     keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for band in (own, own - 1):
+    sides = [np.zeros(0, np.uint8)]
+    for side, band in enumerate((own, own - 1)):
         at = np.maximum(band, 0)
         used = (sizes > 0) & (band >= 0) & (words[at] > 0) & (sizes <= reach[at])
         chosen = np.flatnonzero(used)
@@ -144,69 +168,175 @@ def sketch_keys(
         value = value[sent] + shingles.mix(label)
         keys.append(shingles.mix(value))
         owners.append(chosen[owner[sent]])
-    return np.concatenate(keys), np.concatenate(owners)
+        sides.append(np.full(len(sent), side, np.uint8))
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(sides)
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
 
-def _light(part, a, b, kind: int, n=None, text_hash=None) -> pa.RecordBatch:
-    def column(values) -> pa.Array:
-        return pa.nulls(len(part), pa.int64()) if values is None else pa.array(values, pa.int64())
-
-    kinds = pa.array(np.full(len(part), kind, np.int8))
-    return pa.RecordBatch.from_arrays(
-        [column(part), column(a), column(b), column(n), column(text_hash), kinds], schema=_LIGHT
-    )
-
-
-def _chained(keys: np.ndarray, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One key row for each key, and edges from its other classes to the smallest one."""
-    order = np.lexsort((classes, keys))
-    keys, classes = keys[order], classes[order]
-    first = np.concatenate([[True], keys[1:] != keys[:-1]])
-    leader = classes[np.flatnonzero(first)][np.cumsum(first) - 1]
-    yield _light(keys[first], classes[first], None, KEY)
-    other = classes != leader
-    pairs = np.unique(np.stack([classes[other], leader[other]], axis=1), axis=0)
-    if len(pairs):
-        part = _signed(shingles.mix(pairs[:, 0].view(np.uint64)))
-        yield _light(part, pairs[:, 0], pairs[:, 1], EDGE)
+def _light(kind: int, rows: int, **columns) -> pa.RecordBatch:
+    """Light rows of one kind; columns that are not given are null."""
+
+    def column(field: pa.Field) -> pa.Array:
+        values = columns.get(field.name)
+        if values is None:
+            return pa.nulls(rows, field.type)
+        return values if isinstance(values, pa.Array) else pa.array(values, field.type)
+
+    columns["kind"] = np.full(rows, kind, np.int8)
+    return pa.RecordBatch.from_arrays([column(field) for field in _LIGHT], schema=_LIGHT)
+
+
+def pack(low: np.ndarray, nodes: np.ndarray, sides: np.ndarray) -> bytes:
+    """Keys of one bucket in some ten bytes each. ``low`` is sorted and has LOW_BITS bits, so that
+    its upper four are told by counts; nodes have NODE_BITS bits."""
+    counts = np.bincount((low >> np.uint64(32)).astype(np.int64), minlength=1 << LOW_BITS - 32)
+    octets = nodes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : NODE_BITS // 8]
+    parts = (counts.astype("<u4"), low.astype("<u4"), octets, np.packbits(sides))
+    return b"".join(part.tobytes() for part in parts)
+
+
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``low``, ``nodes`` and ``sides`` of packed keys."""
+    upper = 1 << LOW_BITS - 32
+    counts = np.frombuffer(packed, "<u4", upper).astype(np.int64)
+    n, width, at = int(counts.sum()), NODE_BITS // 8, 4 * upper
+    low = np.repeat(np.arange(upper, dtype=np.uint64) << np.uint64(32), counts)
+    low |= np.frombuffer(packed, "<u4", n, at).astype(np.uint64)
+    octets = np.zeros((n, 8), np.uint8)
+    octets[:, :width] = np.frombuffer(packed, np.uint8, n * width, at + 4 * n).reshape(n, width)
+    sides = np.unpackbits(np.frombuffer(packed, np.uint8, offset=at + (4 + width) * n), count=n)
+    return low, octets.view("<u8").reshape(n), sides
+
+
+def _distinct(
+    keys: np.ndarray, nodes: np.ndarray, sides: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted by key, then node, each pair of them once."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes, sides = keys[order], nodes[order], sides[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    return keys[new], nodes[new], sides[new]
+
+
+def _packed(keys: np.ndarray, classes: np.ndarray, sides: np.ndarray) -> pa.RecordBatch:
+    """One row for each bucket that has keys."""
+    nodes = classes & np.uint64((1 << NODE_BITS) - 1)
+    keys, nodes, sides = _distinct(keys >> np.uint64(64 - BUCKET_BITS - LOW_BITS), nodes, sides)
+    bucket = (keys >> np.uint64(LOW_BITS)).astype(np.int64)
+    low = keys & np.uint64((1 << LOW_BITS) - 1)
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(starts[1:], len(bucket))
+    rows = [pack(low[i:j], nodes[i:j], sides[i:j]) for i, j in zip(starts, ends, strict=True)]
+    return _light(PACKED, len(rows), part=bucket[starts], packed=rows)
 
 
 def _sketched(k: int, num: int, den: int):
-    """(doc_id, text_hash, text) -> light rows: documents, keys, and edges within the task."""
+    """(doc_id, text_hash, text) -> light rows: documents, and packed keys of their classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[np.ndarray] = []
-        classes: list[np.ndarray] = []
-        waiting = 0
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for whole in batches:
             for batch in _portions(whole):
                 sets, bounds = shingles.shingle_sets(batch.column(2), k)
                 sizes = np.diff(bounds)
-                ids = _signed(shingles.set_hashes(sets, bounds))
-                part = _signed(shingles.mix(ids.view(np.uint64) + np.arange(len(ids), dtype=np.uint64)))
-                doc_ids, text_hash = batch.column(0), batch.column(1)
-                known = pa.array(ids, mask=sizes == 0)
-                yield _light(part, doc_ids, known, DOCUMENT, sizes, text_hash)
+                ids = shingles.set_hashes(sets, bounds)
+                yield _light(
+                    DOCUMENT,
+                    len(ids),
+                    part=_signed(shingles.mix(ids + np.arange(len(ids), dtype=np.uint64))),
+                    a=batch.column(0),
+                    b=pa.array(_signed(ids), mask=sizes == 0),
+                    n=sizes,
+                    text_hash=batch.column(1),
+                )
                 if not len(sets):
                     continue
-                bands = bands_for(num, den, sizes.max())
-                own_keys, owners = sketch_keys(sets, bounds, bands)
-                keys.append(_signed(own_keys))
-                classes.append(ids[owners])
-                waiting += len(owners)
-                if waiting >= KEYS_AT_ONCE:
-                    yield from _chained(np.concatenate(keys), np.concatenate(classes))
-                    keys, classes, waiting = [], [], 0
+                own_keys, owners, sides = sided_keys(sets, bounds, bands_for(num, den, sizes.max()))
+                waiting.append((own_keys, ids[owners], sides))
+                if sum(len(keys) for keys, _, _ in waiting) >= KEYS_AT_ONCE:
+                    yield _packed(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+                    waiting = []
         if waiting:
-            yield from _chained(np.concatenate(keys), np.concatenate(classes))
+            yield _packed(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
 
     return run
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Light rows sorted by kind and part: documents pass, and each key that several classes hold
+    makes a row for each of them (a: class, b: key, n: classes that hold it, text_hash: side)."""
+
+    def met(bucket: int, rows: list[bytes]) -> Iterator[pa.RecordBatch]:
+        keys, nodes, sides = _distinct(
+            *(np.concatenate(x) for x in zip(*map(unpack, rows), strict=True))
+        )
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else []
+        holders = np.diff(np.append(starts, len(keys)).astype(np.int64))
+        holders = np.repeat(holders, holders)
+        some = holders > 1
+        if some.any():
+            keys = _signed(keys[some]) | np.int64(bucket << LOW_BITS)
+            nodes, sides = _signed(nodes[some]), sides[some].astype(np.int64)
+            yield _light(SHARED, len(keys), a=nodes, b=keys, n=holders[some], text_hash=sides)
+
+    bucket, rows = 0, []
+    for batch in batches:
+        kind = batch.column("kind").to_numpy()
+        if (kind == DOCUMENT).any():
+            yield batch.filter(pa.array(kind == DOCUMENT))
+        batch = batch.filter(pa.array(kind == PACKED))
+        for part, packed in zip(batch.column("part").to_pylist(), batch.column("packed"), strict=True):
+            if part != bucket and rows:
+                yield from met(bucket, rows)
+                rows = []
+            bucket = part
+            rows.append(packed.as_py())
+    if rows:
+        yield from met(bucket, rows)
+
+
+def _met(part, a, b, kind: int) -> pa.RecordBatch:
+    b = pa.nulls(len(part), pa.int64()) if b is None else pa.array(b, pa.int64())
+    kinds = pa.array(np.full(len(part), kind, np.int8))
+    columns = [pa.array(part, pa.int64()), pa.array(a, pa.int64()), b, kinds]
+    return pa.RecordBatch.from_arrays(columns, schema=_MET)
+
+
+def _edges(keys: np.ndarray, classes: np.ndarray, leader: np.ndarray) -> Iterator[pa.RecordBatch]:
+    other = classes != leader
+    pairs = np.unique(np.stack([classes[other], leader[other]], axis=1), axis=0)
+    if len(pairs):
+        part = _signed(shingles.mix(pairs[:, 0].astype(np.uint64)))
+        yield _met(part, pairs[:, 0], pairs[:, 1], EDGE)
+
+
+def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, class) -> one key row for each key, and edges from its other classes to the smallest
+    one, many keys at a time."""
+
+    def chain(waiting: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, classes = (np.concatenate([b.column(x).to_numpy() for b in waiting]) for x in (0, 1))
+        order = np.lexsort((classes, keys))
+        keys, classes = keys[order], classes[order]
+        first = np.concatenate([[True], keys[1:] != keys[:-1]])
+        yield _met(keys[first], classes[first], None, KEY)
+        yield from _edges(keys, classes, classes[np.flatnonzero(first)][np.cumsum(first) - 1])
+
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append(batch)
+        if sum(b.num_rows for b in waiting) >= KEYS_AT_ONCE:
+            yield from chain(waiting)
+            waiting = []
+    if waiting:
+        yield from chain(waiting)
+
+
 def _portions(batch: pa.RecordBatch, column: int = 2) -> Iterator[pa.RecordBatch]:
     """The batch in parts of a few megabytes of text; a longer text is a part of its own."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
@@ -219,14 +349,13 @@ def _portions(batch: pa.RecordBatch, column: int = 2) -> Iterator[pa.RecordBatch
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Light rows sorted by kind, part and a: key rows become edges to the first class of their
-    key; all others pass."""
+    """Rows sorted by kind, part and a: key rows become edges to the first class of their key;
+    edges pass."""
     last_key = last_leader = None
     for batch in batches:
         kind = batch.column("kind").to_numpy()
-        for other in (DOCUMENT, EDGE):
-            if (kind == other).any():
-                yield batch.filter(pa.array(kind == other))
+        if (kind == EDGE).any():
+            yield batch.filter(pa.array(kind == EDGE))
         keys = batch.column("part").to_numpy(zero_copy_only=False)[kind == KEY]
         classes = batch.column("a").filter(pa.array(kind == KEY)).to_numpy()
         if not len(keys):
@@ -236,10 +365,34 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last_key == keys[0]:
             leader[keys == keys[0]] = last_leader
         last_key, last_leader = keys[-1], leader[-1]
-        other = classes != leader
-        pairs = np.unique(np.stack([classes[other], leader[other]], axis=1), axis=0)
-        if len(pairs):
-            yield _light(pairs[:, 0], pairs[:, 0], pairs[:, 1], EDGE)
+        yield from _edges(keys, classes, leader)
+
+
+def _node(cls: str) -> Column:
+    return F.col(cls).bitwiseAND(F.lit((1 << NODE_BITS) - 1))
+
+
+def _own_band(bands: Bands) -> Column:
+    own = F.lit(0)
+    for k in range(1, len(bands.low)):
+        own = F.when(F.col("n") >= bands.low[k], k).otherwise(own)
+    return own
+
+
+def _kept_keys(shared: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
+    """key and node of the shared keys without those that a class leaves out: as many as its band
+    allows, of each side, from those that most classes hold down.
+
+    ``shared``: node, key, holders, side. ``classes``: cls and n. Where two classes have the same
+    node, it leaves out as many as the smaller one may.
+    """
+    late = F.array(*[F.lit(number) for number in bands.late])
+    sizes = classes.groupBy(_node("cls").alias("node")).agg(F.min("n").alias("n"))
+    sizes = sizes.select("node", _own_band(bands).alias("own"))
+    window = Window.partitionBy("node", "side").orderBy(F.col("holders").desc(), "key")
+    band = F.greatest(F.col("own") - F.col("side"), F.lit(0)).cast("int")
+    ranked = shared.join(sizes, "node").withColumn("rank", F.row_number().over(window))
+    return ranked.where(F.col("rank") > F.get(late, band)).select("key", "node")
 
 
 def _blocks(members: DataFrame, num: int, den: int, largest: int) -> DataFrame:
@@ -251,10 +404,7 @@ def _blocks(members: DataFrame, num: int, den: int, largest: int) -> DataFrame:
     block follows from a hash, so no group is sorted or gathered.
     """
     bands = bands_for(num, den, largest)
-    own = F.lit(0)
-    for k in range(1, len(bands.low)):
-        own = F.when(F.col("n") >= bands.low[k], k).otherwise(own) if k else own
-    placed = members.withColumn("own", own)
+    placed = members.withColumn("own", _own_band(bands))
     roles = F.array(
         F.struct(F.col("own").alias("band"), F.lit(0).alias("side")),
         F.struct((F.col("own") - 1).alias("band"), F.lit(1).alias("side")),
@@ -315,21 +465,29 @@ def _blocks(members: DataFrame, num: int, den: int, largest: int) -> DataFrame:
     )
 
 
-def _marked(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
-    """The rows whose columns ``on`` may be in ``wanted``, so that a join moves few others.
+def with_mark(rows: DataFrame, wanted: DataFrame, on: list[str], name: str) -> DataFrame:
+    """The rows with a column ``name``: false only if their columns ``on`` are not in ``wanted``.
 
-    Each wanted row sets one of 2^MARK_BITS bits, by a hash; rows on bits that are not set go
-    before any shuffle. The bitmaps are sent to every task: 8 MB at most, however many rows are
-    wanted. Where most bits are set, most rows pass; the join that follows decides.
+    Each wanted row sets one of 2^MARK_BITS bits, by a hash. The bitmaps are sent to every task:
+    8 MB at most, however many rows are wanted. Where most bits are set, most rows are marked;
+    what follows decides.
     """
     spot = F.pmod(F.xxhash64(*on), F.lit(1 << MARK_BITS))
     place = F.pmod(spot, F.lit(1 << BITMAP_BITS))
     bitmap = F.shiftright(spot, BITMAP_BITS)
-    bits = wanted.groupBy(bitmap.alias("bitmap")).agg(F.bitmap_construct_agg(place).alias("bits"))
-    byte = F.substring(F.col("bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
+    bits = wanted.groupBy(bitmap.alias(f"{name}_map")).agg(
+        F.bitmap_construct_agg(place).alias(f"{name}_bits")
+    )
+    byte = F.substring(f"{name}_bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
     is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(place, F.lit(8)).cast("int")) == 1
-    found = rows.withColumn("bitmap", bitmap).join(F.broadcast(bits), "bitmap")
-    return found.where(is_set).select(*rows.columns)
+    found = rows.withColumn(f"{name}_map", bitmap).join(F.broadcast(bits), f"{name}_map", "left")
+    return found.withColumn(name, F.coalesce(is_set, F.lit(False))).drop(f"{name}_map", f"{name}_bits")
+
+
+def _marked(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose columns ``on`` may be in ``wanted``, so that a join moves few others: rows
+    on bits that are not set go before any shuffle."""
+    return with_mark(rows, wanted, on, "marked").where("marked").select(*rows.columns)
 
 
 _SET_DDL = (
@@ -473,15 +631,14 @@ def link_texts(
     light = (
         rows.mapInArrow(_sketched(k, num, den), _LIGHT_DDL)
         .repartition("part")
-        .sortWithinPartitions("kind", "part", "a")
-        .mapInArrow(_meet, _LIGHT_DDL)
+        .sortWithinPartitions("kind", "part")
+        .mapInArrow(_shared, _LIGHT_DDL)
+        .drop("part", "packed")
     )
     light = store(light, "light")
     documents = light.where(F.col("kind") == DOCUMENT).select(
         F.col("a").alias("doc_id"), F.col("b").alias("cls"), "n", "text_hash"
     )
-    bags = connected_components(light.where(F.col("kind") == EDGE).select("a", "b"))
-    bags = bags.select(F.col("node").alias("cls"), F.col("component").alias("bag"))
     # one text for each class: that of its smallest document; copies meet after a partial sum only
     key = F.coalesce("doc_id", F.lit(_LAST_ID))
     classes = (
@@ -495,8 +652,21 @@ def link_texts(
         )
     )
     classes = store(classes, "classes")
-    chosen = store(classes.join(bags, "cls"), "chosen")
-    largest = chosen.agg(F.max("n")).first()[0] or 1
+    largest = classes.agg(F.max("n")).first()[0] or 1
+    shared = light.where(F.col("kind") == SHARED).select(
+        F.col("a").alias("node"), F.col("b").alias("key"), F.col("n").alias("holders"),
+        F.col("text_hash").alias("side"),
+    )
+    edges = (
+        _kept_keys(shared, classes, bands_for(num, den, largest))
+        .mapInArrow(_chained, _MET_DDL)
+        .repartition("part")
+        .sortWithinPartitions("kind", "part", "a")
+        .mapInArrow(_meet, _MET_DDL)
+    )
+    bags = connected_components(edges.select("a", "b"))
+    bags = bags.withColumnRenamed("component", "bag")
+    chosen = store(classes.withColumn("node", _node("cls")).join(bags, "node").drop("node"), "chosen")
     tasks = _blocks(chosen.select("cls", "bag", "n"), num, den, largest)
     wanted = chosen.select("cls", "key", "text_hash").join(tasks, "cls")
     texts = _marked(rows.withColumn("key", key), chosen, ["key", "text_hash"])
